@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, sharding, url_filter
+from shelfwise.llm import chat_format, html_text, language_id, sharding, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    model = language_id.learn(docs.where("doc_id is not null and not held_out"))
+    return language_id.identify(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 #: The rules of op8.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -33,6 +40,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_main_text(pages).select("page_id", "url", "text", html_text.n_chars(F.col("text")).alias("n_chars"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations and of conversation -7, from the windows as written."""
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -60,7 +72,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op4_language_id": op4_language_id,
         "op8_url_filter": op8_url_filter,
+        "op9_html_extraction": op9_html_extraction,
         "op10_chat_format": op10_chat_format,
     }
 
