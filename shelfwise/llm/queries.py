@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, html_text, language_id, sharding, url_filter
+from shelfwise.llm import chat_format, html_text, language_id, sharding, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public tokenizer of that name lies on this machine and the executors."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards by the two-pass external shuffle, read back from the shards."""
     out = sharding.shard_documents(_table(spark, sf_dir, "documents"), n_shards=40)
@@ -32,6 +39,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum in the token files, from the files."""
+    path = token_files.write_token_files(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    return token_files.token_index(spark, path)
+
+
 #: The rules of op8.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -73,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op4_language_id": op4_language_id,
+        "op6_token_output": op6_token_output,
         "op8_url_filter": op8_url_filter,
         "op9_html_extraction": op9_html_extraction,
         "op10_chat_format": op10_chat_format,
