@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, html_text, language_id, sharding, token_files, url_filter
+from shelfwise.llm import chat_format, html_text, language_id, mixing, sharding, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum in the token files, from the files."""
     path = token_files.write_token_files(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op4_language_id": op4_language_id,
+        "op5_source_mixing": op5_source_mixing,
         "op6_token_output": op6_token_output,
         "op8_url_filter": op8_url_filter,
         "op9_html_extraction": op9_html_extraction,
