@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, html_text, language_id, mixing, sharding, token_files, url_filter
+from shelfwise.llm import chat_format, decontamination, html_text, language_id, mixing, sharding, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from those that aren't held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language_id.held_out(F.col("doc_id")))
@@ -90,6 +96,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op3_decontamination": op3_decontamination,
         "op4_language_id": op4_language_id,
         "op5_source_mixing": op5_source_mixing,
         "op6_token_output": op6_token_output,
