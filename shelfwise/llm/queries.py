@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, decontamination, html_text, language_id, mixing, sharding, token_files, url_filter
+from shelfwise.llm import chat_format, decontamination, html_text, language_id, mixing, near_dedup, sharding, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_index(spark, path)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 #: The rules of op8.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -100,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_id": op4_language_id,
         "op5_source_mixing": op5_source_mixing,
         "op6_token_output": op6_token_output,
+        "op7_near_dedup": op7_near_dedup,
         "op8_url_filter": op8_url_filter,
         "op9_html_extraction": op9_html_extraction,
         "op10_chat_format": op10_chat_format,
