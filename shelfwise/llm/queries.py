@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, decontamination, html_text, language_id, mixing, near_dedup, sharding, token_files, url_filter
+from shelfwise.llm import chat_format, decontamination, html_text, language_id, mixing, near_dedup, sharding, token_files, url_filter, vector_topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of each whose vec_id is divisible by 20."""
+    return vector_topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it holds."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,9 +102,62 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(embedding) > 0
+), c AS (
+  SELECT vec_id, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(sum(q.x * d.x) AS BIGINT) AS score
+  FROM c q JOIN c d ON q.i = d.i AND q.vec_id <> d.vec_id
+  WHERE q.vec_id % 20 = 0 GROUP BY 1, 2
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+#: Windows of 512 tokens with a history of 128, as format_windows() cuts them.
+OP10_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), n AS (
+  SELECT *, len(regexp_extract_all(text, '\S+')) + 4 AS tokens, row_number() OVER w AS i FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), b AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n
+), x AS (
+  SELECT *, before // 512 AS span,
+    4 + length(role) + (length(role) - length(replace(replace(replace(replace(role, chr(92), ''), '#', ''), '<', ''), ':', '')))
+      + 2 + length(text) + (length(text) - length(replace(replace(replace(text, chr(92), ''), '#', ''), '<', ''))) + 8 AS size
+  FROM b
+), s AS (
+  SELECT conv_id, span AS win, min(before) AS start FROM x GROUP BY 1, 2
+), f AS (
+  SELECT x.conv_id, sum(size) AS formatted_chars
+  FROM x JOIN s ON x.conv_id = s.conv_id
+    AND (x.span = s.win OR (x.i = 1 AND x.role = 'system' AND s.win > x.span)
+      OR (NOT (x.i = 1 AND x.role = 'system') AND s.win = x.span + 1 AND s.start - x.before <= 128))
+  GROUP BY 1
+), g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS said,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY i), '') AS loss
+  FROM x GROUP BY 1
+)
+SELECT g.conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM g JOIN f ON g.conv_id = f.conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_exact_topk": op2_exact_topk,
         "op3_decontamination": op3_decontamination,
         "op4_language_id": op4_language_id,
         "op5_source_mixing": op5_source_mixing,
@@ -112,4 +170,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_exact_topk": OP2_SQL, "op10_chat_format": OP10_SQL}
