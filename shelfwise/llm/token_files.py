@@ -1,7 +1,7 @@
 """Token ids of documents in compressed segments that decode in parallel.
 
 A segment holds whole documents in order. Layout, little-endian: the header (magic, lanes, documents, tokens, symbols,
-blocks, crc32 of the rest), then doc ids (int64), which of them are null (uint8), tokens of each document (uint64), the
+blocks, tokens of a block, crc32 of the rest), then doc ids (int64), which of them are null (uint8), tokens of each document (uint64), the
 frequency table that the segment's blocks share (symbols, frequencies: uint32), the checkpoints (for each block its first
 token and byte offset: uint64; tokens and crc32 of its ids: uint32), and the blocks. All but the blocks is deflated.
 Segments are rows of a Parquet table (file_no, seg_no, n_docs, n_tokens, first_token, data), so Spark's committer keeps
@@ -11,12 +11,15 @@ them whole when a task is repeated.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,9 @@ from shelfwise.llm.workspace import new_path
 
 MAGIC, HEADER = b"SWTK0001", struct.Struct("<8sIQQIIII")
 CHECKPOINT = np.dtype([("first", "<u8"), ("offset", "<u8"), ("n", "<u4"), ("crc", "<u4")])
+#: A space before white or the end, which a split at spaces gets wrong: such texts are encoded whole.
+ODD = re.compile(r" (?=\s|\Z)")
+PUNCTUATION = ".,;:!?%$*#&|()\""
 SEGMENTS = "file_no int, seg_no int, n_docs long, n_tokens long, first_token long, data binary"
 
 
@@ -35,10 +41,11 @@ class Tokens:
 
     The tokenizer's pattern starts a new piece at every space before a character that isn't white, and pieces are encoded
     apart, so a text's ids are those of its parts at such spaces. Special tokens hold no space. New words are joined again
-    and encoded together; the ids are parted by the lengths in bytes of their tokens.
+    and encoded together; the ids are parted by the lengths in bytes of their tokens. Words are remembered in two
+    generations of at most `words`, so that frequent ones stay.
     """
 
-    def __init__(self, path: str, words: int = 400_000) -> None:
+    def __init__(self, path: str, words: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -49,14 +56,21 @@ class Tokens:
         self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # in a byte-level vocabulary a character stands for a byte
             self._bytes[i] = special.get(i, len(token))
-        self._known: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {"": b""}
+        self._older: dict[str, bytes] = {}
+        self._tails: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        for low in range(0, len(words), 20_000):
-            part = words[low : low + 20_000]
+        """Remembers words as they stand after a space. Punctuation after a letter or digit is a piece of its own."""
+        cut = [(w, c) for w in words if w and (c := w.rstrip(PUNCTUATION)) and (len(c) == len(w) or c[-1].isalnum())]
+        cores = dict.fromkeys(c for _, c in cut)
+        cores.update(dict.fromkeys(w for w in words if w and not (c := w.rstrip(PUNCTUATION)) or w and not c[-1].isalnum()))
+        cores = [c for c in cores if c not in self._known]
+        for low in range(0, len(cores), 20_000):
+            part = cores[low : low + 20_000]
             (ids,) = self._ids([" " + " ".join(part)])
             ends = np.cumsum([len(w.encode("utf-8", "replace")) + 1 for w in part])
             at = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
@@ -67,23 +81,45 @@ class Tokens:
             for word, end in zip(part, at.tolist(), strict=True):
                 self._known[word] = data[begin * size : end * size]
                 begin = end
+        for w, c in cut:
+            if len(c) < len(w):
+                tail = w[len(c) :]
+                if tail not in self._tails:
+                    self._tails[tail] = self._ids([tail])[0].tobytes()
+                self._known[w] = self._known[c] + self._tails[tail]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        from re import compile as pattern
-
-        odd, cut = pattern(r" (?=\s|\Z)"), pattern(r" (?=\S)")
-        parts = [cut.split(t) if odd.search(t) else t.split(" ") for t in texts]
-        heads = self._ids([p[0] for p in parts])
+        odd = {i: t for i, t in enumerate(texts) if ODD.search(t)}
+        lists = pc.split_pattern(pa.array([t if i not in odd else "" for i, t in enumerate(texts)], pa.large_string()), " ")
+        starts, flat = lists.offsets.to_numpy(), lists.values.dictionary_encode()
+        words, at = flat.dictionary.to_pylist(), flat.indices.to_numpy()
         if len(self._known) > self._most:
-            self._known.clear()
-        words: set[str] = set()
-        for p in parts:
-            words.update(p[1:])
-        words.difference_update(self._known)
-        self._learn(list(words))
-        get = self._known.__getitem__
-        return [np.concatenate((h, np.frombuffer(b"".join(map(get, p[1:])), self.dtype))) for h, p in zip(heads, parts, strict=True)]
+            self._known, self._older = {"": b""}, self._known
+        new = [w for w in words if w not in self._known]
+        self._known.update((w, self._older[w]) for w in new if w in self._older)
+        self._learn([w for w in new if w not in self._known])
+        # the ids of all words one after another, then of each place its word's, none for the first of a text
+        data = [self._known[w] for w in words]
+        size = np.fromiter(map(len, data), np.int64, len(data)) // self.dtype.itemsize
+        ids, begin = np.frombuffer(b"".join(data), self.dtype), np.cumsum(size) - size
+        n = size[at]
+        n[starts[:-1]] = 0
+        ends = np.cumsum(n)
+        ids = ids[np.repeat(begin[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        heads = self._ids([odd.get(i, words[at[s]]) for i, s in enumerate(starts[:-1].tolist())])
+        cuts = ends[starts[1:] - 1]
+        return [np.concatenate((h, x)) for h, x in zip(heads, np.split(ids, cuts[:-1]), strict=True)]
+
+
+_loaded: dict[str, Tokens] = {}
+
+
+def tokens_of(path: str) -> Tokens:
+    """The tokenizer of a Python worker, which goes on from one task to the next."""
+    if path not in _loaded:
+        _loaded[path] = Tokens(path)
+    return _loaded[path]
 
 
 def pack(doc_ids: list[int | None], ids: list[np.ndarray], lanes: int = 1024, block: int = 1 << 18) -> bytes:
@@ -156,7 +192,7 @@ def write_token_files(
     path = path or new_path(docs.sparkSession, "tokens")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, file_no = Tokens(tokenizer), TaskContext.get().partitionId()
+        tokens, file_no = tokens_of(tokenizer), TaskContext.get().partitionId()
         seg_no = first = held = 0
         names: list[int | None] = []
         ids: list[np.ndarray] = []
@@ -171,9 +207,10 @@ def write_token_files(
 
         end = np.array([end_id], tokens.dtype)
         for batch in batches:
-            for low in range(0, len(batch), 256):
-                part = batch.iloc[low : low + 256]
-                texts = [t or "" for t in part["text"]]
+            most = max(1, min(4096, (8 << 20) * len(batch) // max(1, int(batch["text"].str.len().sum()))))
+            for low in range(0, len(batch), most):
+                part = batch.iloc[low : low + most]
+                texts = list(part["text"])
                 for name, got in zip(part["id"], tokens.encode(texts), strict=True):
                     names.append(None if pd.isna(name) else int(name))
                     ids.append(np.concatenate((got, end)))
