@@ -39,7 +39,7 @@ def store_outcomes(events: DataFrame) -> DataFrame:
 
     A page without any good answer failed, and with it its store.
     """
-    pages = events.groupBy("store_url", "page").agg(~F.bool_or(F.col("event_type").isin("page_success", "page_empty")).alias("bad"), F.bool_or(F.col("event_type") == "page_success").alias("good"))
+    pages = events.groupBy("store_url", "page").agg((~F.bool_or(F.col("event_type").isin("page_success", "page_empty"))).alias("bad"), F.bool_or(F.col("event_type") == "page_success").alias("good"))
     by_store = pages.groupBy("store_url").agg(
         F.count(F.lit(1)).alias("pages"), F.count_if("good").alias("good_pages"), F.count_if("bad").alias("bad_pages"), F.bool_or("bad").alias("bad")
     )

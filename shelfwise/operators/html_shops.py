@@ -52,7 +52,7 @@ def _pairs(c: Column, pattern: str, key: int, value: int) -> Column:
 
 def meta_tags(html: Column) -> Column:
     """Array of (k, v): names in lower case and contents of the meta tags that name first."""
-    return F.transform(_pairs(html, META_NAME, 1, 2), lambda p: F.struct(F.lower(p["0"]).alias("k"), p["1"].alias("v")))
+    return F.transform(_pairs(html, META_NAME, 1, 2), lambda p: F.struct(F.lower(p["k"]).alias("k"), p["v"].alias("v")))
 
 
 def meta(pairs: Column, name: str) -> Column:
@@ -61,7 +61,7 @@ def meta(pairs: Column, name: str) -> Column:
 
 def _labelled(c: Column, pattern: str, key: int, value: int, key_is_text: bool = True) -> Column:
     clean = text.untag if key_is_text else (lambda x: x)
-    return F.transform(_pairs(c, pattern, key, value), lambda p: F.struct(clean(p["0"]).alias("k"), text.untag(p["1"]).alias("v")))
+    return F.transform(_pairs(c, pattern, key, value), lambda p: F.struct(clean(p["k"]).alias("k"), text.untag(p["v"]).alias("v")))
 
 
 def description(html: Column) -> Column:
@@ -97,7 +97,7 @@ def table_shop(pages: DataFrame, at: Column) -> DataFrame:
     """Rows of pages (url, html): one for each row of the variants' table, else one from the page itself."""
     html = F.col("html")
     p = usable(pages).select("url", "html", meta_tags(html).alias("m"))
-    links = F.transform(_pairs(F.regexp_extract(html, POSTED_IN, 1), CATEGORY_LINK, 1, 2), lambda x: F.struct(x["0"].alias("k"), text.untag(x["1"]).alias("v")))
+    links = F.transform(_pairs(F.regexp_extract(html, POSTED_IN, 1), CATEGORY_LINK, 1, 2), lambda x: F.struct(x["k"].alias("k"), text.untag(x["v"]).alias("v")))
     p = p.withColumns({
         "ProductName": text.untag(text.first_group(html, TABLE_TITLE)), "Sku": text.untag(text.first_group(html, TABLE_SKU)),
         "Description": F.coalesce(description(html), meta(F.col("m"), "og:description"), meta(F.col("m"), "description")),
