@@ -119,4 +119,4 @@ def quoted(c: Column) -> Column:
 
 def sitemap_locations(c: Column) -> Column:
     """The addresses in a sitemap's loc elements, first seen first."""
-    return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(c, F.lit(r"(?i)<loc>([^<]*)</loc>")), F.trim), lambda u: u != ""))
+    return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(c, F.lit(r"(?i)<loc>([^<]*)</loc>")), lambda u: F.trim(u)), lambda u: u != ""))
