@@ -42,7 +42,7 @@ def remove_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix by source takes it."""
-    return mixing.repeated(docs, mixing.mix_sources(docs))
+    return mixing.mixed_documents(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfwise.llm.workspace import written
+from shelfwise.llm.workspace import stable, written
 
 WHITE = r"[^\x20\x09-\x0D]+"
 
@@ -103,13 +103,13 @@ def mix_sources(
     and texts without words have size 0, take part in passes but add nothing. Null sources are one source. Null ids are
     ordinary; rows that are alike are chosen one by one. An empty table gives an empty result. The same rows give the same
     choice, however they are partitioned. place is the row's place in docs (monotonically_increasing_id), for a join with
-    docs, which should be a table that reads the same each time.
+    docs where they are read from files; see stable().
 
     Documents of one source and size may be a large part of all rows: they are numbered within cells of a seeded hash, so
     no task gets the group; 64 cells, and more beyond 64 * cell_rows rows. Counts by source, size and cell go to one task
     only by source, with a row for each distinct size.
     """
-    rows = docs.select(
+    rows = stable(docs).select(
         F.monotonically_increasing_id().alias("place"), F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size")
     )
     rows = written(rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size")), "mix-rows")
@@ -148,9 +148,9 @@ def mix_sources(
     return chosen.select("place", "doc_id", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
-def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of docs as often as the mix takes them (columns of docs), for mixed = mix_sources(docs)."""
-    names = docs.columns
+def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
+    """The rows of docs as often as the mix takes them, with the columns of docs. options: those of mix_sources()."""
+    docs, names = stable(docs), docs.columns
     placed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.monotonically_increasing_id().alias("place"))
-    chosen = placed.join(mixed.where("repeats > 0").select("place", "repeats"), "place")
+    chosen = placed.join(mix_sources(docs, **options).where("repeats > 0").select("place", "repeats"), "place")
     return chosen.select("__row", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("__i")).select("__row.*")

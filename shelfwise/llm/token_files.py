@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfwise.llm.rans import Table
-from shelfwise.llm.workspace import new_path
+from shelfwise.llm.workspace import new_path, stable
 
 MAGIC, HEADER = b"SWTK0001", struct.Struct("<8sIQQIIII")
 CHECKPOINT = np.dtype([("first", "<u8"), ("offset", "<u8"), ("n", "<u4"), ("crc", "<u4")])
@@ -184,8 +184,8 @@ def write_token_files(
 ) -> str:
     """Encodes every whole text, adds end_id to each document, writes segments in ascending order of id; returns the path.
 
-    Rows are dealt by ranges of id, and within an id by their place in the input, so that an id on many rows is spread;
-    the input should be a table that reads the same each time. Null texts are empty (their document is end_id alone), null
+    Rows are dealt by ranges of id, and within an id by their place in the input, so that an id on many rows is spread
+    (see stable()). Null texts are empty (their document is end_id alone), null
     ids come first, rows that are repeated are documents of their own. An empty table writes no segment. A segment is
     closed once it has segment_tokens tokens, so only a longer document makes a larger one.
     """
@@ -221,7 +221,7 @@ def write_token_files(
             yield segment()
 
     # ids go as text: pandas would turn longs with nulls into doubles
-    rows = docs.select(F.col(id_col).cast("long").alias("n"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = stable(docs).select(F.col(id_col).cast("long").alias("n"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange("n", "place").sortWithinPartitions("n", "place")
     rows = rows.select(F.col("n").cast("string").alias("id"), "text")
     rows.mapInPandas(encode, SEGMENTS).write.option("compression", "none").parquet(path)

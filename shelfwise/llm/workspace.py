@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,3 +28,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """df if it is read from files, perhaps filtered and projected; else df as a written table.
+
+    A row's place (monotonically_increasing_id) is the same each time that files are read, whichever columns are used; it
+    may change with what is computed anew, as after a shuffle.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {m[1] for m in re.finditer(r"(?m)^[\s:+|-]*(\w+)", plan)}
+    return df if nodes <= {"Project", "Filter", "Relation"} else written(df, "stable")
