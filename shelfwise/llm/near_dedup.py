@@ -3,24 +3,26 @@
 A document is its set of distinct 5-word shingles. Documents with equal sets are one class. A class has ROUNDS * BUCKETS
 registers: the shingles fall into buckets by a hash, and a register keeps the leading zeros and the next ten bits of its
 bucket's least hash. A band is the registers of one bucket number over all rounds; classes that share a band meet. Sets too
-small to fill the buckets meet in the shingles of their prefix in hash order instead, which misses nothing. Where more than
-two meet, Jaccard estimates from all registers, corrected for registers that agree by chance, pick what is compared: a
-spanning forest of the most similar, and, where a tree's edge fails, all that remains between its parts. Links are
-confirmed on the full sets of the texts.
+small to fill the buckets meet in the rarest of their shingles instead, as many as two sets over the threshold must share
+one of, which misses nothing and keeps passages that many documents share out of it. Where more than two meet, Jaccard estimates from all registers, corrected for registers that agree by chance, pick what is compared first:
+a spanning forest of the most similar. Where one of its edges fails, all that may still link its parts is compared. Links
+are confirmed on the full sets of the texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfwise.llm.components import connected_components
-from shelfwise.llm.workspace import written
+from shelfwise.llm.words import Words, pieces
+from shelfwise.llm.workspace import stable, written
 
 WORDS = 5
 ROUNDS, BUCKETS, MANTISSA = 4, 40, 10
@@ -43,32 +45,29 @@ def mix(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class Shingles:
-    """Sorted distinct shingle hashes of texts; remembers words."""
-
-    def __init__(self, words: int = 1_000_000) -> None:
-        self._known: dict[bytes, int] = {}
-        self._most = words
-
-    def of(self, text: str | None) -> np.ndarray:
-        """A-Z lower-cased, words between the six ASCII white characters; fewer than WORDS words are one shingle."""
-        words = (text or "").encode("utf-8", "replace").lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        known = self._known
-        if len(known) > self._most:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        n = max(1, len(h) - WORDS + 1)
-        width = min(WORDS, len(h))
-        out = np.full(n, width, np.uint64)
-        for k in range(width):
-            out = (out ^ h[k : k + n]) * _A
-            out ^= out >> np.uint64(31)
-        return np.unique(out)
+_words: list[Words] = []
+
+
+def shingles(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; words are remembered from one task of a Python worker to the next.
+
+    A-Z are lower-cased, the six white ASCII characters part words, and fewer than WORDS words are one shingle.
+    """
+    if not _words:
+        _words.append(Words(xxhash.xxh64_intdigest, ascii_only=True))
+    for piece in pieces(texts):
+        numbers, starts = _words[0].numbers([texts[i] for i in piece])
+        for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            if low == high:
+                yield np.empty(0, np.uint64)
+                continue
+            h, width = numbers[low:high], min(WORDS, high - low)
+            n = high - low - width + 1
+            out = np.full(n, width, np.uint64)
+            for k in range(width):
+                out = (out ^ h[k : k + n]) * _A
+                out ^= out >> np.uint64(31)
+            yield np.unique(out)
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -86,22 +85,13 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def meeting_keys(shingles: np.ndarray, regs: np.ndarray, percent: int) -> np.ndarray:
-    """Keys under which a class meets others: bands, and the prefix of small sets and those a link can tie to them.
-
-    The prefix of n shingles in hash order has n - ceil(percent * n / 100) + 1 of them: two sets over the threshold share
-    one of those. Sets of one or two shingles link with nothing but their equals.
-    """
-    n, keys = len(shingles), []
-    if 3 <= n <= SMALL * 100 // percent + 1:
-        keys.append(np.sort(mix(shingles, 2 * ROUNDS))[: n - -(-percent * n // 100) + 1])
-    if n > SMALL:
-        packed = np.zeros(BUCKETS, np.uint64)
-        for r in range(ROUNDS):
-            packed = (packed << np.uint64(16)) | regs[r].astype(np.uint64)
-        band = mix(mix(packed, 2 * ROUNDS + 1) + np.arange(BUCKETS, dtype=np.uint64), 2 * ROUNDS + 2)
-        keys.append(band[(regs == EMPTY).sum(0) < ROUNDS - 1])
-    return np.concatenate(keys) if keys else np.empty(0, np.uint64)
+def bands(regs: np.ndarray) -> np.ndarray:
+    """Keys under which large sets meet others; bands with one register or none are left out."""
+    packed = np.zeros(BUCKETS, np.uint64)
+    for r in range(ROUNDS):
+        packed = (packed << np.uint64(16)) | regs[r].astype(np.uint64)
+    keys = mix(mix(packed, 2 * ROUNDS + 1) + np.arange(BUCKETS, dtype=np.uint64), 2 * ROUNDS + 2)
+    return np.unique(keys[(regs == EMPTY).sum(0) < ROUNDS - 1])
 
 
 def chance(n: float) -> float:
@@ -118,12 +108,13 @@ def estimates(one: np.ndarray, regs: np.ndarray, lost: float) -> np.ndarray:
     return (share - lost) / (1 - lost)
 
 
-def _near(i: int, regs: np.ndarray, n: np.ndarray, lost: float, percent: int) -> np.ndarray:
-    """Estimates of i against all; -1 where sizes alone rule out a link or the estimate is too low."""
-    got = estimates(regs[i], regs, lost)
-    got[(got < ESTIMATE) | (100 * np.minimum(n, n[i]) < percent * np.maximum(n, n[i]))] = -1
-    got[i] = -1
-    return got
+def _near(i: int, regs: np.ndarray, n: np.ndarray, lost: float, percent: int) -> tuple[slice, np.ndarray]:
+    """Estimates of i against those whose size allows a link; -1 where they are too low. n ascends."""
+    here = slice(int(np.searchsorted(n, -(-percent * n[i] // 100))), int(np.searchsorted(n, 100 * n[i] // percent, "right")))
+    got = estimates(regs[i], regs[here], lost)
+    got[got < ESTIMATE] = -1
+    got[i - here.start] = -1
+    return here, got
 
 
 def forest(regs: np.ndarray, n: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -135,51 +126,77 @@ def forest(regs: np.ndarray, n: np.ndarray, percent: int) -> list[tuple[int, int
         if best[i] > 0:
             edges.append((int(by[i]), i))
         left[i] = False
-        got = _near(i, regs, n, lost, percent)
-        better = left & (got > best)
-        best[better], by[better] = got[better], i
+        here, got = _near(i, regs, n, lost, percent)
+        better = here.start + np.flatnonzero(left[here] & (got > best[here]))
+        best[better], by[better] = got[better - here.start], i
     return edges
 
 
-def crossing(regs: np.ndarray, n: np.ndarray, part: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """All pairs of different parts that might link."""
-    lost, edges = chance(float(n.mean())), []
+def linked(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether a set links with each of the others, by their full sets."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    common = np.add.reduceat(one[at] == flat, np.cumsum(sizes) - sizes, dtype=np.int64)
+    return 100 * common >= percent * (len(one) + sizes - common)
+
+
+def crossing(sets: list[np.ndarray], regs: np.ndarray, n: np.ndarray, part: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between parts, compared until they are one part or nothing is left that may link."""
+    lost, edges, part = chance(float(n.mean())), [], part.copy()
     for i in range(len(n) - 1):
-        got = _near(i, regs, n, lost, percent)
-        edges += [(i, int(j)) for j in np.flatnonzero((got > 0) & (part != part[i])) if j > i]
+        here, got = _near(i, regs, n, lost, percent)
+        at = here.start + np.flatnonzero((got > 0) & (part[here] != part[i]))
+        at = at[at > i]
+        for j in at[linked(sets[i], [sets[j] for j in at], percent)].tolist() if len(at) else []:
+            if part[j] != part[i]:
+                edges.append((i, j))
+                part[part == part[j]] = part[i]
     return edges
 
 
 def signatures(docs: DataFrame, percent: int) -> DataFrame:
-    """place, doc_id, n, f1, f2 (of the set), keys, regs of every row of doc_id, text."""
+    """place, doc_id, n, f1, f2 (of the set), bands, regs, small of every row of doc_id, text.
+
+    bands are of large sets; small is the set itself of small ones, and of those that a link can tie to them.
+    """
+    most = SMALL * 100 // percent + 1
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles()
         for batch in batches:
             rows = []
-            for place, doc_id, text in zip(batch["place"], batch["doc_id"], batch["text"], strict=True):
-                s = shingles.of(text)
+            for place, doc_id, s in zip(batch["place"], batch["doc_id"], shingles(list(batch["text"])), strict=True):
                 regs = registers(s)
                 x, y = mix(s, 2 * ROUNDS + 3), mix(s, 0)
                 f1, f2 = x.sum(dtype=np.uint64), np.bitwise_xor.reduce(y, initial=np.uint64(0))
-                rows.append((place, doc_id, len(s), int(f1.astype(np.int64)), int(f2.astype(np.int64)), meeting_keys(s, regs, percent).view(np.int64), regs.tobytes()))
-            yield pd.DataFrame(rows, columns=["place", "doc_id", "n", "f1", "f2", "keys", "regs"])
+                rows.append((place, doc_id, len(s), int(f1.astype(np.int64)), int(f2.astype(np.int64)), bands(regs).view(np.int64) if len(s) > SMALL else [], regs.tobytes(), s.view(np.int64) if 3 <= len(s) <= most else []))
+            yield pd.DataFrame(rows, columns=["place", "doc_id", "n", "f1", "f2", "bands", "regs", "small"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("place"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    got = rows.mapInPandas(sign, "place long, doc_id string, n int, f1 long, f2 long, keys array<long>, regs binary")
+    got = rows.mapInPandas(sign, "place long, doc_id string, n int, f1 long, f2 long, bands array<long>, regs binary, small array<long>")
     return got.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def _compare(members: DataFrame, percent: int, cross: bool) -> DataFrame:
-    """Pairs a, b (and the group's key) to compare among members key, i, j, node, n, regs, part."""
+def _rarest(own: DataFrame, percent: int) -> DataFrame:
+    """node, key: the rarest shingles of each small set that others hold too.
+
+    Of n shingles in order of how many small sets hold them, n - ceil(percent * n / 100) + 1 are its prefix: two sets over
+    the threshold share one of theirs. Shingles of one set only come first and meet nobody, so they are counted, not kept.
+    """
+    held = own.select("node", "n", F.explode("small").alias("key"))
+    shared = held.join(held.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "key")
+    each = Window.partitionBy("node")
+    shared = shared.withColumns({"k": F.count(F.lit(1)).over(each), "rank": F.row_number().over(each.orderBy("c", "key"))})
+    return shared.where(F.expr(f"rank <= n - cast(ceil({percent} * n / 100) as int) + 1 - (n - k)")).select("node", "key")
+
+
+def _by_group(members: DataFrame, edges: Callable[[pd.DataFrame], list[tuple[int, int]]]) -> DataFrame:
+    """key, a, b: nodes of the edges that a function finds in each group (key, i, j) of members, in order of n."""
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def edges(group: pd.DataFrame) -> list[tuple[int, int, int]]:
-            regs = np.frombuffer(b"".join(group["regs"]), np.uint16).reshape(len(group), REGISTERS)
-            n, node = group["n"].to_numpy(np.int64), group["node"].to_numpy(np.int64)
-            found = crossing(regs, n, group["part"].to_numpy(np.int64), percent) if cross else forest(regs, n, percent)
-            key = int(group["key"].iloc[0])
-            return [(key, int(min(node[x], node[y])), int(max(node[x], node[y]))) for x, y in found]
+        def found(group: pd.DataFrame) -> list[tuple[int, int, int]]:
+            key, node = int(group["key"].iloc[0]), group["node"].to_numpy(np.int64)
+            return [(key, int(min(node[x], node[y])), int(max(node[x], node[y]))) for x, y in edges(group)]
 
         held: list[pd.DataFrame] = []
         for batch in batches:
@@ -191,41 +208,33 @@ def _compare(members: DataFrame, percent: int, cross: bool) -> DataFrame:
             for low, high in zip(cuts, cuts[1:]):
                 part = batch.iloc[low:high]
                 if held and (held[0][["key", "i", "j"]].iloc[0].to_numpy(np.int64) != ids[low]).any():
-                    rows += edges(pd.concat(held))
+                    rows += found(pd.concat(held))
                     held = []
                 held.append(part)
             yield pd.DataFrame(rows, columns=["key", "a", "b"])
         if held:
-            yield pd.DataFrame(edges(pd.concat(held)), columns=["key", "a", "b"])
+            yield pd.DataFrame(found(pd.concat(held)), columns=["key", "a", "b"])
 
-    grouped = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    grouped = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "node")
     return grouped.mapInPandas(pairs, "key long, a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs a, b of places in docs, those whose full sets have 100 * intersection >= percent * union."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.monotonically_increasing_id().alias("place"), "text").join(nodes, F.col("place") == F.col("node")).select("node", "text")
-    texts = written(texts, "dedup-texts")
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+def _registers_of(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(group["regs"]), np.uint16).reshape(len(group), REGISTERS), group["n"].to_numpy(np.int64)
 
-    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, sets = Shingles(), {}
 
-        def of(node: int, text: str) -> np.ndarray:
-            if node not in sets:
-                if len(sets) > 256:
-                    sets.clear()
-                sets[node] = shingles.of(text)
-            return sets[node]
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs a, b of nodes with texts (node, text), those whose full sets have 100 * intersection >= percent * union."""
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")).hint("merge"), "a")
+    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")).hint("merge"), "b")
 
+    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = []
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"], strict=True):
-                s, t = of(a, x), of(b, y)
-                common = len(np.intersect1d(s, t, assume_unique=True))
-                keep.append(100 * common >= percent * (len(s) + len(t) - common))
+            some = {}  # texts by node: one of a pair comes again and again
+            for node, text in (*zip(batch["a"], batch["x"], strict=True), *zip(batch["b"], batch["y"], strict=True)):
+                some[node] = text
+            sets = dict(zip(some, shingles(list(some.values())), strict=True))
+            keep = [bool(linked(sets[a], [sets[b]], percent)[0]) for a, b in zip(batch["a"], batch["b"], strict=True)]
             yield batch.loc[keep, ["a", "b"]]
 
     return both.mapInPandas(confirm, "a long, b long")
@@ -238,15 +247,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     have no shingles and are linked with nothing. Rows of equal sets, repeated rows among them, are linked; several rows
     of the smallest doc_id are all kept. A null doc_id is never a component's name unless it has no other: then
     component_id is null and the rows are kept. An empty table gives an empty result. place is the row's place in docs
-    (monotonically_increasing_id); docs should be a table that reads the same each time. Texts may be of any length.
+    (monotonically_increasing_id; see stable()). Texts may be of any length.
     """
-    docs = docs.select("doc_id", "text")
+    docs = stable(docs).select("doc_id", "text")
     rows = written(signatures(docs, percent), "dedup-signatures")
     classes = rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("place").alias("node"), F.min("doc_id").alias("doc_id"))
     classes = written(classes, "dedup-classes")
-    own = rows.select("place", "keys", "regs").join(classes.select("node", F.col("n").alias("size")), F.col("place") == F.col("node"))
-    own = written(own.select("node", F.col("size").alias("n"), F.array_distinct("keys").alias("keys"), "regs"), "dedup-own")
-    met = own.select("node", F.explode("keys").alias("key"))
+    own = rows.drop("n").join(classes.select("node", "n"), F.col("place") == F.col("node"))
+    own = written(own.select("node", "n", "bands", "regs", "small"), "dedup-own")
+    met = written(own.select("node", F.explode("bands").alias("key")).unionByName(_rarest(own, percent)), "dedup-met")
     groups = met.groupBy("key").agg(
         F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.min("node").alias("a"), F.max("node").alias("b")
     ).where("c > 1")  # keys under which the same classes meet count once
@@ -256,16 +265,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     members = members.withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
     members = members.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node")
     members = members.join(own.select("node", "n", "regs"), "node")
-    trees = written(_compare(members.withColumn("part", F.lit(0).cast("long")), percent, cross=False), "dedup-trees")
+    trees = written(_by_group(members, lambda g: forest(*_registers_of(g), percent)), "dedup-trees")
     pairs = written(groups.where("c = 2").select("a", "b").unionByName(trees.select("a", "b")).distinct(), "dedup-pairs")
-    links = written(verified(pairs, docs, percent), "dedup-links")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = docs.select(F.monotonically_increasing_id().alias("node"), "text").join(nodes.hint("merge"), "node")
+    texts = written(texts, "dedup-texts")
+    links = written(verified(pairs, texts, percent), "dedup-links")
     failed = trees.join(links, ["a", "b"], "left_anti").select("key").distinct()
     roots = connected_components(links)
     again = members.join(failed, "key", "left_semi").join(roots.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left")
-    again = again.withColumn("part", F.coalesce("root", "node")).select("key", "i", "j", "node", "n", "regs", "part")
-    more = written(_compare(again, percent, cross=True).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "dedup-rest")
+    again = again.withColumn("part", F.coalesce("root", "node")).drop("w", "root").join(texts, "node")
+    more = _by_group(again, lambda g: crossing(list(shingles(list(g["text"]))), *_registers_of(g), g["part"].to_numpy(np.int64), percent))
+    more = written(more.select("a", "b").distinct(), "dedup-rest")
     if not more.isEmpty():
-        roots = connected_components(links.unionByName(verified(more, docs, percent)))
+        roots = connected_components(links.unionByName(more))
     named = classes.join(roots.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "root").select("f1", "f2", "n", F.lit(True).alias("in_class"), "component_id")
@@ -277,7 +290,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """One row of docs for each component: of its smallest doc_id (of rows that repeat it, the first); columns of docs."""
-    names = docs.columns
+    docs, names = stable(docs), docs.columns
     kept = near_duplicates(docs, percent).where("kept")
     alike = kept.where("n_shingles > 0").groupBy("component_id").agg(F.min("place").alias("place")).select("place")
     kept = alike.unionByName(kept.where("n_shingles = 0").select("place"))
