@@ -120,6 +120,29 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(l[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, l, unnest(range(1, greatest(len(l) - 3, 2))) AS i FROM w WHERE len(l) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)
+), r AS (
+  SELECT doc_id AS d, doc_id AS t FROM documents
+  UNION
+  SELECT r.d, z.b FROM r JOIN (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) z ON r.t = z.a
+), c AS (
+  SELECT d, min(t) AS component_id FROM r GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN c ON doc_id = d LEFT JOIN n USING (doc_id)
+"""
+
 #: Windows of 512 tokens with a history of 128, as format_windows() cuts them.
 OP10_SQL = r"""
 WITH t AS (
@@ -170,4 +193,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_topk": OP2_SQL, "op10_chat_format": OP10_SQL}
+    return {"op2_exact_topk": OP2_SQL, "op7_near_dedup": OP7_SQL, "op10_chat_format": OP10_SQL}
