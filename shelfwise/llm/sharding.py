@@ -65,7 +65,6 @@ def shard_documents(
         .select("bucket", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
     )
     names = [c for c in df.columns if c != "__place"]
-    partitions = min(2 * n_buckets, 16384)
     scattered = (
         df.select(
             F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
@@ -73,7 +72,7 @@ def shard_documents(
             F.xxhash64(F.lit(seed + 1), *key).alias("k"),
         )
         .select("row", "k", bucket.alias("bucket"))
-        .repartition(partitions, "bucket")
+        .repartitionById(min(n_buckets, 16384), "bucket")  # a bucket a task, as long as there are tasks enough
         .sortWithinPartitions("bucket", "k")
     )
     place = F.col("before") + F.col("pos")
