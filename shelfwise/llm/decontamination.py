@@ -1,7 +1,7 @@
 """Finding benchmark items in documents, re-parameterised ones too.
 
-Both sides become templates: numbers, names and units turn into typed placeholders, whose values are kept as slots.
-Windows of templates are joined by hash. Windows that match along one diagonal form a run; a run counts where each slot
+Both sides become templates: numbers, names and units turn into typed placeholders, whose values are kept as slots. Windows
+of templates are joined by hash; so are windows that keep their names as words, for copies in another case. Windows that match along one diagonal form a run; a run counts where each slot
 value of the item maps to one value of the document throughout.
 """
 
@@ -12,11 +12,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.workspace import written
+from shelfwise.llm.words import Words, kept, pieces
+from shelfwise.llm.workspace import stable, written
 
 #: Words of number, and units where a number stands before them.
 NUMBER_WORDS = frozenset(
@@ -38,7 +41,9 @@ MOST_BROADCAST = 2_000_000
 
 
 def token(word: str) -> tuple[int, str]:
-    """(code, slot value or the word) of a white-space token: 0 for none, 1 to 4 for placeholders, else a hash.
+    """(code, slot value or the word) of a white-space token: 0 for none, NUM and MEASURE, else a hash.
+
+    A hash has its fourth bit set, and below that NAME for names and 0 for other words.
 
     Punctuation around a word goes. Words with a first capital are names (at the start of sentences too, where the two
     can't be told apart; the slots then hold the words), words in capitals are lower-cased.
@@ -52,38 +57,36 @@ def token(word: str) -> tuple[int, str]:
     m = GLUED.fullmatch(low)
     if m and m[1] in UNITS:
         return MEASURE, low
-    if word[0].isupper() and (len(word) == 1 or not word.isupper()):
-        return NAME, low
-    return xxhash.xxh64_intdigest(low) | 8, low
-
-
-class Templates:
-    """Texts to codes of template tokens; remembers words. A unit counts as one only after a number."""
-
-    def __init__(self, words: int = 1_000_000) -> None:
-        self._codes: dict[str, int] = {}
-        self._most = words
-        self._units = np.array(sorted(token(u)[0] for u in UNITS), np.uint64)
-
-    def codes(self, text: str) -> np.ndarray:
-        words = text.split()
-        known = self._codes
-        if len(known) > self._most:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = token(w)[0]
-        codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        codes = codes[codes > 0]
-        after = np.flatnonzero(codes[:-1] == NUM) + 1
-        after = after[np.isin(codes[after], self._units)]
-        codes[after] = UNIT
-        return codes
+    name = word[0].isupper() and (len(word) == 1 or not word.isupper())
+    return xxhash.xxh64_intdigest(low) & ~7 | 8 | NAME * name, low
+
+
+def _code(word: str) -> int:
+    return token(word)[0]
+
+
+def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the template tokens of all texts, and where each text starts. A unit counts as one only after a number.
+
+    Words are remembered from one task of a Python worker to the next.
+    """
+    got, starts = kept("templates", lambda: Words(_code, ascii_only=False)).numbers(texts)
+    after = np.flatnonzero(got[:-1] == NUM) + 1
+    after = after[np.isin(got[after], _UNIT_CODES) & ~np.isin(after, starts)]
+    got[after] = UNIT
+    return got, starts
+
+
+def readings(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes with names as placeholders, and with names as the words that they are."""
+    names = (codes > MEASURE) & (codes & np.uint64(7) == NAME)
+    return np.where(names, np.uint64(NAME), codes), np.where(names, codes - np.uint64(NAME), codes)
 
 
 def values(text: str) -> list[str]:
-    """The words behind codes()."""
-    return [v for c, v in map(token, text.split()) if c]
+    """The words behind the codes of a text."""
+    split = pc.utf8_split_whitespace(pa.array([text], pa.large_string())).values.to_pylist()
+    return [v for c, v in map(token, split) if c]
 
 
 def window_hashes(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +102,15 @@ def window_hashes(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
     return out, 2 * (literal[width:] - literal[:-width]) >= width
 
 
+def most_slots(places: list[int], left: list[list[str]], right: list[list[str]]) -> tuple[np.ndarray, list[list[tuple[str, str]]]]:
+    """Places once each in order, with the slot pairs of the reading that has most: names that are the same count too."""
+    best: dict[int, list[tuple[str, str]]] = {}
+    for place, a, b in zip(places, left, right, strict=True):
+        if place not in best or len(a) > len(best[place]):
+            best[place] = list(zip(a, b, strict=True))
+    return np.array(sorted(best), np.int64), [best[p] for p in sorted(best)]
+
+
 def aligned(places: np.ndarray, slots: list[list[tuple[str, str]]], width: int) -> tuple[int, int, int]:
     """(tokens, from, changed slots) of the longest run of consecutive places whose slots agree; places ascend.
 
@@ -121,20 +133,23 @@ def aligned(places: np.ndarray, slots: list[list[tuple[str, str]]], width: int)
     return best
 
 
+_UNIT_CODES = np.array(sorted(token(u)[0] for u in UNITS), np.uint64)
+
+
 def _windows(items: DataFrame, width: int) -> DataFrame:
     """item_id, q, h, slots, n (tokens of the item) for each window of each item."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        templates = Templates()
         for batch in batches:
             rows = []
             for item, text in zip(batch["item"], batch["text"], strict=True):
-                codes, words = templates.codes(text), values(text)
-                hashes, literal = window_hashes(codes, width)
-                rows += [
-                    (item, q, int(np.int64(hashes[q].astype(np.int64))), [words[k] for k in range(q, q + width) if codes[k] <= MEASURE], len(codes))
-                    for q in np.flatnonzero(literal).tolist()
-                ]
+                words = values(text)
+                for own in readings(codes([text])[0]):
+                    hashes, literal = window_hashes(own, width)
+                    rows += [
+                        (item, q, int(hashes[q].astype(np.int64)), [words[k] for k in range(q, q + width) if own[k] <= MEASURE], len(own))
+                        for q in np.flatnonzero(literal).tolist()
+                    ]
             yield pd.DataFrame(rows, columns=["item", "q", "h", "slots", "n"])
 
     rows = items.select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text")).where("item is not null")
@@ -145,22 +160,32 @@ def _hits(width: int, wanted: np.ndarray | None) -> Callable[[Iterator[pd.DataFr
     """Windows of documents: place, p, h, slots; only the wanted hashes, unless that is None."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        templates = Templates()
         sieve = None
         if wanted is not None:
             sieve = np.zeros(1 << 22, bool)
             sieve[wanted & np.uint64((1 << 22) - 1)] = True
         for batch in batches:
-            rows: list[tuple] = []
-            for place, text in zip(batch["place"], batch["text"], strict=True):
-                codes = templates.codes(text)
-                hashes, literal = window_hashes(codes, width)
-                at = np.flatnonzero(literal if sieve is None else literal & sieve[hashes & np.uint64((1 << 22) - 1)])
-                if sieve is not None and len(at):
-                    at = at[np.isin(hashes[at], wanted)]
-                if len(at):
-                    words = values(text)
-                    rows += [(place, p, int(hashes[p].astype(np.int64)), [words[k] for k in range(p, p + width) if codes[k] <= MEASURE]) for p in at.tolist()]
+            texts, places, rows = list(batch["text"]), list(batch["place"]), []
+            for piece in pieces(texts):
+                both, starts = codes([texts[i] for i in piece])
+                at, last, words, seen = [], -1, [], np.empty(0, np.uint64)
+                for got in readings(both):
+                    hashes, literal = window_hashes(got, width)
+                    if len(seen):
+                        literal &= hashes != seen  # windows without names read alike
+                    seen = hashes
+                    near = np.flatnonzero(literal if sieve is None else literal & sieve[hashes & np.uint64((1 << 22) - 1)])
+                    if sieve is not None:
+                        near = near[np.isin(hashes[near], wanted)]
+                    owner = np.searchsorted(starts, near, "right") - 1
+                    inside = near + width <= starts[owner + 1]  # windows lie within one text
+                    near, owner = near[inside], owner[inside]
+                    free = [np.flatnonzero(got[k : k + width] <= MEASURE).tolist() for k in near.tolist()]
+                    at += zip(owner.tolist(), (near - starts[owner]).tolist(), hashes[near].astype(np.int64).tolist(), free, strict=True)
+                for i, p, h, free in sorted(at):
+                    if i != last:
+                        last, words = i, values(texts[piece[i]])
+                    rows.append((places[piece[i]], p, h, [words[p + j] for j in free]))
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=["place", "p", "h", "slots"])
                     rows = []
@@ -175,14 +200,14 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12,
     A pair counts where a run of windows with agreeing slots spans at least `run` tokens, or all tokens of an item with
     fewer (items of less than `width` tokens are never found). tokens is the longest run's length, changed the number of
     its slot values that differ from the item's: 0 for verbatim passages. place is the row's place in docs
-    (monotonically_increasing_id); docs should be a table that reads the same each time. Null texts hold nothing, null
+    (monotonically_increasing_id; see stable()). Null texts hold nothing, null
     item_ids are no items, repeated rows are judged one by one, an item's repeated rows count once. Empty tables give an
     empty result.
 
     The windows of items go to every task as sorted hashes where there are at most most_broadcast different ones, which
     is counted first; else the windows of documents are all shuffled to the join.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, stable(docs)
     windows = written(_windows(items, width).distinct(), "item-windows")
     hashes = windows.select("h").distinct()
     if hashes.count() <= most_broadcast:
@@ -200,10 +225,7 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12,
 
     @F.pandas_udf("tokens long, begin long, changed long")
     def longest(q: pd.Series, a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        rows = [
-            aligned(np.asarray(places), [list(zip(x, y, strict=True)) for x, y in zip(left, right, strict=True)], width)
-            for places, left, right in zip(q, a, b, strict=True)
-        ]
+        rows = [aligned(*most_slots(places, left, right), width) for places, left, right in zip(q, a, b, strict=True)]
         return pd.DataFrame(rows, columns=["tokens", "begin", "changed"])
 
     runs = runs.withColumn("r", longest(F.col("w.q"), F.col("w.item_slots"), F.col("w.slots"))).select("place", "item", "n", "r.tokens", "r.changed")
@@ -214,6 +236,7 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12,
 
 def contaminated(docs: DataFrame, items: DataFrame, **options: int) -> DataFrame:
     """doc_id, item_id, tokens, changed for each document and item in it. See find_items()."""
+    docs = stable(docs)
     found = find_items(docs, items, **options)
     names = docs.select(F.monotonically_increasing_id().alias("place"), "doc_id")
     kind = items.schema["item_id"].dataType
@@ -222,6 +245,6 @@ def contaminated(docs: DataFrame, items: DataFrame, **options: int) -> DataFrame
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **options: int) -> DataFrame:
     """docs without the rows that hold an item; the columns of docs, whatever their names."""
-    names = docs.columns
+    docs, names = stable(docs), docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.monotonically_increasing_id().alias("place"))
     return rows.join(find_items(docs, items, **options).select("place").distinct(), "place", "left_anti").select("__row.*")

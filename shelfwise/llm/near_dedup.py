@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfwise.llm.components import connected_components
-from shelfwise.llm.words import Words, pieces
+from shelfwise.llm.words import Words, kept, pieces
 from shelfwise.llm.workspace import stable, written
 
 WORDS = 5
@@ -45,18 +45,14 @@ def mix(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-_words: list[Words] = []
-
-
 def shingles(texts: list[str | None]) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text; words are remembered from one task of a Python worker to the next.
 
     A-Z are lower-cased, the six white ASCII characters part words, and fewer than WORDS words are one shingle.
     """
-    if not _words:
-        _words.append(Words(xxhash.xxh64_intdigest, ascii_only=True))
+    words = kept("shingles", lambda: Words(xxhash.xxh64_intdigest, ascii_only=True))
     for piece in pieces(texts):
-        numbers, starts = _words[0].numbers([texts[i] for i in piece])
+        numbers, starts = words.numbers([texts[i] for i in piece])
         for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             if low == high:
                 yield np.empty(0, np.uint64)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfwise.llm.rans import Table
+from shelfwise.llm.words import kept
 from shelfwise.llm.workspace import new_path, stable
 
 MAGIC, HEADER = b"SWTK0001", struct.Struct("<8sIQQIIII")
@@ -112,16 +113,6 @@ class Tokens:
         return [np.concatenate((h, x)) for h, x in zip(heads, np.split(ids, cuts[:-1]), strict=True)]
 
 
-_loaded: dict[str, Tokens] = {}
-
-
-def tokens_of(path: str) -> Tokens:
-    """The tokenizer of a Python worker, which goes on from one task to the next."""
-    if path not in _loaded:
-        _loaded[path] = Tokens(path)
-    return _loaded[path]
-
-
 def pack(doc_ids: list[int | None], ids: list[np.ndarray], lanes: int = 1024, block: int = 1 << 18) -> bytes:
     """One segment of whole documents."""
     flat = np.concatenate(ids).astype(np.uint32) if ids else np.empty(0, np.uint32)
@@ -192,7 +183,7 @@ def write_token_files(
     path = path or new_path(docs.sparkSession, "tokens")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, file_no = tokens_of(tokenizer), TaskContext.get().partitionId()
+        tokens, file_no = kept(f"tokens {tokenizer}", lambda: Tokens(tokenizer)), TaskContext.get().partitionId()
         seg_no = first = held = 0
         names: list[int | None] = []
         ids: list[np.ndarray] = []

@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+T = TypeVar("T")
+
+
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], T]) -> T:
+    """What a Python worker goes on with from one task to the next: the last thing made under a name, and no other."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
 
 class Words:
     """Splits texts at white space and gives each word its number; distinct words of a batch are looked up once.
@@ -17,7 +31,7 @@ class Words:
     white ends; they have the number 0 and are left out, as are all words of number 0.
     """
 
-    def __init__(self, number: Callable[[str], int], ascii_only: bool, most: int = 500_000) -> None:
+    def __init__(self, number: Callable[[str], int], ascii_only: bool, most: int = 200_000) -> None:
         self._number, self._ascii, self._most = number, ascii_only, most
         self._known: dict[str, int] = {"": 0}
         self._older: dict[str, int] = {}
@@ -40,7 +54,7 @@ class Words:
         return got[got != 0], kept[lists.offsets.to_numpy()]
 
 
-def pieces(texts: list[str | None], most: int = 8 << 20) -> list[range]:
+def pieces(texts: list[str | None], most: int = 4 << 20) -> list[range]:
     """Ranges of texts of about so many characters each."""
     out, low, size = [], 0, 0
     for i, t in enumerate(texts):

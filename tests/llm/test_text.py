@@ -96,15 +96,15 @@ def test_decontamination(spark):
         (1, "Before. " + ITEM.replace("Tom", "Ann").replace("3", "70").replace("4", "9") + " After it."),
         (2, ITEM.replace("does Tom", "does Zed")), (3, None), (4, ""), (5, "x " + ITEM.upper()), (None, ITEM), (6, ITEM), (6, ITEM),
         (7, "3 4 5 6 7 8 9 10 11 12 13 14 15 16"), (8, "Nothing of it is here, and all of these words are others, as many as may be."),
-        (9, "word " * 3000 + ITEM),
+        (9, "word " * 3000 + ITEM), (14, ITEM.lower()), (15, ITEM.replace(" ", "\n ")),
     ], "doc_id long, text string")
     items = spark.createDataFrame([(10, ITEM, 1), (10, ITEM, 1), (11, None, 1), (None, ITEM, 1), (12, "too short", 1), (13, "1 2 3 4 5 6 7 8 9 10 11 12", 1)], "item_id long, text string, place int")
-    want = [(None, 10, 21, 0), (1, 10, 21, 3), (2, 10, 16, 0), (6, 10, 21, 0), (6, 10, 21, 0), (9, 10, 21, 0)]
+    want = [(None, 10, 21, 0), (1, 10, 21, 3), (2, 10, 16, 0), (5, 10, 21, 0), (6, 10, 21, 0), (6, 10, 21, 0), (9, 10, 21, 0), (14, 10, 21, 0), (15, 10, 21, 0)]
     for most in (decontamination.MOST_BROADCAST, 0):
         got = sorted((tuple(r) for r in decontamination.contaminated(docs, items, most_broadcast=most).collect()), key=lambda r: (r[0] is not None, r))
         assert got == want
     left = decontamination.without_contaminated(docs.withColumn("place", F.lit(1)), items)
-    assert left.columns == ["doc_id", "text", "place"] and sorted(r[0] for r in left.collect()) == [3, 4, 5, 7, 8]
+    assert left.columns == ["doc_id", "text", "place"] and sorted(r[0] for r in left.collect()) == [3, 4, 7, 8]
     assert decontamination.contaminated(docs.limit(0), items).count() == decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
