@@ -21,8 +21,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """Rows as tuples in a stable order."""
-    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=lambda r: tuple((x is None, str(x)) for x in r))
