@@ -1,8 +1,10 @@
 """Finding benchmark items in documents, re-parameterised ones too.
 
 Both sides become templates: numbers, names and units turn into typed placeholders, whose values are kept as slots. Windows
-of templates are joined by hash; so are windows that keep their names as words, for copies in another case. Windows that match along one diagonal form a run; a run counts where each slot
-value of the item maps to one value of the document throughout.
+of templates are joined by hash; so are windows that keep their names as words, for copies in another case, and windows that
+keep all words, for copies of what is mostly numbers. Windows without a plain word are no key of their own: the neighbour
+that ends in one carries the placeholders before or after it. Windows that match along one diagonal cover a run of tokens; a
+run counts where each slot value of the item maps to one value of the document throughout.
 """
 
 from __future__ import annotations
@@ -36,14 +38,15 @@ NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(%|st|nd|rd|th)?")
 GLUED = re.compile(r"[$€£]?[+-]?\d[\d.,]*([a-z]+)")
 STRIP = re.compile(r"^[^\w$€£+-]+|[\W_]+$")
 _P = np.uint64(0x9E3779B97F4A7C15)
+_KIND = np.uint64(7)
 #: At most so many different windows of items go to every task (8 bytes each); beyond, all windows of documents are shuffled.
 MOST_BROADCAST = 2_000_000
 
 
 def token(word: str) -> tuple[int, str]:
-    """(code, slot value or the word) of a white-space token: 0 for none, NUM and MEASURE, else a hash.
+    """(code, slot value or the word) of a white-space token: 0 for none, else a hash.
 
-    A hash has its fourth bit set, and below that NAME for names and 0 for other words.
+    A hash has its fourth bit set, and below that NUM, NAME or MEASURE, or 0 for other words.
 
     Punctuation around a word goes. Words with a first capital are names (at the start of sentences too, where the two
     can't be told apart; the slots then hold the words), words in capitals are lower-cased.
@@ -52,13 +55,14 @@ def token(word: str) -> tuple[int, str]:
     low = word.lower()
     if not low or not any(map(str.isalnum, low)):
         return 0, ""
-    if low in NUMBER_WORDS or NUMBER.fullmatch(low):
-        return NUM, low
     m = GLUED.fullmatch(low)
-    if m and m[1] in UNITS:
-        return MEASURE, low
-    name = word[0].isupper() and (len(word) == 1 or not word.isupper())
-    return xxhash.xxh64_intdigest(low) & ~7 | 8 | NAME * name, low
+    if low in NUMBER_WORDS or NUMBER.fullmatch(low):
+        kind = NUM
+    elif m and m[1] in UNITS:
+        kind = MEASURE
+    else:
+        kind = NAME * (word[0].isupper() and (len(word) == 1 or not word.isupper()))
+    return xxhash.xxh64_intdigest(low) & ~7 | 8 | kind, low
 
 
 def _code(word: str) -> int:
@@ -71,16 +75,17 @@ def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     Words are remembered from one task of a Python worker to the next.
     """
     got, starts = kept("templates", lambda: Words(_code, ascii_only=False)).numbers(texts)
-    after = np.flatnonzero(got[:-1] == NUM) + 1
+    after = np.flatnonzero(got[:-1] & _KIND == NUM) + 1
     after = after[np.isin(got[after], _UNIT_CODES) & ~np.isin(after, starts)]
-    got[after] = UNIT
+    got[after] |= np.uint64(UNIT)
     return got, starts
 
 
-def readings(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The codes with names as placeholders, and with names as the words that they are."""
-    names = (codes > MEASURE) & (codes & np.uint64(7) == NAME)
-    return np.where(names, np.uint64(NAME), codes), np.where(names, codes - np.uint64(NAME), codes)
+def readings(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The codes with names as placeholders, with names as the words that they are, and with nothing but words."""
+    kind, words = codes & _KIND, codes & ~_KIND
+    template = np.where(kind > 0, kind, words)
+    return template, np.where(kind == NAME, words, template), words
 
 
 def values(text: str) -> list[str]:
@@ -90,74 +95,152 @@ def values(text: str) -> list[str]:
 
 
 def window_hashes(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each window, and whether at least half of it are words. Shorter texts have none."""
+    """Hash of each window, and how many of it are words. Shorter texts have none."""
     n = len(codes) - width + 1
     if n < 1:
-        return np.empty(0, np.uint64), np.empty(0, bool)
-    out = np.zeros(n, np.uint64)
-    for k in range(width):
-        out = (out ^ codes[k : k + n]) * _P
-        out ^= out >> np.uint64(29)
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     literal = np.concatenate(([0], np.cumsum(codes > MEASURE)))
-    return out, 2 * (literal[width:] - literal[:-width]) >= width
+    return _hashes(codes, np.s_[:n], width), literal[width:] - literal[:-width]
+
 
+def _hashes(codes: np.ndarray, at: slice | np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the windows at some places, or from the first to a last one."""
+    out = np.zeros(len(codes[at]), np.uint64)
+    for k in range(width):
+        out = (out ^ (codes[k : k + at.stop] if isinstance(at, slice) else codes[at + k])) * _P
+        out ^= out >> np.uint64(29)
+    return out
 
-def most_slots(places: list[int], left: list[list[str]], right: list[list[str]]) -> tuple[np.ndarray, list[list[tuple[str, str]]]]:
-    """Places once each in order, with the slot pairs of the reading that has most: names that are the same count too."""
-    best: dict[int, list[tuple[str, str]]] = {}
-    for place, a, b in zip(places, left, right, strict=True):
-        if place not in best or len(a) > len(best[place]):
-            best[place] = list(zip(a, b, strict=True))
-    return np.array(sorted(best), np.int64), [best[p] for p in sorted(best)]
 
+def keys(codes: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(codes of a reading, places, hashes) of the windows that are keys; one that two readings share is in the first.
 
-def aligned(places: np.ndarray, slots: list[list[tuple[str, str]]], width: int) -> tuple[int, int, int]:
-    """(tokens, from, changed slots) of the longest run of consecutive places whose slots agree; places ascend.
+    Templates need a word in a window; below width 4 they are not read, as then only verbatim windows count.
+    """
+    template, named, words = readings(codes)
+    first, literal = window_hashes(template, width)
+    second, also = window_hashes(named, width)
+    if width >= 4:
+        places = np.flatnonzero(literal > 0)
+        yield template, places, first[places]
+        places = np.flatnonzero((also > 0) & (second != first))
+        yield named, places, second[places]
+    places = np.flatnonzero(also < (width if width >= 4 else width + 1))
+    yield words, places, _hashes(words, places, width)
+
+
+def beside(codes: np.ndarray, place: int, width: int, low: int, high: int) -> tuple[list[int], list[int]]:
+    """Places of the placeholders before a window whose only word is its last, and of those after one whose only word is
+    its first: nearest first, from low on and below high."""
+    at = [k for k in range(width) if codes[place + k] > MEASURE]
+    before, after = [], []
+    if at == [width - 1]:
+        k = place - 1
+        while k >= low and codes[k] <= MEASURE:
+            before.append(k)
+            k -= 1
+    elif at == [0]:
+        k = place + width
+        while k < high and codes[k] <= MEASURE:
+            after.append(k)
+            k += 1
+    return before, after
+
+
+def covered(windows: list[dict], width: int) -> dict[int, tuple[str, str] | None]:
+    """Place in the item -> slot pair, or None for a word, of all tokens along a diagonal that agree."""
+    got: dict[int, tuple[str, str] | None] = {}
+    for w in windows:
+        q = w["q"]
+        for k in range(q, q + width):
+            got.setdefault(k, None)
+        for k, a, b in zip(w["free"], w["item_slots"], w["slots"], strict=True):
+            got[k] = (a, b)
+        for k, step, left, right in ((q - 1, -1, w["item_before"], w["before"]), (q + width, 1, w["item_after"], w["after"])):
+            for a, b in zip(left, right, strict=False):
+                if a[0] != b[0]:
+                    break
+                got[k] = (a[1:], b[1:])
+                k += step
+    return got
+
+
+def aligned(tokens: dict[int, tuple[str, str] | None], width: int, same: int, back: bool = True) -> tuple[int, int]:
+    """(tokens, changed slots) of the longest run of consecutive places whose slots agree and `same` tokens of which are
+    words or unchanged values.
 
     Slots agree where every value of the item has one value in the document. A run that breaks this is cut before the
-    window that does.
+    token that does. The next one starts with the window that ends in it, or, without `back`, as early as it can.
     """
-    best, start, mapping = (0, 0, 0), 0, {}
-    for i in range(len(places)):
-        if i and places[i] != places[i - 1] + 1:
-            start, mapping = i, {}
-        if any(mapping.get(a, b) != b for a, b in slots[i]) or len({a for a, _ in slots[i]}) < len(set(slots[i])):
-            start, mapping = i, {}
-        if len({a for a, _ in slots[i]}) < len(set(slots[i])):  # at odds with itself
-            start = i + 1
-            continue
-        mapping.update(slots[i])
-        length = int(places[i] - places[start]) + width
-        if length > best[0]:
-            best = (length, int(places[start]), sum(a != b for a, b in mapping.items()))
+    best, start, off = (0, 0), 0, 0
+    held: dict[str, list] = {}
+
+    def drop(k: int) -> int:
+        if tokens[k] is None:
+            return 0
+        a, b = tokens[k]
+        held[a][1] -= 1
+        if not held[a][1]:
+            del held[a]
+        return int(a != b)
+
+    for t in sorted(tokens):
+        if t - 1 not in tokens:
+            start, off = t, 0
+            held.clear()
+        if tokens[t] is not None:
+            a, b = tokens[t]
+            if a in held and held[a][0] != b:
+                while start < t and (a in held or back and start <= t - width):
+                    off -= drop(start)
+                    start += 1
+            held.setdefault(a, [b, 0])[1] += 1
+            off += a != b
+        length = t - start + 1
+        if length > best[0] and length - off >= same:
+            best = (length, sum(a != b for a, (b, _) in held.items()))
     return best
 
 
 _UNIT_CODES = np.array(sorted(token(u)[0] for u in UNITS), np.uint64)
 
 
+PARTS = ("free", "item_slots", "slots", "item_before", "before", "item_after", "after")
+_SLOTS = "slots array<string>, before array<string>, after array<string>"
+
+
+def _slots(own: np.ndarray, words: list[str], place: int, width: int, low: int = 0, reach: int | None = None) -> tuple[list[str], list[str], list[str]]:
+    """Slots of the window at a place of own, and of what is beside it; words are those of own from low on."""
+    end = low + len(words)
+    before, after = beside(own, place, width, low if reach is None else max(low, place - reach), end if reach is None else min(end, place + width + reach))
+    slots = [words[k - low] for k in range(place, place + width) if own[k] <= MEASURE]
+    return slots, [f"{own[k]}{words[k - low]}" for k in before], [f"{own[k]}{words[k - low]}" for k in after]
+
+
 def _windows(items: DataFrame, width: int) -> DataFrame:
-    """item_id, q, h, slots, n (tokens of the item) for each window of each item."""
+    """item_id, q, h, n (tokens of the item), free (places of slots), slots, before and after for each window of each item."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for item, text in zip(batch["item"], batch["text"], strict=True):
-                words = values(text)
-                for own in readings(codes([text])[0]):
-                    hashes, literal = window_hashes(own, width)
-                    rows += [
-                        (item, q, int(hashes[q].astype(np.int64)), [words[k] for k in range(q, q + width) if own[k] <= MEASURE], len(own))
-                        for q in np.flatnonzero(literal).tolist()
-                    ]
-            yield pd.DataFrame(rows, columns=["item", "q", "h", "slots", "n"])
+                words, whole = values(text), codes([text])[0]
+                w = min(width, len(whole))
+                for own, places, hashes in keys(whole, w) if w else ():
+                    for q, h in zip(places.tolist(), hashes.astype(np.int64).tolist(), strict=True):
+                        free = [k for k in range(q, q + w) if own[k] <= MEASURE]
+                        rows.append((item, q, h, len(own), free, *_slots(own, words, q, w)))
+            yield pd.DataFrame(rows, columns=["item", "q", "h", "n", "free", "slots", "before", "after"])
 
     rows = items.select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text")).where("item is not null")
-    return rows.mapInPandas(cut, "item string, q long, h long, slots array<string>, n long")
+    return rows.mapInPandas(cut, f"item string, q long, h long, n long, free array<long>, {_SLOTS}")
+
 
+def _hits(width: int, short: list[int], reach: int, wanted: np.ndarray | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Windows of documents: place, p, h, slots, before, after; only the wanted hashes, unless that is None.
 
-def _hits(width: int, wanted: np.ndarray | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Windows of documents: place, p, h, slots; only the wanted hashes, unless that is None."""
+    short are the widths of items with fewer tokens than width; reach is how far items have placeholders beside a window.
+    """
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sieve = None
@@ -168,28 +251,26 @@ def _hits(width: int, wanted: np.ndarray | None) -> Callable[[Iterator[pd.DataFr
             texts, places, rows = list(batch["text"]), list(batch["place"]), []
             for piece in pieces(texts):
                 both, starts = codes([texts[i] for i in piece])
-                at, last, words, seen = [], -1, [], np.empty(0, np.uint64)
-                for got in readings(both):
-                    hashes, literal = window_hashes(got, width)
-                    if len(seen):
-                        literal &= hashes != seen  # windows without names read alike
-                    seen = hashes
-                    near = np.flatnonzero(literal if sieve is None else literal & sieve[hashes & np.uint64((1 << 22) - 1)])
-                    if sieve is not None:
-                        near = near[np.isin(hashes[near], wanted)]
-                    owner = np.searchsorted(starts, near, "right") - 1
-                    inside = near + width <= starts[owner + 1]  # windows lie within one text
-                    near, owner = near[inside], owner[inside]
-                    free = [np.flatnonzero(got[k : k + width] <= MEASURE).tolist() for k in near.tolist()]
-                    at += zip(owner.tolist(), (near - starts[owner]).tolist(), hashes[near].astype(np.int64).tolist(), free, strict=True)
-                for i, p, h, free in sorted(at):
+                last, words = -1, []
+                at = []
+                for w in [width, *short]:
+                    for own, near, hashes in keys(both, w):
+                        if sieve is not None:
+                            held = np.flatnonzero(sieve[hashes & np.uint64((1 << 22) - 1)])
+                            held = held[np.isin(hashes[held], wanted)]
+                            near, hashes = near[held], hashes[held]
+                        owner = np.searchsorted(starts, near, "right") - 1
+                        inside = near + w <= starts[owner + 1]  # windows lie within one text
+                        near, owner, hashes = near[inside], owner[inside], hashes[inside].astype(np.int64)
+                        at += [(i, p, h, w, own) for i, p, h in zip(owner.tolist(), near.tolist(), hashes.tolist(), strict=True)]
+                for i, p, h, w, own in sorted(at, key=lambda x: x[:4]):
                     if i != last:
-                        last, words = i, values(texts[piece[i]])
-                    rows.append((places[piece[i]], p, h, [words[p + j] for j in free]))
+                        last, words, low = i, values(texts[piece[i]]), int(starts[i])
+                    rows.append((places[piece[i]], p - low, h, *_slots(own, words, p, w, low, reach)))
                 if len(rows) > 50_000:
-                    yield pd.DataFrame(rows, columns=["place", "p", "h", "slots"])
+                    yield pd.DataFrame(rows, columns=["place", "p", "h", "slots", "before", "after"])
                     rows = []
-            yield pd.DataFrame(rows, columns=["place", "p", "h", "slots"])
+            yield pd.DataFrame(rows, columns=["place", "p", "h", "slots", "before", "after"])
 
     return find
 
@@ -198,8 +279,9 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12,
     """place, item, tokens, changed: rows of docs (doc_id, text) that hold an item (item_id, text), one row a pair.
 
     A pair counts where a run of windows with agreeing slots spans at least `run` tokens, or all tokens of an item with
-    fewer (items of less than `width` tokens are never found). tokens is the longest run's length, changed the number of
-    its slot values that differ from the item's: 0 for verbatim passages. place is the row's place in docs
+    fewer, and half a window of its tokens (all, of an item with fewer) are plain words or values that did not change: a
+    row of other numbers is no copy of a row of numbers. Items of less than `width` tokens are one window. tokens is the
+    longest run's length, changed the number of its slot values that differ from the item's: 0 for verbatim passages. place is the row's place in docs
     (monotonically_increasing_id; see stable()). Null texts hold nothing, null
     item_ids are no items, repeated rows are judged one by one, an item's repeated rows count once. Empty tables give an
     empty result.
@@ -210,25 +292,32 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12,
     spark, docs = docs.sparkSession, stable(docs)
     windows = written(_windows(items, width).distinct(), "item-windows")
     hashes = windows.select("h").distinct()
+    shape = windows.agg(F.max(F.greatest(F.size("before"), F.size("after"))).alias("reach"), F.sort_array(F.collect_set(F.when(F.col("n") < width, F.col("n")))).alias("short")).first()
+    reach, short = shape["reach"] or 0, list(shape["short"])
     if hashes.count() <= most_broadcast:
         wanted = np.sort(np.array([r[0] for r in hashes.collect()], np.int64).view(np.uint64))
         held = spark.sparkContext.broadcast(wanted)
-        find = lambda batches: _hits(width, held.value)(batches)
+        find = lambda batches: _hits(width, short, reach, held.value)(batches)
     else:
-        find = _hits(width, None)
+        find = _hits(width, short, reach, None)
     texts = docs.select(F.monotonically_increasing_id().alias("place"), F.col("text")).where("text is not null")
-    found = texts.mapInPandas(find, "place long, p long, h long, slots array<string>")
-    pairs = found.join(windows.withColumnRenamed("slots", "item_slots"), "h")
+    found = texts.mapInPandas(find, f"place long, p long, h long, {_SLOTS}")
+    pairs = found.join(windows.withColumnsRenamed({c: f"item_{c}" for c in ("slots", "before", "after")}), "h")
     runs = pairs.groupBy("place", "item", "n", (F.col("p") - F.col("q")).alias("shift")).agg(
-        F.array_sort(F.collect_set(F.struct("q", "item_slots", "slots"))).alias("w")
+        F.collect_set(F.struct("q", "free", "item_slots", "slots", "item_before", "before", "item_after", "after")).alias("w")
     )
 
-    @F.pandas_udf("tokens long, begin long, changed long")
-    def longest(q: pd.Series, a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        rows = [aligned(*most_slots(places, left, right), width) for places, left, right in zip(q, a, b, strict=True)]
-        return pd.DataFrame(rows, columns=["tokens", "begin", "changed"])
-
-    runs = runs.withColumn("r", longest(F.col("w.q"), F.col("w.item_slots"), F.col("w.slots"))).select("place", "item", "n", "r.tokens", "r.changed")
+    @F.pandas_udf("tokens long, changed long")
+    def longest(n: pd.Series, q: pd.Series, *parts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for size, at, *rest in zip(n, q, *parts, strict=True):
+            windows = [dict(zip(("q", *PARTS), one, strict=True)) for one in zip(at, *rest, strict=True)]
+            tokens, same = covered(windows, min(width, size)), min(width // 2, size)
+            got = aligned(tokens, width, same)
+            rows.append(got if got[0] >= min(run, size) else aligned(tokens, width, same, back=False))
+        return pd.DataFrame(rows, columns=["tokens", "changed"])
+
+    runs = runs.withColumn("r", longest("n", "w.q", *[F.col(f"w.{c}") for c in PARTS])).select("place", "item", "n", "r.tokens", "r.changed")
     runs = runs.where(F.col("tokens") >= F.least(F.lit(run), F.col("n")))
     best = F.max(F.struct("tokens", (-F.col("changed")).alias("c")))
     return runs.groupBy("place", "item").agg(best.alias("b")).select("place", "item", "b.tokens", (-F.col("b.c")).alias("changed"))

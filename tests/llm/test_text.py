@@ -108,6 +108,23 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs.limit(0), items).count() == decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
+CONVERT = "Convert 5 km 300 m to cm and 2 kg 40 g to g"
+
+
+def test_decontamination_of_numbers_and_short_items(spark):
+    row = "Add 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 and then give the total"
+    other = row.replace(" 20 ", " 77 ").replace(" 3 ", " 88 ")
+    docs = spark.createDataFrame([
+        (1, "See: " + CONVERT + ". End"), (2, CONVERT.replace("5", "70").replace("40", "9")), (3, row), (4, other), (5, "Rows 1 2 3 4 5 6 7 8 9 10 11 12 13 of it"),
+        (6, "He asked: what is 7 plus 8? Nobody knew."), (7, "What is 9 plus 8"), (8, "What is 9 minus 8"), (9, "Add 51 52 53 54 55 56 57 58 59 60 61 62 63 64 65 66 67 68 69 70 to it"),
+        (10, "to cm and to g, and 5 km"), (11, "Is it Oslo or Rome?"), (12, "It was 7 plus 8 and what is"),
+    ], "doc_id long, text string")
+    items = spark.createDataFrame([(1, CONVERT), (2, row), (3, "1 2 3 4 5 6 7 8 9 10 11 12"), (4, "What is 7 plus 8?"), (5, "oslo or rome"), (6, "")], "item_id long, text string")
+    want = [(1, 1, 14, 0), (2, 1, 14, 2), (3, 2, 26, 0), (3, 3, 12, 0), (4, 2, 26, 2), (5, 2, 13, 0), (5, 3, 12, 0), (6, 4, 5, 0), (7, 4, 5, 1), (11, 5, 3, 0)]
+    for most in (decontamination.MOST_BROADCAST, 0):
+        assert sorted(tuple(r) for r in decontamination.contaminated(docs, items, most_broadcast=most).collect()) == want
+
+
 def test_op3_finds_what_plain_search_does(spark):
     words = lambda t: " ".join("".join(c if c.isalnum() else " " for c in (t or "").lower()).split())
     docs = [(r.doc_id, words(r.text)) for r in table(spark, SF2, "documents").collect()]
