@@ -39,12 +39,31 @@ NOT_ARTICLE = frozenset(
 NOT_ARTICLE_OUTSIDE = frozenset("header banner top search copyright disclaimer legal".split())
 #: Of these, the ones that hold articles of others.
 OTHERS = frozenset("sidebar comment comments disqus respond reply replies related recommended widget".split())
+#: Words that may stand beside these in one class or id; any other word makes it a name for something else (`related-work`).
+NEUTRAL = frozenset(
+    "area articles bar block bottom box btn button buttons container count desktop entry footer form google header icon icons id inner item "
+    "items js large left link links list main mobile outer page panel post posts primary right secondary section side site small text "
+    "thread title top wp wrap wrapper".split()
+)
+#: Never left out by class or id.
+WHOLE = frozenset(("html", "body", "main", "article"))
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[a-z]+|[0-9]+")
 
 
-def _lines(page: str) -> list[tuple[str, int, bool, int]]:
-    """(text, link characters, in an article, gap): gap 1 stands for left-out text, 2 for the edge of an article."""
+def _marks(value: str, marks: frozenset[str]) -> set[str]:
+    """Words of a class or id among marks; only of names that hold no words but marks, neutral ones, numbers and letters."""
+    found: set[str] = set()
+    for name in value.lower().split():
+        words = set(WORD.findall(name))
+        if all(w in marks or w in NEUTRAL or len(w) == 1 or w.isdigit() for w in words):
+            found |= words & marks
+    return found
+
+
+def _lines(page: str, classes: bool = True) -> list[tuple[str, int, bool, int]]:
+    """(text, link characters, in an article, gap): gap 1 stands for left-out text, 2 for the edge of an article, 3 for text
+    that is left out by class or id, which happens with `classes` only."""
     lines: list[tuple[str, int, bool, int]] = []
     held: list[str] = []
     links = 0
@@ -109,20 +128,29 @@ def _lines(page: str) -> list[tuple[str, int, bool, int]]:
                 pop()
         if name in VOID or rest.endswith("/"):
             continue
-        left_out, words, roles = int(name in APART or name == "header" and not article) + (name == "aside"), set(), set()
+        left_out, words, roles, by_class = int(name in APART or name == "header" and not article) + (name == "aside"), set(), set(), False
         if "=" in rest:
+            marks = NOT_ARTICLE if article else NOT_ARTICLE | NOT_ARTICLE_OUTSIDE
             for key, a, b, c in ATTRIBUTE.findall(rest):
-                (roles if key.lower() == "role" else words).update(WORD.findall((a or b or c).lower()))
-            if words & NOT_ARTICLE or roles & ROLES or not article and words & NOT_ARTICLE_OUTSIDE:
+                if key.lower() == "role":
+                    roles.update(WORD.findall((a or b or c).lower()))
+                elif classes and not (article and name == "section" and key.lower() == "id"):  # there an id is a heading's anchor
+                    words |= _marks(a or b or c, marks)
+            if name in WHOLE and not (name == "article" and article and words & OTHERS):
+                words &= OTHERS if name == "article" else frozenset()
+            elif words:
+                by_class = not left_out and not roles & ROLES
                 left_out = max(left_out, 1 + bool(words & OTHERS))
-        own = (name in MAIN or "main" in roles or "article" in roles) and not words & NOT_ARTICLE
+            if roles & ROLES:
+                left_out = max(left_out, 1)
+        own = (name in MAIN or "main" in roles or "article" in roles) and not words
         if own and out and not article and all(x[1] < 2 for x in stack):
             while stack and out:  # a menu or the like was never closed
                 pop()
         own = own and not out
         left_out = 0 if name in INLINE else left_out
         if left_out and not out:
-            gap(1)
+            gap(3 if by_class else 1)
         stack.append((name, left_out, own))
         out += left_out > 0
         anchor += name == "a"
@@ -136,24 +164,15 @@ def _lines(page: str) -> list[tuple[str, int, bool, int]]:
     return lines
 
 
-def main_text(page: str | None, window: int = 3, surge: int = 86) -> str:
-    """The main text of one page: blocks in page order, joined by line ends; empty for null, empty and text-free pages.
-
-    Inside a block white space becomes one space. Regions of lines are parted where `window` sums in a row are zero. If a
-    page has article (or main) elements, the region with most text inside one is taken whole; else the region with most
-    text, from where a sum exceeds `surge` (from its start if none does) until the sums fall to zero. Outside articles,
-    lines that are mostly links have no length.
-    """
-    if not page:
-        return ""
-    lines = _lines(page)
+def _region(lines: list[tuple[str, int, bool, int]], window: int, surge: int) -> tuple[str, int]:
+    """The text of the region of lines that has most, and the length that its region has."""
     marked = any(x[2] and x[0] for x in lines)
     kept: list[str] = []
     lengths: list[int] = []
     for text, links, inside, kind in lines:
         if kind:
             blank = window if kind == 2 else 1
-            if kind == 1 and lengths and not kept[-1]:
+            if kind != 2 and lengths and not kept[-1]:
                 continue
             kept += [""] * blank
             lengths += [0] * blank
@@ -182,7 +201,27 @@ def main_text(page: str | None, window: int = 3, surge: int = 86) -> str:
         low += 1
     while high > low and not lengths[high - 1]:
         high -= 1
-    return "\n".join(x for x in kept[low:high] if x)
+    return "\n".join(x for x in kept[low:high] if x), best_mass
+
+
+def main_text(page: str | None, window: int = 3, surge: int = 86) -> str:
+    """The main text of one page: blocks in page order, joined by line ends; empty for null, empty and text-free pages.
+
+    Inside a block white space becomes one space. Regions of lines are parted where `window` sums in a row are zero. If a
+    page has article (or main) elements, the region with most text inside one is taken whole; else the region with most
+    text, from where a sum exceeds `surge` (from its start if none does) until the sums fall to zero. Outside articles,
+    lines that are mostly links have no length. Where what class and id leave is no more than `surge` and in no article, they
+    leave nothing out.
+    """
+    if not page:
+        return ""
+    lines = _lines(page)
+    got, mass = _region(lines, window, surge)
+    if mass <= surge and any(x[3] == 3 for x in lines) and not any(x[2] and x[0] for x in lines):
+        again, more = _region(_lines(page, classes=False), window, surge)
+        if more > surge or not mass:
+            return again
+    return got
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", to: str = "text") -> DataFrame:

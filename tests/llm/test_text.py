@@ -83,6 +83,23 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<body class='no-sidebar'><div class='site-footer'>x</div><article><p>{LONG}</p></article></body>", LONG.strip()),
+        (f"<div class='content-with-sidebar'><p>Menu</p><article><p>{LONG}</p></article></div>", LONG.strip()),
+        (f"<p>Tag line</p><main class='has-sidebar'><p>{LONG}</p></main>", LONG.strip()), (f"<main class=sidebar><p>{LONG}</p></main>", LONG.strip()),
+        (f"<body class='logged-in login'><p>{LONG}</p>", LONG.strip()), (f"<div class='social-history'><p>{LONG}</p></div>", LONG.strip()),
+        (f"<p>Tag line</p><div class='login'><p>{LONG}</p></div>", f"Tag line\n{LONG.strip()}"),
+        (f"<article><p>{LONG}</p><section id='related-work'>R</section><section id=notice>N</section><div class='related-posts'>no</div></article>", f"{LONG.strip()}\nR\nN"),
+        (f"<article class='post category-social'><p>{LONG}</p></article><p>{LONG * 3}</p>", LONG.strip()),
+        (f"<main><p>{LONG}</p><article class=comment>no</article></main>", LONG.strip()), ("<article>Short</article><div class=comments>" + LONG + "</div>", "Short"),
+    ],
+)
+def test_main_text_of_marked_pages(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_op9(spark):
     got = queries.op9_html_extraction(spark, SF).collect()
     assert all(r.n_chars == len(r.text) and "<p>" not in r.text for r in got) and len(got) == table(spark, SF, "pages").count()
