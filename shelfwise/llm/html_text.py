@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Elements whose text is never part of a page.
-RAW = "script|style|noscript|template|svg|title|iframe|object|textarea|select|canvas|audio|video|math"
+RAW = "script|style|noscript|template|svg|title|iframe|object|textarea|select|canvas|audio|video|annotation-xml|annotation"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|</?\Z",
@@ -25,6 +25,12 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark nobr q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
+#: Inline as well; their pieces are parted by spaces.
+MATH = frozenset(
+    "math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
+INLINE |= MATH
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
 APART = frozenset("nav footer aside form menu dialog button fieldset head".split())
@@ -89,7 +95,8 @@ def _lines(page: str, classes: bool = True) -> list[tuple[str, int, bool, int]]:
         out -= left_out > 0
         anchor -= name == "a"
         if own:
-            gap(2)
+            if article == 1:
+                gap(2)
             article -= 1
 
     def text(piece: str) -> None:
@@ -108,7 +115,7 @@ def _lines(page: str, classes: bool = True) -> list[tuple[str, int, bool, int]]:
             if m[1]:
                 held.append(" ")
             continue
-        if name == "br":
+        if name == "br" or name in MATH:
             held.append(" ")
         if m[2] or m[5]:
             if name not in INLINE:
@@ -155,7 +162,8 @@ def _lines(page: str, classes: bool = True) -> list[tuple[str, int, bool, int]]:
         out += left_out > 0
         anchor += name == "a"
         if own:
-            gap(2)
+            if not article:
+                gap(2)
             article += 1
     text(page[at:])
     flush()
@@ -208,7 +216,7 @@ def main_text(page: str | None, window: int = 3, surge: int = 86) -> str:
     """The main text of one page: blocks in page order, joined by line ends; empty for null, empty and text-free pages.
 
     Inside a block white space becomes one space. Regions of lines are parted where `window` sums in a row are zero. If a
-    page has article (or main) elements, the region with most text inside one is taken whole; else the region with most
+    page has article (or main) elements, the outermost one with most text is taken whole, with those in it; else the region with most
     text, from where a sum exceeds `surge` (from its start if none does) until the sums fall to zero. Outside articles,
     lines that are mostly links have no length. Where what class and id leave is no more than `surge` and in no article, they
     leave nothing out.

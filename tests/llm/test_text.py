@@ -100,6 +100,19 @@ def test_main_text_of_marked_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<main><h1>Title</h1><p>Intro</p><article><p>{LONG}</p></article></main>", f"Title\nIntro\n{LONG.strip()}"),
+        (f"<main><article><p>{LONG}</p></article><article><p>Second part.</p></article><p>End</p></main>", f"{LONG.strip()}\nSecond part.\nEnd"),
+        (f"<article><p>{LONG}</p></article><p>between</p><article><p>Other.</p></article>", LONG.strip()),
+        ("<article><p>So <math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow><annotation encoding='application/x-tex'>x=\\frac12</annotation></semantics></math> holds.</p></article>", "So x = 1 2 holds."),
+    ],
+)
+def test_main_text_keeps_all_of_the_outermost_article(page, want):
+    assert html_text.main_text(page) == want
+
+
 def test_op9(spark):
     got = queries.op9_html_extraction(spark, SF).collect()
     assert all(r.n_chars == len(r.text) and "<p>" not in r.text for r in got) and len(got) == table(spark, SF, "pages").count()
