@@ -44,8 +44,17 @@ def chunk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = variant_snapshot(spark, sf_dir).where("id like 'shopify:shop1:%' or not id like 'shopify:%'").withColumn("image", F.col("product_link"))
-    docs = documents.search_documents(rows, F.lit(1706745600000))
+    """The documents of one shop and of the stock. See search_documents_all()."""
+    return _documents(variant_snapshot(spark, sf_dir).where("id like 'shopify:shop1:%' or not id like 'shopify:%'"))
+
+
+def search_documents_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of all variants."""
+    return _documents(variant_snapshot(spark, sf_dir))
+
+
+def _documents(variants: DataFrame) -> DataFrame:
+    docs = documents.search_documents(variants.withColumn("image", F.col("product_link")), F.lit(1706745600000))
     return docs.withColumn("tags", F.array_join("tags", "|"))
 
 
@@ -130,7 +139,7 @@ _DOC = {c: f"coalesce({c}, '') AS {c}" for c in _TEXT} | {f: f"coalesce({f}, 0)
 }
 
 QUERIES = {f.__name__: f for f in (
-    latest_batch, latest_per_key, latest_changes, op_dispatch, index_totals, chunk_batches, search_documents, dim_load_new, dim_load_skipped,
+    latest_batch, latest_per_key, latest_changes, op_dispatch, index_totals, chunk_batches, search_documents, search_documents_all, dim_load_new, dim_load_skipped,
     distinct_store, audit_counts, audit_status_json, first_n_distinct, store_outcomes, stream_latest, window_counts,
 )}
 SQL = {
@@ -165,3 +174,4 @@ SQL = {
     "stream_latest": "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
     "window_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }
+SQL["search_documents_all"] = SQL["search_documents"].replace(" WHERE id LIKE 'shopify:shop1:%' OR NOT id LIKE 'shopify:%'", "")
