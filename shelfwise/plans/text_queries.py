@@ -21,6 +21,11 @@ def html_unescaped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", text.strip_html(F.regexp_replace(body, "&(?!amp;)", "+")).alias("title"))
 
 
+def html_unescaped_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole html of every page without tags, all character references decoded."""
+    return table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("text"))
+
+
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.first_group(F.col("html"), "(?is)<title>(.*?)</title>").alias("title"))
 
@@ -140,6 +145,8 @@ QUERIES = {f.__name__: f for f in (
     html_strip, html_unescaped, html_title, html_links, html_description, crawl_links, table_shop_rows, option_shop_rows, url_parts, url_normalize,
     slug_title, safe_casts, stock_texts, json_explode, parse_tags, search_text,
 )}
+#: Queries that SQL cannot express.
+NO_SQL = {f.__name__: f for f in (html_unescaped_all,)}
 SQL = {
     "html_strip": f"SELECT page_id, sha256({_UNTAG.format('html')}) AS text_hash FROM pages",
     "html_unescaped": f"""SELECT page_id, replace({_UNTAG.format("replace(replace(replace(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1), '&amp;', chr(1)), '&', '+'), chr(1), '&amp;')")}, '&amp;', '&') AS title FROM pages""",
