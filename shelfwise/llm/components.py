@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.workspace import written
+from shelfwise.llm.workspace import deleted, written
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         large = both.join(_least(both), F.col("u") == F.col("w")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least.withColumnRenamed("u", "w"), F.col("u") == F.col("w")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        before, e = e, written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        deleted(before)
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == last:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.words import Words, kept, pieces
-from shelfwise.llm.workspace import stable, written
+from shelfwise.llm.workspace import numbered, small_batches, written
 
 #: Words of number, and units where a number stands before them.
 NUMBER_WORDS = frozenset(
@@ -39,9 +39,8 @@ GLUED = re.compile(r"[$€£]?[+-]?\d[\d.,]*([a-z]+)")
 STRIP = re.compile(r"^[^\w$€£+-]+|[\W_]+$")
 _P = np.uint64(0x9E3779B97F4A7C15)
 _KIND = np.uint64(7)
-#: At most so many different windows of items go to every task (8 bytes each); beyond, all windows of documents are shuffled.
-MOST_BROADCAST = 2_000_000
-
+#: Bits of the sieve of the items' windows, which every task gets: 8 MB, however many items there are.
+SIEVE_BITS = 26
 
 def token(word: str) -> tuple[int, str]:
     """(code, slot value or the word) of a white-space token: 0 for none, else a hash.
@@ -236,29 +235,46 @@ def _windows(items: DataFrame, width: int) -> DataFrame:
     return rows.mapInPandas(cut, f"item string, q long, h long, n long, free array<long>, {_SLOTS}")
 
 
-def _hits(width: int, short: list[int], reach: int, wanted: np.ndarray | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Windows of documents: place, p, h, slots, before, after; only the wanted hashes, unless that is None.
+def _sieve(windows: DataFrame) -> np.ndarray:
+    """A Bloom filter of the hashes h, as 2^SIEVE_BITS bits in longs: each hash sets the two bits of its two lowest parts."""
+    size = (1 << SIEVE_BITS) - 1
+    bits = windows.select(F.explode(F.array(F.col("h").bitwiseAND(size), F.shiftrightunsigned("h", SIEVE_BITS).bitwiseAND(size))).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word")).toArrow()
+    out = np.zeros(1 << SIEVE_BITS - 6, np.uint64)
+    out[words["at"].to_numpy()] = words["word"].to_numpy().view(np.uint64)
+    return out
+
+
+def _passes(sieve: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes that a sieve lets through: all that it was made of, and few others."""
+    size = 64 * len(sieve)
+
+    def set_(bit: np.ndarray) -> np.ndarray:
+        bit = bit & np.uint64(size - 1)
+        return (sieve[(bit >> np.uint64(6)).view(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+    some = np.flatnonzero(set_(hashes))
+    return some[set_(hashes[some] >> np.uint64(size.bit_length() - 1))]
+
+
+def _hits(width: int, short: list[int], reach: int, sieve: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Windows of documents that pass the sieve: place, doc, p, h, slots, before, after.
 
     short are the widths of items with fewer tokens than width; reach is how far items have placeholders beside a window.
     """
+    columns = ["place", "doc", "p", "h", "slots", "before", "after"]
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sieve = None
-        if wanted is not None:
-            sieve = np.zeros(1 << 22, bool)
-            sieve[wanted & np.uint64((1 << 22) - 1)] = True
         for batch in batches:
-            texts, places, rows = list(batch["text"]), list(batch["place"]), []
+            texts, places, names, rows = list(batch["text"]), list(batch["place"]), list(batch["doc"]), []
             for piece in pieces(texts):
                 both, starts = codes([texts[i] for i in piece])
                 last, words = -1, []
                 at = []
                 for w in [width, *short]:
                     for own, near, hashes in keys(both, w):
-                        if sieve is not None:
-                            held = np.flatnonzero(sieve[hashes & np.uint64((1 << 22) - 1)])
-                            held = held[np.isin(hashes[held], wanted)]
-                            near, hashes = near[held], hashes[held]
+                        held = _passes(sieve, hashes)
+                        near, hashes = near[held], hashes[held]
                         owner = np.searchsorted(starts, near, "right") - 1
                         inside = near + w <= starts[owner + 1]  # windows lie within one text
                         near, owner, hashes = near[inside], owner[inside], hashes[inside].astype(np.int64)
@@ -266,44 +282,38 @@ def _hits(width: int, short: list[int], reach: int, wanted: np.ndarray | None) -
                 for i, p, h, w, own in sorted(at, key=lambda x: x[:4]):
                     if i != last:
                         last, words, low = i, values(texts[piece[i]]), int(starts[i])
-                    rows.append((places[piece[i]], p - low, h, *_slots(own, words, p, w, low, reach)))
-                if len(rows) > 50_000:
-                    yield pd.DataFrame(rows, columns=["place", "p", "h", "slots", "before", "after"])
+                    rows.append((places[piece[i]], names[piece[i]], p - low, h, *_slots(own, words, p, w, low, reach)))
+                if len(rows) > 20_000:
+                    yield pd.DataFrame(rows, columns=columns)
                     rows = []
-            yield pd.DataFrame(rows, columns=["place", "p", "h", "slots", "before", "after"])
+            yield pd.DataFrame(rows, columns=columns)
 
     return find
 
 
-def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """place, item, tokens, changed: rows of docs (doc_id, text) that hold an item (item_id, text), one row a pair.
+def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12) -> DataFrame:
+    """place, doc, item, tokens, changed: rows of docs (place, doc, text) that hold an item (item_id, text), one row a pair.
 
     A pair counts where a run of windows with agreeing slots spans at least `run` tokens, or all tokens of an item with
     fewer, and half a window of its tokens (all, of an item with fewer) are plain words or values that did not change: a
     row of other numbers is no copy of a row of numbers. Items of less than `width` tokens are one window. tokens is the
-    longest run's length, changed the number of its slot values that differ from the item's: 0 for verbatim passages. place is the row's place in docs
-    (monotonically_increasing_id; see stable()). Null texts hold nothing, null
+    longest run's length, changed the number of its slot values that differ from the item's: 0 for verbatim passages. Null texts hold nothing, null
     item_ids are no items, repeated rows are judged one by one, an item's repeated rows count once. Empty tables give an
-    empty result.
+    empty result. place tells rows apart, doc is text that is handed on.
 
-    The windows of items go to every task as sorted hashes where there are at most most_broadcast different ones, which
-    is counted first; else the windows of documents are all shuffled to the join.
+    A sieve of fixed size of the items' windows goes to every task; what passes is joined with the windows themselves.
     """
-    spark, docs = docs.sparkSession, stable(docs)
+    spark = docs.sparkSession
+    small_batches(spark)
     windows = written(_windows(items, width).distinct(), "item-windows")
-    hashes = windows.select("h").distinct()
     shape = windows.agg(F.max(F.greatest(F.size("before"), F.size("after"))).alias("reach"), F.sort_array(F.collect_set(F.when(F.col("n") < width, F.col("n")))).alias("short")).first()
     reach, short = shape["reach"] or 0, list(shape["short"])
-    if hashes.count() <= most_broadcast:
-        wanted = np.sort(np.array([r[0] for r in hashes.collect()], np.int64).view(np.uint64))
-        held = spark.sparkContext.broadcast(wanted)
-        find = lambda batches: _hits(width, short, reach, held.value)(batches)
-    else:
-        find = _hits(width, short, reach, None)
-    texts = docs.select(F.monotonically_increasing_id().alias("place"), F.col("text")).where("text is not null")
-    found = texts.mapInPandas(find, f"place long, p long, h long, {_SLOTS}")
+    sieve = spark.sparkContext.broadcast(_sieve(windows))
+    texts = docs.select("place", "doc", "text").where("text is not null")
+    find = lambda batches: _hits(width, short, reach, sieve.value)(batches)
+    found = texts.mapInPandas(find, f"place long, doc string, p long, h long, {_SLOTS}")
     pairs = found.join(windows.withColumnsRenamed({c: f"item_{c}" for c in ("slots", "before", "after")}), "h")
-    runs = pairs.groupBy("place", "item", "n", (F.col("p") - F.col("q")).alias("shift")).agg(
+    runs = pairs.groupBy("place", "doc", "item", "n", (F.col("p") - F.col("q")).alias("shift")).agg(
         F.collect_set(F.struct("q", "free", "item_slots", "slots", "item_before", "before", "item_after", "after")).alias("w")
     )
 
@@ -317,23 +327,22 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12,
             rows.append(got if got[0] >= min(run, size) else aligned(tokens, width, same, back=False))
         return pd.DataFrame(rows, columns=["tokens", "changed"])
 
-    runs = runs.withColumn("r", longest("n", "w.q", *[F.col(f"w.{c}") for c in PARTS])).select("place", "item", "n", "r.tokens", "r.changed")
+    runs = runs.withColumn("r", longest("n", "w.q", *[F.col(f"w.{c}") for c in PARTS])).select("place", "doc", "item", "n", "r.tokens", "r.changed")
     runs = runs.where(F.col("tokens") >= F.least(F.lit(run), F.col("n")))
     best = F.max(F.struct("tokens", (-F.col("changed")).alias("c")))
-    return runs.groupBy("place", "item").agg(best.alias("b")).select("place", "item", "b.tokens", (-F.col("b.c")).alias("changed"))
+    return runs.groupBy("place", "doc", "item").agg(best.alias("b")).select("place", "doc", "item", "b.tokens", (-F.col("b.c")).alias("changed"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, **options: int) -> DataFrame:
     """doc_id, item_id, tokens, changed for each document and item in it. See find_items()."""
-    docs = stable(docs)
-    found = find_items(docs, items, **options)
-    names = docs.select(F.monotonically_increasing_id().alias("place"), "doc_id")
-    kind = items.schema["item_id"].dataType
-    return names.join(found, "place").select("doc_id", F.col("item").cast(kind).alias("item_id"), "tokens", "changed")
+    rows = docs.select(F.monotonically_increasing_id().alias("place"), F.col("doc_id").cast("string").alias("doc"), "text")
+    found = find_items(rows, items, **options)
+    own, kind = docs.schema["doc_id"].dataType, items.schema["item_id"].dataType
+    return found.select(F.col("doc").cast(own).alias("doc_id"), F.col("item").cast(kind).alias("item_id"), "tokens", "changed")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **options: int) -> DataFrame:
     """docs without the rows that hold an item; the columns of docs, whatever their names."""
-    docs, names = stable(docs), docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.monotonically_increasing_id().alias("place"))
-    return rows.join(find_items(docs, items, **options).select("place").distinct(), "place", "left_anti").select("__row.*")
+    rows = numbered(docs, "item-docs")
+    found = find_items(rows.select("place", F.lit(None).cast("string").alias("doc"), "row.text"), items, **options)
+    return rows.join(found.select("place").distinct(), "place", "left_anti").select("row.*")

@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: The model holds at most MAX_LANGUAGES * PROFILE n-grams of 12 bytes (1.8 MB), which every task gets.
-PROFILE, MAX_LANGUAGES = 300, 512
+from shelfwise.llm.workspace import small_batches
+
+PROFILE = 300
+#: Every task gets PROFILE n-grams of 12 bytes for each language; a column with more values than this holds no languages.
+MOST_LANGUAGES = 1 << 14
 EDGE = 1
 _letters: list[np.ndarray] = []
 
@@ -54,13 +57,17 @@ def learn(docs: DataFrame, docs_per_language: int = 2000, seed: int = 23) -> lis
     """(language, its profile) from text and lang of docs; rows with a null lang, or without letters, teach nothing.
 
     The profiles are fitted on about docs_per_language documents a language, chosen by a hash of doc_id (all, where there
-    are fewer), of the MAX_LANGUAGES languages with most documents. Only profiles reach the driver.
+    are fewer). All languages are learnt; more than MOST_LANGUAGES different values are an error. Only profiles reach the
+    driver.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null")
-    found = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    found = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"lang has more than {MOST_LANGUAGES} different values")
     if not found:
         return []
-    share = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], docs_per_language / r["count"])])
+    share = docs.sparkSession.createDataFrame([(r["lang"], docs_per_language / r["n"]) for r in found], "lang string, share double")
     place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -71,7 +78,7 @@ def learn(docs: DataFrame, docs_per_language: int = 2000, seed: int = 23) -> lis
                 n = np.bincount(at, np.concatenate([p[1] for p in parts]), len(codes)).astype(np.int64)
                 yield pd.DataFrame({"lang": lang, "code": codes.astype(np.int64), "n": n})
 
-    counted = docs.where(place < F.element_at(share, F.col("lang"))).select("text", "lang").mapInPandas(count, "lang string, code long, n long")
+    counted = docs.join(F.broadcast(share), "lang").where(place < F.col("share")).select("text", "lang").mapInPandas(count, "lang string, code long, n long")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     rows = counted.groupBy("lang", "code").agg(F.sum("n").alias("n")).withColumn("rank", rank).where(F.col("rank") <= PROFILE)
     profiles: dict[str, list[tuple[int, int]]] = {}
@@ -120,5 +127,6 @@ def identify(docs: DataFrame, model: list[tuple[str, list[int]]], text_col: str
     `und` and 0, as do all texts under an empty model. Of equally near languages the first in code point order wins. The
     whole text counts, however long. Rows are independent of each other.
     """
+    small_batches(docs.sparkSession)
     got = predictor(model)(F.col(text_col))
     return docs.withColumn("__lang", got).withColumns({"lang_pred": F.col("__lang.lang_pred"), "score": F.col("__lang.score")}).drop("__lang")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfwise.llm.workspace import stable, written
+from shelfwise.llm.workspace import numbered, written
 
 WHITE = r"[^\x20\x09-\x0D]+"
 
@@ -23,34 +23,50 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WHITE)), F.lit(0)).cast("long")
 
 
-def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int, reach: int = 1 << 16) -> np.ndarray:
-    """How many documents of each size to take so that their sizes add up to budget, or to as much below as can be.
+#: Sums that the knapsack's table holds at least: in a first attempt, and where that doesn't meet the budget.
+REACHES = 1 << 16, 1 << 22
 
-    Every size first gives its proportional share, rounded down; single documents in seeded order bring the rest below
-    `reach`; that rest is a subset-sum over what is left of each size, solved exactly on a bit set (doubling parts stand
-    for multiplicities). The work is bounded by the number of distinct sizes and reach, not by the number of documents.
+
+def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int, reaches: tuple[int, ...] = REACHES) -> np.ndarray:
+    """How many documents of each size to take so that their sizes add up to budget, or to less.
+
+    The first attempt that meets the budget counts, else the one that comes nearest. No choice comes nearer from below
+    where the budget is at most the last reach (or twice the largest size); beyond, what is missing is less than the
+    smallest size of which a document is left. Work and memory are bounded by the number of distinct sizes and the reach,
+    not by the number of documents.
     """
-    took = np.zeros(len(sizes), np.int64)
-    total = int((sizes * counts).sum())
-    rest = min(int(budget), total)
-    if rest <= 0:
-        return took
-    took = np.minimum((counts * (rest / total)).astype(np.int64), counts)
-    rest -= int((sizes * took).sum())
+    budget, best = min(int(budget), int((sizes * counts).sum())), np.zeros(len(sizes), np.int64)
+    for reach in reaches:
+        took = _attempt(sizes, counts, budget, seed, reach) if budget > 0 else best
+        if (sizes * took).sum() >= (sizes * best).sum():
+            best = took
+        if (sizes * best).sum() == budget:
+            break
+    return best
+
+
+def _attempt(sizes: np.ndarray, counts: np.ndarray, rest: int, seed: int, reach: int) -> np.ndarray:
+    """A choice whose sizes add up to rest or less.
+
+    Of more than reach (or twice the largest size) every size first gives its proportional share and single documents in
+    seeded order, until no more than that is left. The bounded knapsack fits what is left as well as the remaining
+    documents can: a subset-sum on a bit set, in which doubling parts stand for multiplicities.
+    """
+    took, total = np.zeros(len(sizes), np.int64), int((sizes * counts).sum())
+    reach = max(reach, 2 * int(sizes.max()))
     order = np.random.default_rng(seed).permutation(len(sizes))
     order = order[sizes[order] > 0]
-    for least in (reach, reach):
-        for i in order:
-            if rest <= least:
-                break
-            if sizes[i] <= rest and took[i] < counts[i]:
+    if rest > reach:
+        took = np.minimum((counts * ((rest - reach) / total)).astype(np.int64), counts)
+        rest -= int((sizes * took).sum())
+        while rest > reach:  # a document's size is at most half of reach, so one always fits
+            for i in order[took[order] < counts[order]]:
+                if rest <= reach:
+                    break
                 took[i] += 1
                 rest -= int(sizes[i])
-    if rest <= 0:
-        return took
-    rest = min(rest, reach)
     reached, mask = 1, (1 << (rest + 1)) - 1
-    by = np.full(rest + 1, -1, np.int64)
+    by = np.full(rest + 1, -1, np.int32)
     parts: list[tuple[int, int]] = []
     for i in order:
         size, left, part = int(sizes[i]), int(min(counts[i] - took[i], rest // max(int(sizes[i]), 1))), 1
@@ -94,25 +110,24 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: int) -> Data
     return sizes.select("source", "source_size", target.alias("target"))
 
 
-def mix_sources(
-    docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 29, cell_rows: int = 200_000
+def _mixed(
+    rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 29, cell_rows: int = 200_000
 ) -> DataFrame:
-    """place, doc_id, size, source_size, target, repeats and taken (size * repeats) of every row of doc_id, text, source.
+    """place, doc_id, source, size, source_size, target, repeats and taken (size * repeats) of every row.
+
+    rows has place, doc_id, text, source; place tells rows apart.
 
-    Each source's taken words differ from its target by less than a document can mend; repeats are 0 to cap. Null texts
+    Each source's taken words miss its target by what fit_budget() leaves, rounding apart; repeats are 0 to cap. Null texts
     and texts without words have size 0, take part in passes but add nothing. Null sources are one source. Null ids are
     ordinary; rows that are alike are chosen one by one. An empty table gives an empty result. The same rows give the same
-    choice, however they are partitioned. place is the row's place in docs (monotonically_increasing_id), for a join with
-    docs where they are read from files; see stable().
+    choice, however they are partitioned.
 
     Documents of one source and size may be a large part of all rows: they are numbered within cells of a seeded hash, so
     no task gets the group; 64 cells, and more beyond 64 * cell_rows rows. Counts by source, size and cell go to one task
     only by source, with a row for each distinct size.
     """
-    rows = stable(docs).select(
-        F.monotonically_increasing_id().alias("place"), F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size")
-    )
-    rows = written(rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size")), "mix-rows")
+    rows = rows.select("place", "doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"))
+    rows = written(rows, "mix-rows")
     cells = max(64, min(1 << 16, rows.count() // cell_rows))
     rows = rows.withColumn("cell", F.pmod("h", F.lit(cells)))
     counts = written(rows.groupBy("source", "size", "cell").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
@@ -145,12 +160,17 @@ def mix_sources(
         quota, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("cell") == F.col("c"))
     )
     chosen = chosen.withColumn("repeats", F.col("passes") + (F.col("i") <= F.col("quota")).cast("int"))
-    return chosen.select("place", "doc_id", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
+    return chosen.select("place", "doc_id", "source", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+def mix_sources(docs: DataFrame, **options: object) -> DataFrame:
+    """doc_id, source, size, source_size, target, repeats, taken of every row of docs (doc_id, text, source). See _mixed()."""
+    return _mixed(docs.select(F.monotonically_increasing_id().alias("place"), "doc_id", "text", "source"), **options).drop("place")
 
 
 def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
-    """The rows of docs as often as the mix takes them, with the columns of docs. options: those of mix_sources()."""
-    docs, names = stable(docs), docs.columns
-    placed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.monotonically_increasing_id().alias("place"))
-    chosen = placed.join(mix_sources(docs, **options).where("repeats > 0").select("place", "repeats"), "place")
-    return chosen.select("__row", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("__i")).select("__row.*")
+    """The rows of docs as often as the mix takes them, with the columns of docs. options: those of _mixed()."""
+    placed = numbered(docs, "mix-docs")
+    chosen = _mixed(placed.select("place", "row.doc_id", "row.text", "row.source"), **options)
+    chosen = placed.join(chosen.where("repeats > 0").select("place", "repeats"), "place")
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("i")).select("row.*")

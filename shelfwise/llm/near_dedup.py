@@ -1,45 +1,50 @@
 """Near-duplicate documents by HyperMinHash.
 
-A document is its set of distinct 5-word shingles. Documents with equal sets are one class. A class has ROUNDS * BUCKETS
-registers: the shingles fall into buckets by a hash, and a register keeps the leading zeros and the next ten bits of its
-bucket's least hash. A band is the registers of one bucket number over all rounds; classes that share a band meet. Sets too
-small to fill the buckets meet in the rarest of their shingles instead, as many as two sets over the threshold must share
-one of, which misses nothing and keeps passages that many documents share out of it. Where more than two meet, Jaccard estimates from all registers, corrected for registers that agree by chance, pick what is compared first:
-a spanning forest of the most similar. Where one of its edges fails, all that may still link its parts is compared. Links
-are confirmed on the full sets of the texts.
+A document is its set of distinct 5-word shingles. Documents with equal sets are one class. A class has BUCKETS * ROUNDS
+registers: in each round the shingles fall into buckets by a hash, and a register keeps the leading zeros and the next ten
+bits of its bucket's least hash. A bucket without a shingle takes the register of another one, found along a fixed random
+order of buckets, so that registers of small sets agree as often as those of large ones. A band is the registers of one bucket
+number over all rounds; classes that share a band meet. Jaccard estimates from all registers, corrected for registers that
+agree by chance, pick what is compared first: a spanning forest of the most similar. Where one of its edges fails, all that
+may still link its parts is compared, nearest first. Links are confirmed on the full sets of the texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.words import Words, kept, pieces
-from shelfwise.llm.workspace import stable, written
+from shelfwise.llm.workspace import deleted, numbered, small_batches, written
 
 WORDS = 5
 ROUNDS, BUCKETS, MANTISSA = 4, 40, 10
 REGISTERS = ROUNDS * BUCKETS
-EMPTY = 0xFFFF
-#: Sets up to SMALL use their prefix; at four shingles a bucket few registers are empty.
-SMALL = 4 * BUCKETS
-#: Pairs estimated below this are not compared: 4.5 standard deviations of the estimate under 0.75.
-ESTIMATE = 0.58
+#: Pairs estimated below this are not compared: 5.8 standard deviations of the estimate under 0.75.
+ESTIMATE = 0.55
 #: Classes that meet are compared within and between blocks of so many.
-BLOCK = 2048
+BLOCK = 512
+#: Where a forest's edge failed, each class is compared with its FIRST nearest, then with up to GROWTH times as many, and so on.
+FIRST, GROWTH = 8, 8
+#: A text that is compared with many others goes out once for so many of them.
+SPOKES = 256
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_SEEDS = [np.uint64((0xD1B54A32D192ED03 * (i + 1)) & (2**64 - 1)) for i in range(2 * ROUNDS + 4)]
+_SEEDS = np.array([(0xD1B54A32D192ED03 * (i + 1)) & (2**64 - 1) for i in range(2 * ROUNDS + 4)], np.uint64)
+#: For each register of a round the order in which its buckets are tried, itself first.
+_order = np.random.default_rng(5)
+PROBES = np.array([[[b, *_order.permutation([x for x in range(BUCKETS) if x != b])] for b in range(BUCKETS)] for _ in range(ROUNDS)])
 
 
-def mix(x: np.ndarray, seed: int) -> np.ndarray:
-    x = (x ^ _SEEDS[seed]) * _A
+def mix(x: np.ndarray, seed: int | slice) -> np.ndarray:
+    """Hashes of x under a seed, or a row of hashes for each of several."""
+    x = (x ^ (_SEEDS[seed][:, None] if isinstance(seed, slice) else _SEEDS[seed])) * _A
     x ^= x >> np.uint64(32)
     x *= _B
     return x ^ (x >> np.uint64(29))
@@ -66,42 +71,45 @@ def shingles(texts: list[str | None]) -> Iterator[np.ndarray]:
             yield np.unique(out)
 
 
-def registers(shingles: np.ndarray) -> np.ndarray:
-    """ROUNDS rows of BUCKETS registers: leading zeros and MANTISSA bits of the least hash; EMPTY without one."""
-    out = np.full((ROUNDS, BUCKETS), EMPTY, np.uint16)
-    for r in range(ROUNDS):
-        x = mix(shingles, r)
-        bucket = ((x >> np.uint64(32)) * np.uint64(BUCKETS)) >> np.uint64(32)
-        least = np.full(BUCKETS, 2**64 - 1, np.uint64)
-        np.minimum.at(least, bucket.astype(np.int64), mix(x, ROUNDS + r))
-        used = np.bincount(bucket.astype(np.int64), minlength=BUCKETS) > 0
-        part, power = np.frexp(least[used].astype(np.float64))
-        zeros = np.clip(64 - power, 0, 62).astype(np.uint16)
-        out[r, used] = (zeros << MANTISSA) | ((2 * part - 1) * (1 << MANTISSA)).astype(np.uint16)
-    return out
-
-
-def bands(regs: np.ndarray) -> np.ndarray:
-    """Keys under which large sets meet others; bands with one register or none are left out."""
-    packed = np.zeros(BUCKETS, np.uint64)
-    for r in range(ROUNDS):
-        packed = (packed << np.uint64(16)) | regs[r].astype(np.uint64)
-    keys = mix(mix(packed, 2 * ROUNDS + 1) + np.arange(BUCKETS, dtype=np.uint64), 2 * ROUNDS + 2)
-    return np.unique(keys[(regs == EMPTY).sum(0) < ROUNDS - 1])
+def registers(shingles: np.ndarray, part: int = 1 << 16) -> np.ndarray:
+    """BUCKETS rows of ROUNDS registers: leading zeros and MANTISSA bits of the least hash of a bucket. Not for empty sets."""
+    least, used = np.full(REGISTERS, 2**64 - 1, np.uint64), np.zeros(REGISTERS, bool)
+    for low in range(0, len(shingles), part):
+        x = mix(shingles[low : low + part], np.s_[:ROUNDS])
+        at = (((x >> np.uint64(32)) * np.uint64(BUCKETS)) >> np.uint64(32)).view(np.int64)
+        at += np.arange(ROUNDS)[:, None] * BUCKETS
+        x = (x ^ _SEEDS[ROUNDS]) * _B
+        x ^= x >> np.uint64(31)
+        x *= _A
+        np.minimum.at(least, at.ravel(), x.ravel())
+        used[at.ravel()] = True
+    mantissa, power = np.frexp(least.astype(np.float64))
+    zeros = np.clip(64 - power, 0, 62).astype(np.uint16)
+    out = ((zeros << MANTISSA) | ((2 * mantissa - 1) * (1 << MANTISSA)).astype(np.uint16)).reshape(ROUNDS, BUCKETS)
+    if used.all():
+        return np.ascontiguousarray(out.T)
+    used = used.reshape(ROUNDS, BUCKETS)
+    round_ = np.arange(ROUNDS)[:, None]
+    first = used[round_[:, :, None], PROBES].argmax(2)
+    source = np.take_along_axis(PROBES, first[:, :, None], 2)[:, :, 0]
+    return np.ascontiguousarray(out[round_, source].T)
+
+
+@lru_cache
+def _chance(power: int) -> float:
+    m, k = max(2.0**power / BUCKETS, 1.0), np.arange(63)
+    p = (1 - 2.0 ** -(k + 1)) ** m - (1 - 2.0**-k) ** m
+    return float((p * p).sum()) / (1 << MANTISSA)
 
 
 def chance(n: float) -> float:
-    """How often registers of two different hashes agree, for sets of n shingles: equal zeros and equal mantissa."""
-    m, k = max(n / BUCKETS, 1.0), np.arange(63)
-    p = (1 - 2.0 ** -(k + 1)) ** m - (1 - 2.0**-k) ** m
-    return float((p * p).sum()) / (1 << MANTISSA)
+    """How often registers of two different hashes agree, for sets of about n shingles: equal zeros and equal mantissa."""
+    return _chance(int(np.log2(max(n, 1))))
 
 
 def estimates(one: np.ndarray, regs: np.ndarray, lost: float) -> np.ndarray:
     """Jaccard estimates of one against the rows of regs, corrected for agreement by chance."""
-    used = (regs != EMPTY) | (one != EMPTY)
-    share = ((regs == one) & used).sum(1) / np.maximum(used.sum(1), 1)
-    return (share - lost) / (1 - lost)
+    return ((regs == one).mean(1) - lost) / (1 - lost)
 
 
 def _near(i: int, regs: np.ndarray, n: np.ndarray, lost: float, percent: int) -> tuple[slice, np.ndarray]:
@@ -128,167 +136,202 @@ def forest(regs: np.ndarray, n: np.ndarray, percent: int) -> list[tuple[int, int
     return edges
 
 
-def linked(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
-    """Whether a set links with each of the others, by their full sets."""
-    flat = np.concatenate(others)
-    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
-    sizes = np.fromiter(map(len, others), np.int64, len(others))
-    common = np.add.reduceat(one[at] == flat, np.cumsum(sizes) - sizes, dtype=np.int64)
-    return 100 * common >= percent * (len(one) + sizes - common)
-
-
-def crossing(sets: list[np.ndarray], regs: np.ndarray, n: np.ndarray, part: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links between parts, compared until they are one part or nothing is left that may link."""
-    lost, edges, part = chance(float(n.mean())), [], part.copy()
-    for i in range(len(n) - 1):
+def crossing(regs: np.ndarray, n: np.ndarray, part: np.ndarray, low: int, high: int, percent: int) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of different parts that may link, of which one is among the other's low-th to high-th nearest; whether any are left."""
+    lost, edges, more = chance(float(n.mean())), set(), False
+    for i in range(len(n)):
         here, got = _near(i, regs, n, lost, percent)
-        at = here.start + np.flatnonzero((got > 0) & (part[here] != part[i]))
-        at = at[at > i]
-        for j in at[linked(sets[i], [sets[j] for j in at], percent)].tolist() if len(at) else []:
-            if part[j] != part[i]:
-                edges.append((i, j))
-                part[part == part[j]] = part[i]
-    return edges
+        order = here.start + np.argsort(-got, kind="stable")[: int((got > 0).sum())]
+        apart = part[order] != part[i]
+        edges.update((min(i, j), max(i, j)) for j in order[low:high][apart[low:high]].tolist())
+        more |= bool(apart[high:].any())
+    return sorted(edges), more
 
 
-def signatures(docs: DataFrame, percent: int) -> DataFrame:
-    """place, doc_id, n, f1, f2 (of the set), bands, regs, small of every row of doc_id, text.
+def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two sets that aren't empty link, by their full sets."""
+    few, many = sorted((one, other), key=len)
+    common = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+    return 100 * common >= percent * (len(one) + len(other) - common)
 
-    bands are of large sets; small is the set itself of small ones, and of those that a link can tie to them.
-    """
-    most = SMALL * 100 // percent + 1
+
+def signatures(rows: DataFrame) -> DataFrame:
+    """place, doc_id, n, f1, f2 (of the set), regs of every row of place, doc_id, text; empty regs for an empty set."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            out = []
             for place, doc_id, s in zip(batch["place"], batch["doc_id"], shingles(list(batch["text"])), strict=True):
-                regs = registers(s)
-                x, y = mix(s, 2 * ROUNDS + 3), mix(s, 0)
+                x, y = mix(s, 2 * ROUNDS + 3), mix(s, 2 * ROUNDS + 2)
                 f1, f2 = x.sum(dtype=np.uint64), np.bitwise_xor.reduce(y, initial=np.uint64(0))
-                rows.append((place, doc_id, len(s), int(f1.astype(np.int64)), int(f2.astype(np.int64)), bands(regs).view(np.int64) if len(s) > SMALL else [], regs.tobytes(), s.view(np.int64) if 3 <= len(s) <= most else []))
-            yield pd.DataFrame(rows, columns=["place", "doc_id", "n", "f1", "f2", "bands", "regs", "small"])
+                out.append((place, doc_id, len(s), int(f1.astype(np.int64)), int(f2.astype(np.int64)), registers(s).tobytes() if len(s) else b""))
+            yield pd.DataFrame(out, columns=["place", "doc_id", "n", "f1", "f2", "regs"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("place"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    got = rows.mapInPandas(sign, "place long, doc_id string, n int, f1 long, f2 long, bands array<long>, regs binary, small array<long>")
+    rows = rows.select("place", F.col("doc_id").cast("string").alias("doc_id"), "text")
+    got = rows.mapInPandas(sign, "place long, doc_id string, n int, f1 long, f2 long, regs binary")
     return got.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def _rarest(own: DataFrame, percent: int) -> DataFrame:
-    """node, key: the rarest shingles of each small set that others hold too.
+def _bands(own: DataFrame) -> DataFrame:
+    """node, key: a key for each band of a class."""
+    width = 2 * ROUNDS
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.xxhash64(b, F.substr("regs", b * width + 1, F.lit(width))))
+    return own.select("node", F.explode(keys).alias("key"))
 
-    Of n shingles in order of how many small sets hold them, n - ceil(percent * n / 100) + 1 are its prefix: two sets over
-    the threshold share one of theirs. Shingles of one set only come first and meet nobody, so they are counted, not kept.
-    """
-    held = own.select("node", "n", F.explode("small").alias("key"))
-    shared = held.join(held.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "key")
-    each = Window.partitionBy("node")
-    shared = shared.withColumns({"k": F.count(F.lit(1)).over(each), "rank": F.row_number().over(each.orderBy("c", "key"))})
-    return shared.where(F.expr(f"rank <= n - cast(ceil({percent} * n / 100) as int) + 1 - (n - k)")).select("node", "key")
 
+Group = tuple[np.ndarray, np.ndarray, np.ndarray]
 
-def _by_group(members: DataFrame, edges: Callable[[pd.DataFrame], list[tuple[int, int]]]) -> DataFrame:
-    """key, a, b: nodes of the edges that a function finds in each group (key, i, j) of members, in order of n."""
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def found(group: pd.DataFrame) -> list[tuple[int, int, int]]:
-            key, node = int(group["key"].iloc[0]), group["node"].to_numpy(np.int64)
-            return [(key, int(min(node[x], node[y])), int(max(node[x], node[y]))) for x, y in edges(group)]
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, Group]]:
+    """key and (nodes and parts, sizes, registers) of each group of members, which come in order of key, i, j, n."""
+    held: list[Group] = []
+    last = None
 
-        held: list[pd.DataFrame] = []
-        for batch in batches:
-            if not len(batch):
-                continue
-            ids = batch[["key", "i", "j"]].to_numpy(np.int64)
-            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1).tolist(), len(batch)]
-            rows: list[tuple[int, int, int]] = []
-            for low, high in zip(cuts, cuts[1:]):
-                part = batch.iloc[low:high]
-                if held and (held[0][["key", "i", "j"]].iloc[0].to_numpy(np.int64) != ids[low]).any():
-                    rows += found(pd.concat(held))
-                    held = []
-                held.append(part)
-            yield pd.DataFrame(rows, columns=["key", "a", "b"])
-        if held:
-            yield pd.DataFrame(found(pd.concat(held)), columns=["key", "a", "b"])
-
-    grouped = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "node")
-    return grouped.mapInPandas(pairs, "key long, a long, b long")
+    def whole() -> Group:
+        return tuple(np.concatenate(x) for x in zip(*held, strict=True)) if len(held) > 1 else held[0]
 
+    for batch in batches:
+        if not len(batch):
+            continue
+        ids = batch[["key", "i", "j"]].to_numpy(np.int64)
+        names, n = batch[["node", "part"]].to_numpy(np.int64), batch["n"].to_numpy(np.int64)
+        regs = np.frombuffer(b"".join(batch["regs"]), np.uint16).reshape(len(batch), REGISTERS)
+        cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1).tolist(), len(batch)]
+        for low, high in zip(cuts, cuts[1:]):
+            now = tuple(ids[low].tolist())
+            if held and now != last:
+                yield last[0], whole()
+                held = []
+            held.append((names[low:high], n[low:high], regs[low:high]))
+            last = now
+    if held:
+        yield last[0], whole()
 
-def _registers_of(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(b"".join(group["regs"]), np.uint16).reshape(len(group), REGISTERS), group["n"].to_numpy(np.int64)
 
+def _by_group(members: DataFrame, edges: Callable[[Group], tuple[list[tuple[int, int]], bool]]) -> DataFrame:
+    """key, a, b: nodes of the edges that a function finds in each group (key, i, j) of members, in order of n.
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs a, b of nodes with texts (node, text), those whose full sets have 100 * intersection >= percent * union."""
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")).hint("merge"), "a")
-    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")).hint("merge"), "b")
-
-    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            some = {}  # texts by node: one of a pair comes again and again
-            for node, text in (*zip(batch["a"], batch["x"], strict=True), *zip(batch["b"], batch["y"], strict=True)):
-                some[node] = text
-            sets = dict(zip(some, shingles(list(some.values())), strict=True))
-            keep = [bool(linked(sets[a], [sets[b]], percent)[0]) for a, b in zip(batch["a"], batch["b"], strict=True)]
-            yield batch.loc[keep, ["a", "b"]]
+    A row with negative a and b says that the function left edges of this key for later.
+    """
 
-    return both.mapInPandas(confirm, "a long, b long")
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple[int, int, int]] = []
+        for key, group in _groups(batches):
+            node = group[0][:, 0].tolist()
+            found, more = edges(group)
+            rows += [(key, min(node[x], node[y]), max(node[x], node[y])) for x, y in found]
+            rows += [(key, -1, -1)] * more
+            if len(rows) > 50_000:
+                yield pd.DataFrame(rows, columns=["key", "a", "b"])
+                rows = []
+        yield pd.DataFrame(rows, columns=["key", "a", "b"])
+
+    grouped = members.select("key", "i", "j", "node", "part", "n", "regs").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "node")
+    return grouped.mapInPandas(pairs, "key long, a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """place, doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs a, b of nodes with texts (node, text), those whose full sets have 100 * intersection >= percent * union.
 
-    component_id is the smallest doc_id that is reached over links; kept says that it is the row's own. Rows without words
-    have no shingles and are linked with nothing. Rows of equal sets, repeated rows among them, are linked; several rows
-    of the smallest doc_id are all kept. A null doc_id is never a component's name unless it has no other: then
-    component_id is null and the rows are kept. An empty table gives an empty result. place is the row's place in docs
-    (monotonically_increasing_id; see stable()). Texts may be of any length.
+    The node of a pair that is in more pairs is its hub. A hub's text goes out once for about SPOKES pairs, followed by the
+    other texts, and a task holds the hub's set and one batch of texts at a time.
     """
-    docs = stable(docs).select("doc_id", "text")
-    rows = written(signatures(docs, percent), "dedup-signatures")
-    classes = rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("place").alias("node"), F.min("doc_id").alias("doc_id"))
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
+    both = pairs.join(degree.select(F.col("node").alias("a"), F.col("d").alias("da")), "a").join(degree.select(F.col("node").alias("b"), F.col("d").alias("db")), "b")
+    hub = F.col("da") >= F.col("db")
+    both = both.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("node"), F.greatest("da", "db").alias("d"))
+    both = written(both.withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("d") / SPOKES).cast("long"))).drop("d"), "dedup-hubs")
+    spokes = both.join(texts, "node").select("hub", "salt", "node", "text")
+    hubs = both.select("hub", "salt").distinct().join(texts.withColumnRenamed("node", "hub"), "hub").select("hub", "salt", F.lit(-1).cast("long").alias("node"), "text")
+
+    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.empty(0, np.uint64)
+        for batch in batches:
+            rows = []
+            for hub, node, s in zip(batch["hub"], batch["node"], shingles(list(batch["text"])), strict=True):
+                if node < 0:
+                    own = s
+                elif linked(own, s, percent):
+                    rows.append((min(hub, node), max(hub, node)))
+            yield pd.DataFrame(rows, columns=["a", "b"])
+
+    rows = hubs.unionByName(spokes).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "node")
+    links = written(rows.mapInPandas(confirm, "a long, b long"), "dedup-links")
+    deleted(both)
+    return links
+
+
+def _components_of(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Signatures of rows (place, doc_id, text), and f1, f2, n, node, doc_id, root of their classes, as written tables."""
+    signed = written(signatures(rows), "dedup-signatures")
+    classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("place").alias("node"), F.min("doc_id").alias("doc_id"))
     classes = written(classes, "dedup-classes")
-    own = rows.drop("n").join(classes.select("node", "n"), F.col("place") == F.col("node"))
-    own = written(own.select("node", "n", "bands", "regs", "small"), "dedup-own")
-    met = written(own.select("node", F.explode("bands").alias("key")).unionByName(_rarest(own, percent)), "dedup-met")
+    own = written(signed.select("place", "regs").join(classes.select("node", "n"), F.col("place") == F.col("node")).select("node", "n", "regs"), "dedup-own")
+    met = written(_bands(own), "dedup-met")
     groups = met.groupBy("key").agg(
-        F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.min("node").alias("a"), F.max("node").alias("b")
+        F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.min("node").alias("x"), F.max("node").alias("y")
     ).where("c > 1")  # keys under which the same classes meet count once
-    groups = written(groups.groupBy("c", "s", "a", "b").agg(F.min("key").alias("key")), "dedup-groups")
+    groups = groups.groupBy("c", "s", "x", "y").agg(F.min("key").alias("key")).select("key", "c")
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    members = met.join(groups.where("c > 2").select("key", "c"), "key").withColumn("x", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int"))
+    members = met.join(groups, "key").withColumn("x", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int"))
     members = members.withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    members = members.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node")
-    members = members.join(own.select("node", "n", "regs"), "node")
-    trees = written(_by_group(members, lambda g: forest(*_registers_of(g), percent)), "dedup-trees")
-    pairs = written(groups.where("c = 2").select("a", "b").unionByName(trees.select("a", "b")).distinct(), "dedup-pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.monotonically_increasing_id().alias("node"), "text").join(nodes.hint("merge"), "node")
-    texts = written(texts, "dedup-texts")
-    links = written(verified(pairs, texts, percent), "dedup-links")
-    failed = trees.join(links, ["a", "b"], "left_anti").select("key").distinct()
-    roots = connected_components(links)
-    again = members.join(failed, "key", "left_semi").join(roots.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left")
-    again = again.withColumn("part", F.coalesce("root", "node")).drop("w", "root").join(texts, "node")
-    more = _by_group(again, lambda g: crossing(list(shingles(list(g["text"]))), *_registers_of(g), g["part"].to_numpy(np.int64), percent))
-    more = written(more.select("a", "b").distinct(), "dedup-rest")
-    if not more.isEmpty():
-        roots = connected_components(links.unionByName(more))
+    members = written(members.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node"), "dedup-members")
+    deleted(met)
+    full = members.join(own, "node").withColumn("part", F.col("node"))
+    trees = written(_by_group(full, lambda g: (forest(g[2], g[1], percent), False)), "dedup-trees")
+    # a class that may link with any has an edge in a forest, so these texts are all that is needed
+    nodes = trees.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = written(rows.select(F.col("place").alias("node"), "text").join(nodes, "node"), "dedup-texts")
+    links = verified(trees.select("a", "b").distinct(), texts, percent)
+    roots, low, high = connected_components(links), 0, FIRST
+    keys = trees.join(links, ["a", "b"], "left_anti").select("key").distinct()
+    while True:
+        parts = roots.select(F.col("node").alias("w"), "root")
+        again = members.join(keys, "key", "left_semi").join(own, "node").join(parts, F.col("node") == F.col("w"), "left")
+        again = again.withColumn("part", F.coalesce("root", "node"))
+        rest = written(_by_group(again, lambda g, low=low, high=high: crossing(g[2], g[1], g[0][:, 1], low, high, percent)), "dedup-rest")
+        if rest.isEmpty():
+            break
+        more = verified(rest.where("a >= 0").select("a", "b").distinct(), texts, percent)
+        links = links.unionByName(more)
+        roots = connected_components(links)
+        keys, low, high = rest.where("a < 0").select("key").distinct(), high, high * GROWTH
     named = classes.join(roots.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left").withColumn("root", F.coalesce("root", "node"))
+    named = written(named.drop("w"), "dedup-roots")
+    deleted(own, members, trees, texts, classes)
+    return signed, named
+
+
+def _near_duplicates(rows: DataFrame, percent: int) -> DataFrame:
+    small_batches(rows.sparkSession)
+    signed, named = _components_of(rows, percent)
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "root").select("f1", "f2", "n", F.lit(True).alias("in_class"), "component_id")
-    out = rows.select("place", "doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
+    out = signed.select("place", "doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
     component = F.when(F.col("in_class"), F.col("component_id")).otherwise(F.col("doc_id"))
     out = out.select("place", "doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
+
+    component_id is the smallest doc_id that is reached over links; kept says that it is the row's own. Rows without words
+    have no shingles and are linked with nothing. Rows of equal sets, repeated rows among them, are linked; several rows
+    of the smallest doc_id are all kept. A null doc_id is never a component's name unless it has no other: then
+    component_id is null and the rows are kept. An empty table gives an empty result. Texts may be of any length.
+
+    A pair at a similarity of exactly 0.75 shares no band with a chance of (1 - 0.75^4)^40 = 3 in 10 million; of higher
+    similarity, less.
+    """
+    rows = numbered(docs.select("doc_id", "text"), "dedup-docs")
+    return _near_duplicates(rows.select("place", "row.doc_id", "row.text"), percent).drop("place")
+
+
 def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """One row of docs for each component: of its smallest doc_id (of rows that repeat it, the first); columns of docs."""
-    docs, names = stable(docs), docs.columns
-    kept = near_duplicates(docs, percent).where("kept")
+    rows = numbered(docs, "dedup-docs")
+    kept = _near_duplicates(rows.select("place", "row.doc_id", "row.text"), percent).where("kept")
     alike = kept.where("n_shingles > 0").groupBy("component_id").agg(F.min("place").alias("place")).select("place")
     kept = alike.unionByName(kept.where("n_shingles = 0").select("place"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.monotonically_increasing_id().alias("place"))
-    return rows.join(kept, "place", "left_semi").select("__row.*")
+    return rows.join(kept, "place", "left_semi").select("row.*")

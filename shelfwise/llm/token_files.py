@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfwise.llm.rans import Table
-from shelfwise.llm.words import kept
-from shelfwise.llm.workspace import new_path, stable
+from shelfwise.llm.words import Recent, kept
+from shelfwise.llm.workspace import new_path, small_batches
 
 MAGIC, HEADER = b"SWTK0001", struct.Struct("<8sIQQIIII")
 CHECKPOINT = np.dtype([("first", "<u8"), ("offset", "<u8"), ("n", "<u4"), ("crc", "<u4")])
 #: A space before white or the end, which a split at spaces gets wrong: such texts are encoded whole.
 ODD = re.compile(r" (?=\s|\Z)")
+#: A space between characters that aren't white starts a new piece; a part of an odd text has at least PART characters.
+SINGLE, PART = re.compile(r"(?<=\S) (?=\S)"), 1 << 16
 PUNCTUATION = ".,;:!?%$*#&|()\""
 SEGMENTS = "file_no int, seg_no int, n_docs long, n_tokens long, first_token long, data binary"
 
@@ -42,24 +44,23 @@ class Tokens:
 
     The tokenizer's pattern starts a new piece at every space before a character that isn't white, and pieces are encoded
     apart, so a text's ids are those of its parts at such spaces. Special tokens hold no space. New words are joined again
-    and encoded together; the ids are parted by the lengths in bytes of their tokens. Words are remembered in two
-    generations of at most `words`, so that frequent ones stay.
+    and encoded together; the ids are parted by the lengths in bytes of their tokens. Words are remembered within `most`
+    bytes a generation.
     """
 
-    def __init__(self, path: str, words: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 40 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._most = Tokenizer.from_file(path), words
+        self._tokenizer = Tokenizer.from_file(path)
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype(np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32)
         special = {i: len(t.content.encode()) for i, t in self._tokenizer.get_added_tokens_decoder().items()}
         self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # in a byte-level vocabulary a character stands for a byte
             self._bytes[i] = special.get(i, len(token))
-        self._known: dict[str, bytes] = {"": b""}
-        self._older: dict[str, bytes] = {}
-        self._tails: dict[str, bytes] = {}
+        self._recent: Recent = Recent({"": b""}, most)
+        self._tails: Recent = Recent({}, most // 8)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -69,7 +70,8 @@ class Tokens:
         cut = [(w, c) for w in words if w and (c := w.rstrip(PUNCTUATION)) and (len(c) == len(w) or c[-1].isalnum())]
         cores = dict.fromkeys(c for _, c in cut)
         cores.update(dict.fromkeys(w for w in words if w and not (c := w.rstrip(PUNCTUATION)) or w and not c[-1].isalnum()))
-        cores = [c for c in cores if c not in self._known]
+        known = self._recent.known
+        cores = [c for c in cores if c not in known]
         for low in range(0, len(cores), 20_000):
             part = cores[low : low + 20_000]
             (ids,) = self._ids([" " + " ".join(part)])
@@ -80,14 +82,25 @@ class Tokens:
             data, size = ids.tobytes(), self.dtype.itemsize
             begin = 0
             for word, end in zip(part, at.tolist(), strict=True):
-                self._known[word] = data[begin * size : end * size]
+                self._recent.learn(word, data[begin * size : end * size])
                 begin = end
+        for tail in self._tails.missing(list(dict.fromkeys(w[len(c) :] for w, c in cut if len(c) < len(w)))):
+            self._tails.learn(tail, self._ids([tail])[0].tobytes())
         for w, c in cut:
             if len(c) < len(w):
-                tail = w[len(c) :]
-                if tail not in self._tails:
-                    self._tails[tail] = self._ids([tail])[0].tobytes()
-                self._known[w] = self._known[c] + self._tails[tail]
+                self._recent.learn(w, known[c] + self._tails.known[w[len(c) :]])
+
+    def _whole(self, text: str) -> np.ndarray:
+        """The ids of a text with white space that a split at spaces gets wrong; long ones in parts, cut before single spaces."""
+        cuts, low = [0], 0
+        while low + PART < len(text):
+            m = SINGLE.search(text, low + PART)
+            if not m:
+                break
+            low = m.start()
+            cuts.append(low)
+        parts = [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+        return np.concatenate([ids for p in parts for ids in self._ids([p])])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -95,20 +108,18 @@ class Tokens:
         lists = pc.split_pattern(pa.array([t if i not in odd else "" for i, t in enumerate(texts)], pa.large_string()), " ")
         starts, flat = lists.offsets.to_numpy(), lists.values.dictionary_encode()
         words, at = flat.dictionary.to_pylist(), flat.indices.to_numpy()
-        if len(self._known) > self._most:
-            self._known, self._older = {"": b""}, self._known
-        new = [w for w in words if w not in self._known]
-        self._known.update((w, self._older[w]) for w in new if w in self._older)
-        self._learn([w for w in new if w not in self._known])
+        self._learn(self._recent.missing(words))
         # the ids of all words one after another, then of each place its word's, none for the first of a text
-        data = [self._known[w] for w in words]
+        data = [self._recent.known[w] for w in words]
         size = np.fromiter(map(len, data), np.int64, len(data)) // self.dtype.itemsize
         ids, begin = np.frombuffer(b"".join(data), self.dtype), np.cumsum(size) - size
         n = size[at]
         n[starts[:-1]] = 0
         ends = np.cumsum(n)
         ids = ids[np.repeat(begin[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        heads = self._ids([odd.get(i, words[at[s]]) for i, s in enumerate(starts[:-1].tolist())])
+        heads = self._ids(["" if i in odd else words[at[s]] for i, s in enumerate(starts[:-1].tolist())])
+        for i, t in odd.items():
+            heads[i] = self._whole(t)
         cuts = ends[starts[1:] - 1]
         return [np.concatenate((h, x)) for h, x in zip(heads, np.split(ids, cuts[:-1]), strict=True)]
 
@@ -175,8 +186,8 @@ def write_token_files(
 ) -> str:
     """Encodes every whole text, adds end_id to each document, writes segments in ascending order of id; returns the path.
 
-    Rows are dealt by ranges of id, and within an id by their place in the input, so that an id on many rows is spread
-    (see stable()). Null texts are empty (their document is end_id alone), null
+    Rows are dealt by ranges of id, and within an id by a hash of the text, so that an id on many rows is spread; rows
+    alike in both, whose order can't be told, are spread by their place in the input. Null texts are empty (their document is end_id alone), null
     ids come first, rows that are repeated are documents of their own. An empty table writes no segment. A segment is
     closed once it has segment_tokens tokens, so only a longer document makes a larger one.
     """
@@ -198,7 +209,7 @@ def write_token_files(
 
         end = np.array([end_id], tokens.dtype)
         for batch in batches:
-            most = max(1, min(4096, (8 << 20) * len(batch) // max(1, int(batch["text"].str.len().sum()))))
+            most = max(1, min(4096, (1 << 20) * len(batch) // max(1, int(batch["text"].str.len().sum()))))
             for low in range(0, len(batch), most):
                 part = batch.iloc[low : low + most]
                 texts = list(part["text"])
@@ -212,8 +223,10 @@ def write_token_files(
             yield segment()
 
     # ids go as text: pandas would turn longs with nulls into doubles
-    rows = stable(docs).select(F.col(id_col).cast("long").alias("n"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange("n", "place").sortWithinPartitions("n", "place")
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("n"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    order = ["n", F.xxhash64("text"), "place"]
+    rows = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
     rows = rows.select(F.col("n").cast("string").alias("id"), "text")
     rows.mapInPandas(encode, SEGMENTS).write.option("compression", "none").parquet(path)
     return path
@@ -232,6 +245,7 @@ def read_token_files(spark, path: str) -> DataFrame:
                     "n_tokens": n, "ids_crc32": [zlib.crc32(x.tobytes()) for x in ids],
                 })
 
+    small_batches(spark)
     segments = spark.read.schema(SEGMENTS).parquet(path).select("file_no", "first_token", "data")
     return segments.mapInPandas(decode, "doc_id long, file_no int, first long, n_tokens long, ids_crc32 long")
 

@@ -57,14 +57,32 @@ def test_top_k_prunes_rightly(spark, monkeypatch):
     assert len(got) == 15
 
 
+def best_sum(sizes, counts, budget):
+    sums = {0}
+    for z, n in zip(sizes.tolist(), counts.tolist(), strict=True):
+        sums = {s + z * k for s in sums for k in range(n + 1) if s + z * k <= budget}
+    return max(sums)
+
+
 def test_fit_budget_is_exact_where_it_can_be():
     rng = np.random.default_rng(3)
+    for seed in range(8):
+        for sizes, n, budget, want in (([40_000, 50_000], 5, 330_000, 330_000), ([50_000, 60_000, 70_000], 5, 110_000, 110_000)):
+            z = np.array(sizes)
+            assert (z * mixing.fit_budget(z, np.full(len(z), n), budget, seed)).sum() == want
+    for _ in range(40):  # budgets beyond reach miss less than the smallest size that is left
+        sizes = np.unique(rng.integers(1, 60, rng.integers(1, 6)))
+        counts = rng.integers(1, 40, len(sizes))
+        budget = int(rng.random() * (sizes * counts).sum())
+        took = mixing.fit_budget(sizes, counts, budget, 1, reaches=(50, 100))
+        miss = budget - (sizes * took).sum()
+        assert (took >= 0).all() and (took <= counts).all() and 0 <= miss < min((z for z, t, c in zip(sizes, took, counts, strict=True) if t < c), default=1)
     for _ in range(60):
         sizes = np.unique(rng.integers(0, 50, rng.integers(1, 6)))
         counts = rng.integers(1, 4, len(sizes))
         budget = int(rng.random() * (sizes * counts).sum())
         took = mixing.fit_budget(sizes, counts, budget, 1)
-        assert (took >= 0).all() and (took <= counts).all() and (sizes * took).sum() <= budget
+        assert (took >= 0).all() and (took <= counts).all() and (sizes * took).sum() == best_sum(sizes, counts, budget)
     sizes, counts = np.arange(1, 2000), np.full(1999, 3)
     for budget in (1, 777, 10**5, 10**6, 5 * 10**6):
         assert (sizes * mixing.fit_budget(sizes, counts, budget, 1)).sum() == budget
@@ -114,8 +132,7 @@ def test_mixing_edges(spark):
     given = [(1, "a b", None), (2, "a b c", "é"), (2, "a b c", "é"), (None, None, "z"), (3, "", "z"), (4, "x " * 500, "b")] + [(i, "w w w w", "hot") for i in range(100, 400)]
     docs = written(spark.createDataFrame([(*g, 1) for g in given], "doc_id long, text string, source string, size int").repartition(3), "t")
     mixed = mixing.mix_sources(docs, cell_rows=1)
-    rows = docs.withColumn("place", F.monotonically_increasing_id()).select("place", "source").join(mixed, "place")
-    off = check_mix([(r.source, r.size, r.source_size, r.target, r.taken) for r in rows.collect()])
+    off = check_mix([(r.source, r.size, r.source_size, r.target, r.taken) for r in mixed.collect()])
     assert all(abs(x) <= 4 for s, x in off.items() if s != "b")
     again = mixing.mixed_documents(docs, cell_rows=1)
     assert again.columns == docs.columns

@@ -121,7 +121,7 @@ def test_op9(spark):
 ITEM = "Tom has 3 apples and buys 4 more apples at the market. How many apples does Tom have in total now?"
 
 
-def test_decontamination(spark):
+def test_decontamination(spark, monkeypatch):
     docs = spark.createDataFrame([
         (1, "Before. " + ITEM.replace("Tom", "Ann").replace("3", "70").replace("4", "9") + " After it."),
         (2, ITEM.replace("does Tom", "does Zed")), (3, None), (4, ""), (5, "x " + ITEM.upper()), (None, ITEM), (6, ITEM), (6, ITEM),
@@ -130,8 +130,9 @@ def test_decontamination(spark):
     ], "doc_id long, text string")
     items = spark.createDataFrame([(10, ITEM, 1), (10, ITEM, 1), (11, None, 1), (None, ITEM, 1), (12, "too short", 1), (13, "1 2 3 4 5 6 7 8 9 10 11 12", 1)], "item_id long, text string, place int")
     want = [(None, 10, 21, 0), (1, 10, 21, 3), (2, 10, 16, 0), (5, 10, 21, 0), (6, 10, 21, 0), (6, 10, 21, 0), (9, 10, 21, 0), (14, 10, 21, 0), (15, 10, 21, 0)]
-    for most in (decontamination.MOST_BROADCAST, 0):
-        got = sorted((tuple(r) for r in decontamination.contaminated(docs, items, most_broadcast=most).collect()), key=lambda r: (r[0] is not None, r))
+    for bits in (decontamination.SIEVE_BITS, 8):  # with 8 bits almost all windows pass
+        monkeypatch.setattr(decontamination, "SIEVE_BITS", bits)
+        got = sorted((tuple(r) for r in decontamination.contaminated(docs, items).collect()), key=lambda r: (r[0] is not None, r))
         assert got == want
     left = decontamination.without_contaminated(docs.withColumn("place", F.lit(1)), items)
     assert left.columns == ["doc_id", "text", "place"] and sorted(r[0] for r in left.collect()) == [3, 4, 7, 8]
@@ -141,7 +142,7 @@ def test_decontamination(spark):
 CONVERT = "Convert 5 km 300 m to cm and 2 kg 40 g to g"
 
 
-def test_decontamination_of_numbers_and_short_items(spark):
+def test_decontamination_of_numbers_and_short_items(spark, monkeypatch):
     row = "Add 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 and then give the total"
     other = row.replace(" 20 ", " 77 ").replace(" 3 ", " 88 ")
     docs = spark.createDataFrame([
@@ -151,8 +152,9 @@ def test_decontamination_of_numbers_and_short_items(spark):
     ], "doc_id long, text string")
     items = spark.createDataFrame([(1, CONVERT), (2, row), (3, "1 2 3 4 5 6 7 8 9 10 11 12"), (4, "What is 7 plus 8?"), (5, "oslo or rome"), (6, "")], "item_id long, text string")
     want = [(1, 1, 14, 0), (2, 1, 14, 2), (3, 2, 26, 0), (3, 3, 12, 0), (4, 2, 26, 2), (5, 2, 13, 0), (5, 3, 12, 0), (6, 4, 5, 0), (7, 4, 5, 1), (11, 5, 3, 0)]
-    for most in (decontamination.MOST_BROADCAST, 0):
-        assert sorted(tuple(r) for r in decontamination.contaminated(docs, items, most_broadcast=most).collect()) == want
+    for bits in (decontamination.SIEVE_BITS, 8):
+        monkeypatch.setattr(decontamination, "SIEVE_BITS", bits)
+        assert sorted(tuple(r) for r in decontamination.contaminated(docs, items).collect()) == want
 
 
 def test_op3_finds_what_plain_search_does(spark):
