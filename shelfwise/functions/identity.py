@@ -16,8 +16,12 @@ def json_hash(columns: dict[str, Column]) -> Column:
 
 def shop_variant_id(store: Column, store_url: Column, variant_id: Column, own_id: Column, product_id: Column) -> Column:
     """Store and the first id that isn't blank. A blank store is kept, a null one falls back."""
+    return shop_id(store, store_url, first_present(variant_id, own_id, product_id))
+
+
+def shop_id(store: Column, store_url: Column, key: Column) -> Column:
     shop = F.lower(trim(F.coalesce(store.cast("string"), store_url.cast("string"), F.lit("unknown-store"))))
-    return F.concat(F.lit("shopify:"), shop, F.lit(":"), first_present(variant_id, own_id, product_id))
+    return F.concat(F.lit("shopify:"), shop, F.lit(":"), key)
 
 
 def content_variant_id(store: Column, store_url: Column, link: Column, title: Column, variant: Column, weight: Column) -> Column:

@@ -3,24 +3,34 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c), with c evaluated once however often use refers to it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+#: White space in Unicode.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def trim(c: Column) -> Column:
     """Without white space of any kind at both ends; SQL's trim only knows the space."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def present(c: Column) -> Column:
     """The trimmed value, or null if nothing is left."""
-    return blank_to_null(trim(c.cast("string")))
+    return F.nullif(trim(c.cast("string")), F.lit(""))
 
 
 def collapse(c: Column) -> Column:
@@ -49,8 +59,8 @@ def strip_html(c: Column) -> Column:
 
 
 def first_group(c: Column, pattern: str, group: int = 1) -> Column:
-    """A group of the first match; null without a match, empty if the group is."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+    """A group of the first match; null without a match, empty if the group is. The pattern must not look around itself or match nothing."""
+    return once(F.regexp_extract(c, pattern, 0), lambda found: F.when(found != "", F.regexp_extract(found, pattern, group)))
 
 
 def all_groups(c: Column, pattern: str, group: int = 1) -> Column:

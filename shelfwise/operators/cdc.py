@@ -13,12 +13,13 @@ from shelfwise.sources.schemas import VARIANT, VARIANT_CHANGES, VARIANT_STATE, c
 
 
 def _identified(df: DataFrame) -> DataFrame:
-    return df.where(present(F.col("id")).isNotNull())
+    """Rows with an id. Both sides of a comparison are filtered alike, so that what they have in common is computed once."""
+    return df.where(F.col("id").isNotNull() & present(F.col("id")).isNotNull())
 
 
 def upserts(new: DataFrame, old: DataFrame, null_safe: bool = False) -> DataFrame:
     """Rows of new that old lacks or has with another hash. A null old hash is no change, unless null_safe."""
-    before = old.select(F.col("id").alias("__id"), F.col("row_hash").alias("__hash"))
+    before = _identified(old).select(F.col("id").alias("__id"), F.col("row_hash").alias("__hash"))
     joined = _identified(new).join(before, F.col("id") == F.col("__id"), "left")
     differs = ~F.col("row_hash").eqNullSafe(F.col("__hash")) if null_safe else F.col("row_hash") != F.col("__hash")
     return joined.where(F.col("__id").isNull() | differs).drop("__id", "__hash")
@@ -26,15 +27,21 @@ def upserts(new: DataFrame, old: DataFrame, null_safe: bool = False) -> DataFram
 
 def deletes(new: DataFrame, old: DataFrame) -> DataFrame:
     """Ids of old that new lacks."""
-    return _identified(old).select("id").join(new.select("id"), "id", "left_anti")
+    return _identified(old).select("id").join(_identified(new).select("id"), "id", "left_anti")
 
 
 def change_log(new: DataFrame, old: DataFrame, batch_id: Column, batch_ts: Column, change_ts: Column) -> DataFrame:
-    """UPSERT rows with all columns and DELETE rows with the id alone."""
-    head = [batch_id.alias("batch_run_id"), batch_ts.alias("batch_run_ts")]
-    put = upserts(new, old).select(*head, F.lit("UPSERT").alias("operation"), *VARIANT, "row_hash", change_ts.alias("change_ts"))
-    gone = deletes(new, old).select(*head, F.lit("DELETE").alias("operation"), "id", change_ts.alias("change_ts"))
-    return put.unionByName(conform(gone, VARIANT_CHANGES))
+    """UPSERT rows with all columns and DELETE rows with the id alone: upserts() and deletes() by one join of both sides."""
+    after = _identified(new).select(*VARIANT, "row_hash").withColumn("__new", F.lit(True))
+    before = _identified(old).select(F.col("id").alias("__id"), F.col("row_hash").alias("__hash"))
+    both = after.join(before, F.col("id") == F.col("__id"), "full_outer")
+    operation = F.when(F.col("__new").isNull(), "DELETE").when(F.col("__id").isNull() | (F.col("row_hash") != F.col("__hash")), "UPSERT")
+    both = both.withColumn("operation", operation).where("operation is not null")
+    rest = [F.col(c) for c in (*VARIANT[1:], "row_hash")]
+    log = both.select(
+        batch_id.alias("batch_run_id"), batch_ts.alias("batch_run_ts"), "operation", F.coalesce("id", "__id").alias("id"), *rest, change_ts.alias("change_ts")
+    )
+    return conform(log, VARIANT_CHANGES)
 
 
 def next_state(new: DataFrame, seen_at: Column) -> DataFrame:

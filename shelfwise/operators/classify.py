@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import casts
+from shelfwise.functions.text import once
 
 #: In this order, the first that matches counts.
 DISC_TYPES = [
@@ -18,10 +21,14 @@ DISC_TYPES = [
 
 def disc_type(body: Column) -> Column:
     """The kind that a body names, or Unknown."""
-    low, out = F.lower(F.coalesce(body, F.lit(""))), None
-    for name, pattern in DISC_TYPES:
-        out = F.when(low.rlike(pattern), name) if out is None else out.when(low.rlike(pattern), name)
-    return out.otherwise("Unknown")
+
+    def kind(low: Column) -> Column:
+        out = F
+        for name, pattern in DISC_TYPES:
+            out = out.when(reduce(lambda a, b: a | b, [low.contains(words) for words in pattern.split("|")]), name)
+        return out.otherwise("Unknown")
+
+    return once(F.lower(F.coalesce(body, F.lit(""))), kind)
 
 
 def flags(kind: Column) -> dict[str, Column]:

@@ -73,15 +73,17 @@ def description(html: Column) -> Column:
     return text.blank_to_null(F.array_join(F.slice(said, 1, 2), "\n"))
 
 
-def flight_numbers(html: Column) -> dict[str, Column]:
-    """Speed, glide, turn and fade from the text, else from the first four cells of the table."""
+def flight_numbers(html: Column) -> Column:
+    """Struct of speed, glide, turn and fade from the text, else from the first four cells of the table."""
     cells = text.all_groups(F.regexp_extract(html, FLIGHT_TABLE, 1), FLIGHT_CELL)
-    told = html.rlike(FLIGHT_TEXT)
-    return {
-        name: F.when(told, casts.to_float(F.regexp_extract(html, FLIGHT_TEXT, i + 1)))
-        .otherwise(casts.to_float(text.numeric_token(text.untag(F.get(cells, F.lit(i))))))
-        for i, name in enumerate(("Speed", "Glide", "Turn", "Fade"))
-    }
+    told, names = F.regexp_extract(html, FLIGHT_TEXT, 0), ("Speed", "Glide", "Turn", "Fade")
+
+    def all_four(found: Column) -> Column:
+        from_text = F.struct(*[casts.to_float(F.regexp_extract(found, FLIGHT_TEXT, i + 1)).alias(n) for i, n in enumerate(names)])
+        from_cells = text.once(cells, lambda c: F.struct(*[casts.to_float(text.numeric_token(text.untag(F.get(c, F.lit(i))))).alias(n) for i, n in enumerate(names)]))
+        return F.when(found != "", from_text).otherwise(from_cells)
+
+    return text.once(told, all_four)
 
 
 def usable(pages: DataFrame) -> DataFrame:
@@ -96,26 +98,26 @@ def _finished(df: DataFrame, schema: str, escaped: list[str]) -> DataFrame:
 def table_shop(pages: DataFrame, at: Column) -> DataFrame:
     """Rows of pages (url, html): one for each row of the variants' table, else one from the page itself."""
     html = F.col("html")
-    p = usable(pages).select("url", "html", meta_tags(html).alias("m"))
+    p = usable(pages)
     links = F.transform(_pairs(F.regexp_extract(html, POSTED_IN, 1), CATEGORY_LINK, 1, 2), lambda x: F.struct(x["k"].alias("k"), text.untag(x["v"]).alias("v")))
-    p = p.withColumns({
-        "ProductName": text.untag(text.first_group(html, TABLE_TITLE)), "Sku": text.untag(text.first_group(html, TABLE_SKU)),
-        "Description": F.coalesce(description(html), meta(F.col("m"), "og:description"), meta(F.col("m"), "description")),
-        "links": links, "sold_out": html.contains(SOLD_OUT), **flight_numbers(html),
-        "rows": text.all_groups(F.regexp_extract(html, ROW_TABLE, 1), ROW),
-    })
-    p = p.withColumns({"ProductName": F.when(html.rlike(TABLE_TITLE), F.col("ProductName")), "Sku": F.when(html.rlike(TABLE_SKU), F.col("Sku"))})
+    titled = lambda pattern: text.once(text.first_group(html, pattern), lambda t: F.when(t.isNotNull(), text.untag(t)))
+    p = p.select(
+        "url", meta_tags(html).alias("m"), titled(TABLE_TITLE).alias("ProductName"), titled(TABLE_SKU).alias("Sku"), description(html).alias("said"), links.alias("links"),
+        html.contains(SOLD_OUT).alias("sold_out"), flight_numbers(html).alias("flight"), text.first_group(html, PAGE_PRODUCT).alias("page_product"),
+        text.all_groups(F.regexp_extract(html, ROW_TABLE, 1), ROW).alias("rows"),
+    )
+    p = p.select("*", "flight.*", F.coalesce("said", meta(F.col("m"), "og:description"), meta(F.col("m"), "description")).alias("Description"))
     p = p.withColumn("r", F.explode_outer("rows"))
     r, m = F.col("r"), F.col("m")
     option = lambda name: text.last_of_pairs(F.col("o"), "k", "v", name)
     listed = r.isNotNull()
     p = p.withColumns({
         "o": _labelled(r, OPTION_CELL, 2, 3, key_is_text=False),
-        "stock": F.when(listed, F.when(r.rlike(STOCK_CELL), text.untag(F.regexp_extract(r, STOCK_CELL, 2)))).otherwise(F.when(F.col("sold_out"), F.lit(SOLD_OUT))),
+        "stock": F.when(listed, text.once(text.first_group(r, STOCK_CELL, 2), lambda t: F.when(t.isNotNull(), text.untag(t)))).otherwise(F.when(F.col("sold_out"), F.lit(SOLD_OUT))),
     })
     left = F.when(listed, text.available_stock(F.col("stock"))).otherwise(F.when(F.col("sold_out"), F.lit(0).cast("bigint")))
     out = p.select(
-        casts.to_int(F.when(listed, text.first_group(r, FORM_PRODUCT)).otherwise(text.first_group(html, PAGE_PRODUCT))).alias("ProductId"),
+        casts.to_int(F.when(listed, text.first_group(r, FORM_PRODUCT)).otherwise(F.col("page_product"))).alias("ProductId"),
         casts.to_int(text.first_group(r, FORM_VARIATION)).alias("VariationId"),
         "ProductName", "Sku", F.coalesce(meta(m, "og:url"), F.col("url")).alias("ProductLink"), F.col("url").alias("ProductUrl"),
         text.last_of_pairs(m, "k", "v", "og:url").alias("CanonicalUrl"),

@@ -11,25 +11,32 @@ from shelfwise.operators.products import price_bounds
 from shelfwise.sources.schemas import LOG_TYPES, VARIANT, VIEW_TYPES
 
 
+_IDS = ("product_id", "variant_id", "id")
+
+
+def _with_present_ids(src: DataFrame) -> DataFrame:
+    """src with its three ids trimmed, blank ones null, as __product_id, __variant_id and __id: trimmed once for all uses."""
+    return src.withColumns({f"__{c}": present(F.col(c)) for c in _IDS})
+
+
 def _with_ids(src: DataFrame, made) -> DataFrame:
-    product = F.coalesce(present(F.col("product_id")), present(F.col("id")), made)
-    variant = F.coalesce(present(F.col("variant_id")), present(F.col("id")), present(F.col("product_id")), made)
-    rest = [F.col(c) for c in VARIANT[3:]]
-    return src.select(made.alias("id"), product.alias("product_id"), variant.alias("variant_id"), *rest)
+    rows = src.withColumn("__made", made)
+    product = F.coalesce("__product_id", "__id", "__made")
+    variant = F.coalesce("__variant_id", "__id", "__product_id", "__made")
+    return rows.select(F.col("__made").alias("id"), product.alias("product_id"), variant.alias("variant_id"), *[F.col(c) for c in VARIANT[3:]])
 
 
 def from_content(src: DataFrame) -> DataFrame:
     """Variants of the source without ids of its own: those with a link or a title, under a hash of what they are."""
     c = {n: F.col(n) for n in src.columns}
     made = identity.content_variant_id(c["store"], c["store_url"], c["product_link"], c["title"], c["variant_title"], c["weight_g"])
-    return _with_ids(src.where(casts.any_present(c["product_link"], c["title"], c["variant_title"])), made)
+    return _with_ids(_with_present_ids(src.where(casts.any_present(c["product_link"], c["title"], c["variant_title"]))), made)
 
 
 def from_shops(src: DataFrame) -> DataFrame:
     """Variants of shops: those with any id, under store and id."""
-    c = {n: F.col(n) for n in src.columns}
-    made = identity.shop_variant_id(c["store"], c["store_url"], c["variant_id"], c["id"], c["product_id"])
-    return _with_ids(src.where(casts.any_present(c["variant_id"], c["id"], c["product_id"])), made)
+    src = _with_present_ids(src).withColumn("__key", F.coalesce("__variant_id", "__id", "__product_id")).where("__key is not null")
+    return _with_ids(src, identity.shop_id(F.col("store"), F.col("store_url"), F.col("__key")))
 
 
 def variant_snapshot(content: DataFrame, shops: DataFrame, types: dict[str, str] = VIEW_TYPES) -> DataFrame:

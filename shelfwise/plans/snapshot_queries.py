@@ -85,8 +85,8 @@ def content_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     body = F.when(F.col("doc_id") % 4 == 0, F.concat(F.col("text"), F.lit(" Long Range Driver"))).when(F.col("doc_id") % 4 == 1, F.concat(F.lit("An APPROACH disc. "), F.col("text"))).otherwise(F.col("text"))
-    kind = classify.disc_type(body)
-    return d.select("doc_id", kind.alias("disc_type"), *[v.alias(k) for k, v in classify.flags(kind).items()])
+    kinds = d.select("doc_id", classify.disc_type(body).alias("disc_type"))
+    return kinds.withColumns(classify.flags(F.col("disc_type")))
 
 
 def derived_product_type(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def _kind(p_type):
 def stock_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as variants of the source without ids."""
     p = table(spark, sf_dir, "part").withColumn("BodyHtml", _kind(F.col("p_type")))
-    p = p.withColumns(flags(disc_type(F.col("BodyHtml"))))
+    p = p.withColumn("kind", disc_type(F.col("BodyHtml"))).withColumns(flags(F.col("kind")))
     none = F.lit(None).cast("string")
     return p.select(
         none.alias("id"), none.alias("product_id"), none.alias("variant_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("vendor"),
@@ -39,10 +39,10 @@ def stock_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shop_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitems as variants of shops (their suppliers) with their part's columns; order and line repeat, so ids do."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", F.lower("p_brand").alias("tag"))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", F.lower("p_brand").alias("tag"), _kind(F.col("p_type")).alias("BodyHtml"))
+    p = p.withColumn("kind", disc_type(F.col("BodyHtml"))).withColumns(flags(F.col("kind"))).drop("kind")
     bounds = li.groupBy("l_partkey").agg(F.min("l_extendedprice").alias("low_price"), F.max("l_extendedprice").alias("high_price")).withColumnRenamed("l_partkey", "k")
     v = li.join(p, li["l_partkey"] == p["p_partkey"]).join(bounds, F.col("l_partkey") == F.col("k"))
-    v = v.withColumn("BodyHtml", _kind(F.col("p_type"))).withColumns(flags(disc_type(F.col("BodyHtml"))))
     shop = F.concat(F.lit("https://shop"), (F.col("l_suppkey") % 10).cast("string"), F.lit(".example/"))
     none = F.lit(None).cast("string")
     return v.select(

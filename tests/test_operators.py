@@ -106,7 +106,7 @@ def test_table_shop_fallbacks(spark):
 
 def test_flight_numbers_from_table(spark):
     html = '<div class="woocommerce-product-gallery"><table class="round-table"><tbody><tr><td>S<br>9</td><td>G<br>5</td><td>T<br>-1.5</td></tr></tbody></table></div>'
-    df = spark.createDataFrame([(html,)], "html string").select(*[c.alias(n) for n, c in html_shops.flight_numbers(F.col("html")).items()])
+    df = spark.createDataFrame([(html,)], "html string").select(html_shops.flight_numbers(F.col("html")).alias("f")).select("f.*")
     assert tuple(df.first()) == (9.0, 5.0, -1.5, None)
 
 
