@@ -1,19 +1,24 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 A page is stripped to lines, one for each block of text. The text lengths of `window` lines in a row are summed; the main
-text runs from the line where the sums surge to the one where they dive to nothing. Lines of menus, adverts and the like,
-known by tag, role or class, have no length, and an article element stands apart from what surrounds it.
+text runs from the line where the sums surge to the one where they dive to nothing, in the region that has most. Tags and
+roles only weigh: text of menus, asides and the like has no length, a line of links has little, an article's counts
+ARTICLE times. Classes and ids mean nothing.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.workspace import small_batches
+
 #: Elements whose text is never part of a page.
 RAW = "script|style|noscript|template|svg|title|iframe|object|textarea|select|canvas|audio|video|annotation-xml|annotation"
 TOKEN = re.compile(
@@ -31,73 +36,56 @@ MATH = frozenset(
     "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 INLINE |= MATH
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(("article", "main"))
 APART = frozenset("nav footer aside form menu dialog button fieldset head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
-#: Words in class or id that mark what is not the article; the second set only counts outside an article.
-NOT_ARTICLE = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo sidebar nav navbar navigation menu breadcrumb "
-    "breadcrumbs footer comment comments disqus respond reply replies notice cookie cookies consent gdpr popup modal overlay "
-    "newsletter subscribe subscription signup share sharing social related recommended widget pagination pager login masthead "
-    "toolbar skip".split()
-)
-NOT_ARTICLE_OUTSIDE = frozenset("header banner top search copyright disclaimer legal".split())
-#: Of these, the ones that hold articles of others.
-OTHERS = frozenset("sidebar comment comments disqus respond reply replies related recommended widget".split())
-#: Words that may stand beside these in one class or id; any other word makes it a name for something else (`related-work`).
-NEUTRAL = frozenset(
-    "area articles bar block bottom box btn button buttons container count desktop entry footer form google header icon icons id inner item "
-    "items js large left link links list main mobile outer page panel post posts primary right secondary section side site small text "
-    "thread title top wp wrap wrapper".split()
-)
-#: Never left out by class or id.
-WHOLE = frozenset(("html", "body", "main", "article"))
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-WORD = re.compile(r"[a-z]+|[0-9]+")
-
-
-def _marks(value: str, marks: frozenset[str]) -> set[str]:
-    """Words of a class or id among marks; only of names that hold no words but marks, neutral ones, numbers and letters."""
-    found: set[str] = set()
-    for name in value.lower().split():
-        words = set(WORD.findall(name))
-        if all(w in marks or w in NEUTRAL or len(w) == 1 or w.isdigit() for w in words):
-            found |= words & marks
-    return found
-
-
-def _lines(page: str, classes: bool = True) -> list[tuple[str, int, bool, int]]:
-    """(text, link characters, in an article, gap): gap 1 stands for left-out text, 2 for the edge of an article, 3 for text
-    that is left out by class or id, which happens with `classes` only."""
-    lines: list[tuple[str, int, bool, int]] = []
+#: Elements whose end tags can't be left out; only these nest here. All other blocks just end a line.
+NESTING = MAIN | APART | frozenset("html body header div section table ul ol dl figure blockquote details center address pre".split())
+#: What may stand in a head; any other element ends it.
+HEADINGS = frozenset("meta link base title script style noscript template".split())
+ROLE = re.compile(r"\brole\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: How many times the length of text in an article or main element counts.
+ARTICLE = 16
+
+Line = tuple[str, float, int]
+
+
+def _lines(page: str, weighed: bool = True) -> list[Line]:
+    """(text, length, gap): gap 0 is a line of text, 1 stands for an element's edge, 2 for that of an outermost article.
+
+    `weighed` leaves out the text of menus, asides and the like. Each tag is looked at once: a count of open elements by
+    name tells whether an end tag ends any, and what it pops was pushed once.
+    """
+    lines: list[Line] = []
     held: list[str] = []
-    links = 0
-    stack: list[tuple[str, int, bool]] = []  # name, left out (1; 2 where an article in it is no main text), is an article
-    out = article = anchor = 0
+    stack: list[tuple[str, bool, bool]] = []  # name, left out, is an article
+    opened: Counter[str] = Counter()
+    links = out = article = anchor = 0  # anchor: the depth below which an open link stands, plus one
 
     def flush() -> None:
         nonlocal links
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                lines.append((text, links, article > 0, 0))
+                share = min(1.0, links / len(text))
+                lines.append((text, len(text) * (ARTICLE if article else 1 - share if share < 0.5 else 0), 0))
             held.clear()
             links = 0
 
     def gap(kind: int) -> None:
         flush()
-        lines.append(("", 0, False, kind))
+        lines.append(("", 0, kind))
 
     def pop() -> None:
         nonlocal out, article, anchor
+        flush()
         name, left_out, own = stack.pop()
-        out -= left_out > 0
-        anchor -= name == "a"
-        if own:
-            if article == 1:
-                gap(2)
-            article -= 1
+        opened[name] -= 1
+        out -= left_out
+        anchor = min(anchor, len(stack) + 1)
+        article -= own
+        if not article:
+            gap(2 if own else 1)
 
     def text(piece: str) -> None:
         nonlocal links
@@ -115,56 +103,39 @@ def _lines(page: str, classes: bool = True) -> list[tuple[str, int, bool, int]]:
             if m[1]:
                 held.append(" ")
             continue
+        ends = bool(m[2] or m[5])
         if name == "br" or name in MATH:
             held.append(" ")
-        if m[2] or m[5]:
-            if name not in INLINE:
-                flush()
-            depth = len(stack) - 1
-            while depth >= 0 and stack[depth][0] != name and (name not in INLINE or stack[depth][0] in INLINE):
-                depth -= 1
-            if depth >= 0 and stack[depth][0] == name:
-                while len(stack) > depth:
+        elif name == "a":
+            anchor = 0 if ends else len(stack) + 1
+        if name in INLINE:
+            continue
+        flush()
+        if ends:
+            if opened[name]:
+                while stack[-1][0] != name:
                     pop()
+                pop()
             continue
         rest = m[4] if m[4] is not None else m[7] or ""
-        if name not in INLINE:
-            flush()
-        if name == "body":
-            while stack:
-                pop()
-        if name in VOID or rest.endswith("/"):
+        if stack and stack[-1][0] == "head" and name not in HEADINGS:
+            pop()
+        if name not in NESTING or rest.endswith("/"):
             continue
-        left_out, words, roles, by_class = int(name in APART or name == "header" and not article) + (name == "aside"), set(), set(), False
-        if "=" in rest:
-            marks = NOT_ARTICLE if article else NOT_ARTICLE | NOT_ARTICLE_OUTSIDE
-            for key, a, b, c in ATTRIBUTE.findall(rest):
-                if key.lower() == "role":
-                    roles.update(WORD.findall((a or b or c).lower()))
-                elif classes and not (article and name == "section" and key.lower() == "id"):  # there an id is a heading's anchor
-                    words |= _marks(a or b or c, marks)
-            if name in WHOLE and not (name == "article" and article and words & OTHERS):
-                words &= OTHERS if name == "article" else frozenset()
-            elif words:
-                by_class = not left_out and not roles & ROLES
-                left_out = max(left_out, 1 + bool(words & OTHERS))
-            if roles & ROLES:
-                left_out = max(left_out, 1)
-        own = (name in MAIN or "main" in roles or "article" in roles) and not words
-        if own and out and not article and all(x[1] < 2 for x in stack):
-            while stack and out:  # a menu or the like was never closed
+        found = ROLE.search(rest) if "=" in rest else None
+        roles = frozenset((found[1] or found[2] or found[3] or "").lower().split()) if found else frozenset()
+        own = name in MAIN or bool(roles & {"main", "article"})
+        if own and out and not article:
+            while stack and out:  # a menu or the like was never closed, or holds the whole page
                 pop()
-        own = own and not out
-        left_out = 0 if name in INLINE else left_out
-        if left_out and not out:
-            gap(3 if by_class else 1)
+        apart = name in APART or name == "header" and not article or bool(roles & ROLES)
+        left_out, own = weighed and apart and not own or name == "head", own and not out
+        if not article:
+            gap(2 if own else 1)
         stack.append((name, left_out, own))
-        out += left_out > 0
-        anchor += name == "a"
-        if own:
-            if not article:
-                gap(2)
-            article += 1
+        opened[name] += 1
+        out += left_out
+        article += own
     text(page[at:])
     flush()
     while stack:
@@ -172,64 +143,53 @@ def _lines(page: str, classes: bool = True) -> list[tuple[str, int, bool, int]]:
     return lines
 
 
-def _region(lines: list[tuple[str, int, bool, int]], window: int, surge: int) -> tuple[str, int]:
-    """The text of the region of lines that has most, and the length that its region has."""
-    marked = any(x[2] and x[0] for x in lines)
+def _region(lines: list[Line], window: int, surge: float) -> tuple[str, float]:
+    """The text from surge to dive in the region of lines that has most length, and that length."""
     kept: list[str] = []
-    lengths: list[int] = []
-    for text, links, inside, kind in lines:
-        if kind:
-            blank = window if kind == 2 else 1
-            if kind != 2 and lengths and not kept[-1]:
-                continue
-            kept += [""] * blank
-            lengths += [0] * blank
-        else:
+    lengths: list[float] = []
+    blank = 0
+    for text, length, kind in lines:
+        if kind == 0:
             kept.append(text)
-            lengths.append(len(text) if inside or not marked and 2 * links < len(text) else 0)
-    sums, total = [], 0
-    padded = lengths + [0] * window
-    total = sum(padded[:window])
-    for i in range(len(lengths)):
-        sums.append(total)
-        total += padded[i + window] - padded[i] if i + window < len(padded) else -padded[i]
-    best, best_mass, start = (0, 0), 0, None
-    for i in range(len(sums) + 1):
-        if i < len(sums) and sums[i] > 0:
-            start = i if start is None else start
-        elif start is not None:
-            mass = sum(lengths[start:i])
-            if mass > best_mass:
-                best, best_mass = (start, i), mass
-            start = None
-    low, high = best
-    if not marked:
-        low = next((i for i in range(low, high) if sums[i] > surge), low)
+            lengths.append(length)
+            blank = 0
+            continue
+        n = window - blank if kind == 2 else 1 if blank < window - 1 else 0  # edges part lines, only those of articles part regions
+        kept += [""] * n
+        lengths += [0.0] * n
+        blank += n
+    total = np.cumsum(np.concatenate(([0.0], lengths, [0.0] * window)))
+    sums = total[window:] - total[:-window]
+    filled = np.concatenate(([False], sums[: len(lengths)] > 0, [False]))
+    starts, ends = np.flatnonzero(filled[1:] & ~filled[:-1]), np.flatnonzero(filled[:-1] & ~filled[1:])
+    if not len(starts):
+        return "", 0.0
+    mass = total[ends] - total[starts]
+    best = int(mass.argmax())
+    low, high = int(starts[best]), int(ends[best])
+    over = np.flatnonzero(sums[low:high] > surge)
+    low += int(over[0]) if len(over) else 0
     while low < high and not lengths[low]:
         low += 1
     while high > low and not lengths[high - 1]:
         high -= 1
-    return "\n".join(x for x in kept[low:high] if x), best_mass
+    return "\n".join(x for x in kept[low:high] if x), float(mass[best])
 
 
-def main_text(page: str | None, window: int = 3, surge: int = 86) -> str:
+def main_text(page: str | None, window: int = 3, surge: float = 86) -> str:
     """The main text of one page: blocks in page order, joined by line ends; empty for null, empty and text-free pages.
 
-    Inside a block white space becomes one space. Regions of lines are parted where `window` sums in a row are zero. If a
-    page has article (or main) elements, the outermost one with most text is taken whole, with those in it; else the region with most
-    text, from where a sum exceeds `surge` (from its start if none does) until the sums fall to zero. Outside articles,
-    lines that are mostly links have no length. Where what class and id leave is no more than `surge` and in no article, they
-    leave nothing out.
+    Inside a block white space becomes one space. A line's length is that of its text, times the share that is no link
+    (none, if half or more is); in an article or main element it is ARTICLE times the text's. Elements' edges are empty
+    lines, `window` of them around outermost articles. Regions of lines are parted where sums over `window` lines in a row
+    are zero; of the one with most length the text starts where a sum exceeds `surge` (at its start if none does) and goes
+    on until the sums fall to zero. So of several outermost articles the one with most text is taken, whole. If tags and
+    roles leave no length at all, nothing is left out for them. Work grows with the page's length, however badly it is nested.
     """
     if not page:
         return ""
-    lines = _lines(page)
-    got, mass = _region(lines, window, surge)
-    if mass <= surge and any(x[3] == 3 for x in lines) and not any(x[2] and x[0] for x in lines):
-        again, more = _region(_lines(page, classes=False), window, surge)
-        if more > surge or not mass:
-            return again
-    return got
+    got, mass = _region(_lines(page), window, surge)
+    return got if mass else _region(_lines(page, weighed=False), window, surge)[0]
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", to: str = "text") -> DataFrame:
@@ -238,6 +198,8 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", to: str = "text"
     Null html gives an empty text; rows are independent, so repeated rows give repeated results and an empty table none.
     """
 
+    small_batches(pages.sparkSession)
+
     @F.pandas_udf("string")
     def texts(batch: pd.Series) -> pd.Series:
         return batch.map(main_text)
