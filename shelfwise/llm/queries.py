@@ -143,6 +143,33 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM documents JOIN c ON doc_id = d LEFT JOIN n USING (doc_id)
 """
 
+#: Links to other hosts are absolute, and no html of the tables has a ://, so nothing spreads: a page without a rule has its
+#: host's own shares. (Ranks over links are beyond SQL; a brute-force version holds them in the tests.)
+OP8_SQL = r"""
+WITH p AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), r AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM p
+), v AS (
+  SELECT *, CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS own FROM r
+), h AS (
+  SELECT host, (1 - CAST(0.85 AS DOUBLE)) * avg(CASE WHEN own = 'allow' THEN 1.0 ELSE 0.0 END) AS trust,
+    (1 - CAST(0.85 AS DOUBLE)) * avg(CASE WHEN own = 'block' THEN 1.0 ELSE 0.0 END) AS distrust
+  FROM v WHERE host <> '' GROUP BY 1
+)
+SELECT page_id, v.host, path, rule, coalesce(own, CASE WHEN (coalesce(distrust, 0) - coalesce(trust, 0)) / (1 - CAST(0.85 AS DOUBLE)) >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust
+FROM v LEFT JOIN h ON v.host = h.host
+"""
+
 #: Windows of 512 tokens with a history of 128, as format_windows() cuts them.
 OP10_SQL = r"""
 WITH t AS (
@@ -193,4 +220,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_topk": OP2_SQL, "op7_near_dedup": OP7_SQL, "op10_chat_format": OP10_SQL}
+    return {"op2_exact_topk": OP2_SQL, "op7_near_dedup": OP7_SQL, "op8_url_filter": OP8_SQL, "op10_chat_format": OP10_SQL}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.workspace import written
+from shelfwise.llm.workspace import deleted, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -50,46 +50,55 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float, iterations: int, tolerance: float) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: float, most: int) -> DataFrame:
     """Both walks at once: seeds kind, host, seed; edges kind, src, dst, w. Returns kind, host, score.
 
-    score = (1 - damping) * seed + damping * sum over incoming edges of score(src) * w, iterated; mass of hosts without
-    links is not handed on. The ranks are written every second step, which cuts the lineage and gives the change.
+    score = (1 - damping) * seed + damping * sum over incoming edges of score(src) * w, iterated until a step changes all
+    scores together by less than tolerance times the sum of seeds; if `most` steps don't get there, that is an error.
+    Scores of hosts without links are not handed on. The ranks are written every second step, which cuts the lineage and
+    gives the change.
     """
-    ranks = seeds.select("kind", "host", (F.lit(1 - damping) * F.col("seed")).alias("score"))
-    for step in range(1, iterations + 1):
+    base = seeds.select("kind", "host", (F.lit(1 - damping) * F.col("seed")).alias("score"))
+    least = tolerance * (seeds.agg(F.sum("seed")).first()[0] or 0.0)
+    ranks, held = base, None
+    for step in range(1, most + 1):
         moved = (
             edges.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"])
             .groupBy("kind", F.col("dst").alias("host"))
             .agg((F.lit(damping) * F.sum(F.col("score") * F.col("w"))).alias("score"))
         )
-        base = seeds.select("kind", "host", (F.lit(1 - damping) * F.col("seed")).alias("score"))
         new = base.unionByName(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if step % 2 == 0 or step == iterations:
+        if step % 2 == 0:
             new = written(new, "host-ranks")
             before = ranks.withColumnRenamed("score", "old")
-            change = new.join(before, ["kind", "host"], "left").agg(F.max(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))))).first()[0]
-            if (change or 0.0) < tolerance:
+            change = new.join(before, ["kind", "host"], "left").agg(F.sum(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0))))).first()[0]
+            if (change or 0.0) <= least:
                 return new
+            if held is not None:
+                deleted(held)
+            held = new
         ranks = new
-    return ranks
+    raise RuntimeError(f"host ranks did not settle in {most} steps")
 
 
 def filter_urls(
     pages: DataFrame,
     rules: list[tuple[str, str]],
     damping: float = 0.85,
-    iterations: int = 20,
     tolerance: float = 1e-6,
     threshold: float = 0.5,
+    most_steps: int = 500,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, trust and distrust of every page (columns page_id, url, html).
 
-    Seeds: the share of a host's pages that rules allow (trust) or block (distrust). A host is blocked where
-    (distrust - trust) / (1 - damping) reaches the threshold, so a host all of whose pages are blocked scores 1, and one
-    that links to such hosts only scores damping. Pages without a rule take their host's verdict; hosts that no seed
-    reaches, and pages whose url is null or has no ://, are allowed with trust and distrust 0. Null html has no links.
-    Repeated rows are judged one by one and count in the shares. Other columns of pages are ignored.
+    Seeds: the share of a host's pages that rules allow (trust) or block (distrust). trust is personalised PageRank over
+    links, an edge weighing its share of its source's links; distrust is personalised PageRank over the reversed links, an
+    edge weighing its share of the links to its target. Both are times the sum of seeds, so that a threshold doesn't
+    depend on how many there are. A host is blocked where (distrust - trust) / (1 - damping) reaches the threshold: a host
+    all of whose pages are blocked has 1 from these alone, one that has all links to such a host has damping. Pages
+    without a rule take their host's verdict; hosts that no seed reaches, and pages whose url is null or has no ://, are
+    allowed with trust and distrust 0. Null html has no links. Repeated rows are judged one by one and count in the
+    shares. Other columns of pages are ignored.
     """
     judged = pages.select("page_id", "html", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     judged = judged.withColumn("r", matching_rule(F.col("host"), F.col("path"), rules))
@@ -101,10 +110,11 @@ def filter_urls(
     if links.isEmpty():
         ranks = seeds.select("kind", "host", (F.lit(1 - damping) * F.col("seed")).alias("score"))
     else:
-        out = links.join(links.groupBy("src").agg(F.sum("n").alias("total")), "src")
-        forth = out.select(F.lit("trust").alias("kind"), "src", "dst", (F.col("n") / F.col("total")).alias("w"))
-        back = out.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("n") / F.col("total")).alias("w"))
-        ranks = propagate(seeds, written(forth.unionByName(back), "host-edges"), damping, iterations, tolerance)
+        back = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+        both = links.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionByName(back)
+        both = both.join(both.groupBy("kind", "src").agg(F.sum("n").alias("total")), ["kind", "src"])
+        both = both.select("kind", "src", "dst", (F.col("n") / F.col("total")).alias("w"))
+        ranks = propagate(seeds, written(both, "host-edges"), damping, tolerance, most_steps)
     scores = ranks.groupBy("host").agg(
         F.coalesce(F.max(F.when(F.col("kind") == "trust", F.col("score"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.max(F.when(F.col("kind") == "distrust", F.col("score"))), F.lit(0.0)).alias("distrust"),
