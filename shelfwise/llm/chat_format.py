@@ -41,47 +41,49 @@ def format_windows(turns: DataFrame, stride: int = 512, history: int = 128, turn
     that are repeated are turns of their own. Every turn is new in exactly one window; a turn longer than stride is a span
     of its own or ends one. An empty table gives no windows. Other columns are ignored. Prefix sums are taken in two steps,
     within runs of `chunk` turn numbers and over the runs, so that a conversation with a large part of all rows is spread
-    over many tasks. history must not exceed stride.
+    over many tasks; texts are shuffled twice: to these runs, and to windows. history must not exceed stride.
     """
     if history > stride:
         raise ValueError("history must not exceed stride")
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.expr(f"turn div {chunk}").alias("chunk"))
+    conv = ["no_id", "id"]  # conv_id without nulls, so that joins and windows share a partitioning
+    rows = turns.select(
+        "conv_id", F.col("conv_id").isNull().alias("no_id"), F.coalesce("conv_id", F.lit(0).cast(turns.schema["conv_id"].dataType)).alias("id"), "turn",
+        role.alias("role"), text.alias("text"), F.coalesce(F.expr(f"turn div {chunk}"), F.lit(-(1 << 62))).alias("chunk"),
+    )
     rows = rows.withColumn("tokens", F.regexp_count("text", F.lit(r"\S+")).cast("long") + F.lit(turn_tokens))
-    runs = rows.groupBy("conv_id", "chunk").agg(F.sum("tokens").alias("run"), F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy(*conv, "chunk").agg(F.sum("tokens").alias("run"), F.count(F.lit(1)).alias("n"))
+    whole, earlier = Window.partitionBy(*conv), Window.partitionBy(*conv).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select(
-        F.col("conv_id").alias("c"), F.col("chunk").alias("k"),
-        F.coalesce(F.sum("run").over(earlier), F.lit(0)).alias("run"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n"),
+        *conv, "chunk", F.coalesce(F.sum("run").over(earlier), F.lit(0)).alias("run"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n"),
+        F.sum("run").over(whole).alias("total"),
     )
     order = ["turn", "role", "text"]
-    within = Window.partitionBy("conv_id", "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*conv, "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = (
-        rows.withColumns({"before": F.coalesce(F.sum("tokens").over(within), F.lit(0)), "i": F.count(F.lit(1)).over(within)})
-        .join(runs, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("chunk").eqNullSafe(F.col("k")))
-        .withColumns({"before": F.col("before") + F.col("run"), "i": F.col("i") + F.col("n")})
+        rows.join(runs, [*conv, "chunk"])
+        .withColumns({"before": F.coalesce(F.sum("tokens").over(within), F.lit(0)) + F.col("run"), "i": F.count(F.lit(1)).over(within) + F.col("n")})
         .withColumns({"span": F.expr(f"before div {stride}"), "lead": (F.col("i") == 0) & (F.col("role") == "system")})
-        .select("conv_id", *order, "before", "i", "span", "lead")
     )
-    # The leading system turn goes to every later span of its conversation, any other turn to the next one if near enough.
-    spans = rows.groupBy(F.col("conv_id").alias("c"), F.col("span").alias("window")).agg(F.min("before").alias("start"))
-    leads = rows.where("lead").join(spans, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("window") > F.col("span")))
-    leads = leads.select("conv_id", *order, "i", "window", F.lit(False).alias("new"))
-    near = rows.where("not lead").withColumn("window", F.explode(F.array(F.col("span"), F.col("span") + 1)))
-    near = near.unionByName(rows.where("lead").withColumn("window", F.col("span"))).withColumn("new", F.col("window") == F.col("span"))
-    start = F.min(F.when(F.col("new"), F.col("before"))).over(Window.partitionBy("conv_id", "window"))
-    near = near.withColumn("start", start).where(f"new or start - before <= {history}").select("conv_id", *order, "i", "window", "new")
+    # The leading system turn goes to every later span, any other turn to the next one if that can be near enough.
+    last, near = F.expr(f"(total - 1) div {stride}"), (F.col("span") + 1) * stride - F.col("before") <= history
+    windows = F.when(F.col("lead"), F.sequence("span", F.greatest("span", last))).when(near, F.array(F.col("span"), F.col("span") + 1)).otherwise(F.array("span"))
+    parts = rows.select("conv_id", *conv, "role", "text", "before", "i", "span", "lead", F.explode(windows).alias("window"))
+    parts = parts.withColumn("new", F.col("window") == F.col("span")).drop("span")
+    ordered = Window.partitionBy(*conv, "window").orderBy("i")
+    start = F.min(F.when(F.col("new"), F.col("before"))).over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    parts = parts.withColumn("start", start).where(f"start is not null and (new or lead or start - before <= {history})")
     head = F.concat(F.lit(HEAD), F.replace(escape(F.col("role")), F.lit(":"), F.lit("\\c")), F.lit(SEP))
     body = escape(F.col("text"))
-    parts = near.unionByName(leads).select(
-        "conv_id", "window", "i", "new", F.concat(head, body, F.lit(END)).alias("part"),
+    parts = parts.select(
+        "conv_id", *conv, "window", "i", "new", F.concat(head, body, F.lit(END)).alias("part"),
         F.length(head).cast("long").alias("from"), F.length(body).cast("long").alias("n"), (F.col("new") & (F.col("role") == "assistant")).alias("target"),
     )
-    so_far = Window.partitionBy("conv_id", "window").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("from", F.col("from") + F.coalesce(F.sum(F.length("part")).over(so_far), F.lit(0)))
+    so_far = F.sum(F.length("part")).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("from", F.col("from") + F.coalesce(so_far, F.lit(0)))
     span = F.when(F.col("target"), F.struct(F.col("from").alias("start"), (F.col("from") + F.col("n")).alias("end")))
     listed = F.array_sort(F.collect_list(F.struct("i", "part", "new", span.alias("loss"))))
-    return parts.groupBy("conv_id", "window").agg(listed.alias("x")).select(
+    return parts.groupBy(*conv, "window").agg(F.min("conv_id").alias("conv_id"), listed.alias("x")).select(
         "conv_id", "window",
         F.array_join(F.col("x.part"), "").alias("formatted"),
         F.size(F.filter("x", lambda p: ~p["new"])).alias("n_repeated"),
