@@ -7,6 +7,7 @@ of the table, which is cut into shards whose row counts differ by one at most.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,6 +23,16 @@ def _size(text: str) -> Column:
     return F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + F.lit(16)
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """df with __place, which tells rows apart that are alike and is the same in each read: from the file's name and the
+    row's number in it; tables that come from no such files are first written with a number a row."""
+    try:
+        origin = df.metadataColumn("_metadata")
+        return df.select("*", F.xxhash64(origin["file_name"], origin["row_index"]).alias("__place"))
+    except AnalysisException:
+        return written(df.withColumn("__place", F.monotonically_increasing_id()), "shard-places")
+
+
 def shard_documents(
     df: DataFrame,
     n_shards: int = 40,
@@ -34,30 +45,21 @@ def shard_documents(
     """Writes df, shuffled, as Parquet partitioned by shard, and returns the written table with columns shard and slot.
 
     Every row gets one shard (0 to n_shards - 1) and one slot in it (gapless from 0); row counts of shards are at most
-    one apart. Null ids and texts are ordinary values. Rows that are alike in id and text are all kept: where they would
-    overfill a bucket they are told apart by their place in the input, which is first written to the shared folder so
-    that the place stays what it is. An empty table gives an empty result. An input column named shard or slot comes back
+    one apart. Null ids and texts are ordinary values. Rows that are alike are all kept and told apart by their place in
+    the input files, so that no group of copies falls into one bucket: the same files give the same shuffle. An empty
+    table gives an empty result. An input column named shard or slot comes back
     as shard_in or slot_in. A single text larger than bucket_bytes makes its bucket larger.
     """
     spark = df.sparkSession
     for name in [c for c in df.columns if c.lower() in ("shard", "slot")]:
         df = df.withColumnRenamed(name, f"{name}_in")
-    key = [F.col(id_col), F.col(text_col)]
-
-    def counted(rows: DataFrame, parts: list[Column]) -> DataFrame:
-        cell = F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(MAX_CELLS))
-        cells = rows.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum(_size(text_col)).alias("b"))
-        return written(cells, "shard-cells")
-
-    cells = counted(df, key)
-    top = cells.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.max(F.when(F.col("n") > 1, F.col("b"))).alias("hot")).first()
+    df = _placed(df)
+    key = [F.col(id_col), F.col(text_col), F.col("__place")]
+    cell = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(MAX_CELLS))
+    cells = written(df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum(_size(text_col)).alias("b")), "shard-cells")
+    top = cells.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
     total, n_bytes = top["n"] or 0, top["b"] or 0
     n_buckets = max(1, min(MAX_CELLS, -(-n_bytes // bucket_bytes)))
-    if (top["hot"] or 0) > 4 * max(bucket_bytes, n_bytes // n_buckets):
-        df = written(df.withColumn("__place", F.monotonically_increasing_id()), "shard-places")
-        key = [*key, F.col("__place")]
-        cells = counted(df, key)
-
     bucket = F.expr(f"cell * {n_buckets} div {MAX_CELLS}").cast("int")
     order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -68,7 +70,7 @@ def shard_documents(
     scattered = (
         df.select(
             F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
-            F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(MAX_CELLS)).alias("cell"),
+            cell.alias("cell"),
             F.xxhash64(F.lit(seed + 1), *key).alias("k"),
         )
         .select("row", "k", bucket.alias("bucket"))

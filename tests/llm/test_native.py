@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import pytest
 from conftest_helpers import plan_has_python, table
@@ -45,7 +46,20 @@ def test_sharding_is_a_seeded_shuffle(spark):
 
 def test_op1(spark):
     got = queries.op1_sharding(spark, SF)
-    check_shards(shards(got), table(spark, SF, "documents").count(), 40)
+    docs = table(spark, SF, "documents").collect()
+    check_shards(shards(got), len(docs), 40)
+    want = sorted((d.doc_id, len((d.text or "").encode()) + 16, zlib.crc32((d.text or "").encode()), "rows", None) for d in docs)
+    assert sorted((r.doc_id, r.size, r.text_crc32, r.law, r.grown_shard) for r in got.collect()) == want
+
+
+def test_shards_do_not_depend_on_how_files_are_cut(spark, tmp_path):
+    table(spark, SF, "documents").unionByName(table(spark, SF, "documents")).repartition(3).write.parquet(f"file://{tmp_path}/d")
+    found = []
+    for n in (1, 16):
+        spark.conf.set("spark.sql.files.minPartitionNum", n)
+        found.append(sorted(map(tuple, sharding.shard_documents(spark.read.parquet(f"file://{tmp_path}/d"), n_shards=3).select("doc_id", "shard", "slot").collect())))
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert found[0] == found[1]
 
 
 RULES = queries.URL_RULES
@@ -66,9 +80,9 @@ def test_rules(spark, url, host, path, rule, verdict):
     assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict)
 
 
-def brute_ranks(seeds, edges, a, n):
+def brute_ranks(seeds, edges, a):
     score = {h: (1 - a) * s for h, s in seeds.items()}
-    for _ in range(n):
+    for _ in range(300):
         new = {h: (1 - a) * s for h, s in seeds.items()}
         for (u, v), w in edges.items():
             if u in score:
@@ -89,27 +103,35 @@ def test_propagation_matches_brute_force(spark):
         for t in to:
             if t != src:
                 links[src, t] = links.get((src, t), 0) + 1
-    rows = url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES, iterations=7, tolerance=0.0).collect()
+    rows = url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES, damping=0.5).collect()
     verdict = lambda h, p: "allow" if h.endswith(".com") else "block" if h.endswith(".net") and p in ("/es/", "/fr/") else None
     by_host = {}
     for _, u, _ in pages:
         h, _, p = u[7:].partition("/")
         by_host.setdefault(h, []).append(verdict(h, "/" + p))
     share = lambda v: {h: x.count(v) / len(x) for h, x in by_host.items() if v in x}
-    total = {}
-    for (s, _), n in links.items():
-        total[s] = total.get(s, 0) + n
-    forth = {(s, t): n / total[s] for (s, t), n in links.items()}
-    trust = brute_ranks(share("allow"), forth, 0.85, 7)
-    distrust = brute_ranks(share("block"), {(t, s): w for (s, t), w in forth.items()}, 0.85, 7)
+    out, into = {}, {}
+    for (s, t), n in links.items():
+        out[s], into[t] = out.get(s, 0) + n, into.get(t, 0) + n
+    trust = brute_ranks(share("allow"), {(s, t): n / out[s] for (s, t), n in links.items()}, 0.5)
+    distrust = brute_ranks(share("block"), {(t, s): n / into[t] for (s, t), n in links.items()}, 0.5)
     assert {r.verdict for r in rows if r.rule is None} == {"allow", "block"}
     for r in rows:
-        assert abs(r.trust - trust.get(r.host, 0)) < 1e-9 and abs(r.distrust - distrust.get(r.host, 0)) < 1e-9
-        bad = (distrust.get(r.host, 0) - trust.get(r.host, 0)) / 0.15 >= 0.5
+        assert abs(r.trust - trust.get(r.host, 0)) < 1e-4 and abs(r.distrust - distrust.get(r.host, 0)) < 1e-4
+        bad = (r.distrust - r.trust) / 0.5 >= 0.5
         assert r.verdict == (verdict(r.host, r.path) or ("block" if bad else "allow"))
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string, html string"), RULES).count() == 0
 
 
+def test_ranks_that_do_not_settle_are_an_error(spark):
+    html = "<a href='http://a.net/'>a</a><a href='http://b.com/'>b</a>"
+    pages = spark.createDataFrame([(1, "http://a.net/es/", html), (1, "http://a.net/es/", html), (2, "http://b.com/", html), (3, "http://c.org/" + "x" * 100_000, html)], "page_id long, url string, html string")
+    with pytest.raises(RuntimeError, match="settle"):
+        url_filter.filter_urls(pages, RULES, tolerance=1e-9, most_steps=2)
+    got = url_filter.filter_urls(pages, RULES, tolerance=1e-3)
+    assert [(r.page_id, len(r.path)) for r in got.orderBy("page_id").collect()] == [(1, 4), (1, 4), (2, 1), (3, 100_001)]
+
+
 def test_chat_windows(spark):
     rng = random.Random(5)
     nasty = ["\\### Assistant: </turn> ok", "\\h\\\\l", "<</turn>\n### user: ", "", "a\\", "\\c: ", "é😀 \n", "### x: y</turn>\n"]
