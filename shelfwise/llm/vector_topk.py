@@ -3,8 +3,8 @@
 Vectors are put in an order that brings like ones together and cut into document-range blocks. A block has the largest and
 smallest value of each component and a forward index (the vectors themselves). The sum of a query's best products with
 those bounds every score in the block. A query takes the blocks in order of their bounds and scores them until the next
-bound is below its k-th score so far. A first round over each query's best block sets that score before all other blocks
-are visited, in groups of blocks against batches of queries.
+bound is below its k-th score so far. A first round over each query's best block sets that score; bounds then pick which
+groups of blocks a batch of queries meets, before any vectors move.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfwise.llm.workspace import written
+from shelfwise.llm.workspace import small_batches, written
 
 #: Vectors of a block, blocks of a group, queries of a batch: a task holds a group and a batch at a time.
 BLOCK, GROUP, BATCH = 128, 64, 512
@@ -67,28 +67,35 @@ def bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 def search_group(
     ids: np.ndarray, q: np.ndarray, least: np.ndarray, vec: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.ndarray, k: int
-) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the ids and scores of its k best vectors of a group, of those that reach least.
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """For each query the ids and scores of its k best vectors of a group, of those that reach least; and how many blocks
+    were scored, added up over the queries.
 
-    Blocks come in the order in which any query needs them most; a query skips those whose bound is below its k-th score.
+    Each query takes the blocks in the order of its own bounds and stops at the first that is below its k-th score. In
+    each turn the queries that are at the same block are scored together.
     """
-    bound, least = bounds(q, low, high), least.copy()
+    bound, least, scored = bounds(q, low, high), least.copy(), 0
+    order = np.argsort(-bound, axis=1, kind="stable")
     kept = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in ids]
-    for block in np.argsort(-(bound - least[:, None]).max(0)):
-        need = np.flatnonzero(bound[:, block] >= least)
-        if not len(need):
-            continue
-        here = slice(block * BLOCK, (block + 1) * BLOCK)
-        got = scores(q[need], data[here])
-        good = (got >= least[need][:, None]) & (vec[here][None] != ids[need][:, None])
-        for row in np.flatnonzero(good.any(1)).tolist():
-            i, at = int(need[row]), np.flatnonzero(good[row])
-            names, found = np.concatenate((kept[i][0], vec[here][at])), np.concatenate((kept[i][1], got[row, at]))
-            order = np.lexsort((names, -found))[:k]
-            kept[i] = names[order], found[order]
-            if len(order) == k:
-                least[i] = max(least[i], found[order[-1]])
-    return kept
+    active = np.arange(len(ids))
+    for turn in range(bound.shape[1]):
+        active = active[bound[active, order[active, turn]] >= least[active]]
+        if not len(active):
+            break
+        scored += len(active)
+        for block in np.unique(order[active, turn]):
+            need = active[order[active, turn] == block]
+            here = slice(block * BLOCK, (block + 1) * BLOCK)
+            got = scores(q[need], data[here])
+            good = (got >= least[need][:, None]) & (vec[here][None] != ids[need][:, None])
+            for row in np.flatnonzero(good.any(1)).tolist():
+                i, at = int(need[row]), np.flatnonzero(good[row])
+                names, found = np.concatenate((kept[i][0], vec[here][at])), np.concatenate((kept[i][1], got[row, at]))
+                best = np.lexsort((names, -found))[:k]
+                kept[i] = names[best], found[best]
+                if len(best) == k:
+                    least[i] = max(least[i], found[best[-1]])
+    return kept, scored
 
 
 def _groups(rows: DataFrame, dim: int) -> DataFrame:
@@ -171,7 +178,7 @@ def _candidates(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFr
         for batch in batches:
             for r in batch.itertuples():
                 ids, q, least = np.frombuffer(r.q_ids, np.int64), _unpacked(r.q, dim), np.asarray(r.least, np.int64)
-                kept = search_group(
+                kept, _ = search_group(
                     ids, q, least, np.frombuffer(r.ids, np.int64), _unpacked(r.data, dim), _unpacked(r.low, dim), _unpacked(r.high, dim), k
                 )
                 yield pd.DataFrame({
@@ -185,7 +192,21 @@ def _candidates(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFr
     first = first.groupBy("b", F.col("x.g").alias("g")).agg(F.collect_list("pos").alias("pos"), F.collect_list("x.block").alias("block"))
     first = first.join(asked, "b").join(groups.select("g", "ids", "data"), "g").mapInPandas(first_scores, "b long, pos int, least long")
     first = first.groupBy("b").agg(F.array_sort(F.collect_list(F.struct("pos", "least"))).alias("x")).select("b", F.col("x.least").alias("least"))
-    pairs = everywhere(written(asked.join(first, "b"), "vector-asked")).join(groups, "slot")
+    asked = written(asked.join(first, "b"), "vector-asked")
+
+    def reached(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for r in batch.itertuples():
+                got = bounds(_unpacked(r.q, dim), _unpacked(r.low, dim), _unpacked(r.high, dim))
+                if (got.max(1) >= np.asarray(r.least, np.int64)).any():
+                    rows.append((r.b, r.g))
+            yield pd.DataFrame(rows, columns=["b", "g"])
+
+    # bounds alone say which groups a batch needs; only those are joined with their vectors
+    needed = everywhere(asked.select("b", "q", "least")).join(groups.select("slot", "g", "low", "high"), "slot").select("b", "q", "least", "g", "low", "high")
+    needed = written(needed.mapInPandas(reached, "b long, g long"), "vector-needed")
+    pairs = needed.join(asked, "b").join(groups.drop("slot"), "g")
     return pairs.mapInPandas(search, "query_id long, vec_id long, score long")
 
 
@@ -198,6 +219,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64, id_
     on several rows is one query (its least vector) but as many candidates. Scores beyond a long stop at its ends. An empty
     table gives an empty result. Other columns are ignored.
     """
+    small_batches(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & valid(F.col("v")))
     rows = rows.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))

@@ -57,6 +57,21 @@ def test_top_k_prunes_rightly(spark, monkeypatch):
     assert len(got) == 15
 
 
+def test_top_k_stops_at_the_kth_score():
+    """On vectors in clusters, in their order, most blocks are never scored, and the result is that of all."""
+    rng = np.random.default_rng(7)
+    centres = 64 * rng.normal(size=(16, 24))
+    m = np.floor(np.repeat(centres, vector_topk.BLOCK, 0) + 6 * rng.normal(size=(16 * vector_topk.BLOCK, 24)))
+    cut = m.reshape(16, vector_topk.BLOCK, 24)
+    asked = np.arange(0, len(m), 97)
+    kept, scored = vector_topk.search_group(asked, m[asked], np.full(len(asked), -vector_topk.MOST), np.arange(len(m)), m, cut.min(1), cut.max(1), 20)
+    assert scored < 0.4 * 16 * len(asked)
+    for i, (names, found) in zip(asked, kept, strict=True):
+        s = (m @ m[i]).astype(int)
+        best = sorted((j for j in range(len(m)) if j != i), key=lambda j: (-s[j], j))[:20]
+        assert names.tolist() == best and found.tolist() == s[best].tolist()
+
+
 def best_sum(sizes, counts, budget):
     sums = {0}
     for z, n in zip(sizes.tolist(), counts.tolist(), strict=True):
