@@ -32,7 +32,7 @@ ESTIMATE = 0.55
 #: Classes that meet are compared within and between blocks of so many.
 BLOCK = 512
 #: Where a forest's edge failed, each class is compared with its FIRST nearest, then with up to GROWTH times as many, and so on.
-FIRST, GROWTH = 8, 8
+FIRST, GROWTH = 32, 32
 #: A text that is compared with many others goes out once for so many of them.
 SPOKES = 256
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
