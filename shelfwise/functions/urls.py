@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,19 +99,48 @@ def category_path(parts: Column) -> Column:
     return F.when(F.size(parts) > 1, F.array_join(names, " / "))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without `.` and `..` parts; those above the top vanish."""
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.split(F.regexp_replace(path, "^/+", ""), "/")
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+
+
 def crawl_link(link: Column, base: Column) -> Column:
-    """A link of a page as a crawler keeps it: resolved against the page's host, no query or fragment, no slash at the end.
+    """A link of a page as a crawler keeps it: resolved against the page's address, no query or fragment, no slash at the end.
 
-    Null for fragments, scripts, mail and phone links. Relative paths hang on the host.
+    Null for empty links, fragments, scripts, mail and phone links.
     """
     origin = F.regexp_extract(base, "^([^:/]+://[^/?#]*)", 1)
-    bare = F.regexp_replace(F.regexp_replace(F.trim(link), "[?#].*$", ""), "/+$", "")
+    bare = F.regexp_replace(F.ltrim(link), "[?#].*$", "")
+    folder = F.regexp_replace(path(base), "[^/]*$", "")
     full = (
-        F.when(bare.rlike(HTTP), bare)
+        F.when(bare.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), bare)
         .when(bare.startswith("//"), F.concat(F.substring_index(origin, "//", 1), bare))
-        .otherwise(F.concat(origin, F.lit("/"), F.regexp_replace(bare, "^/+", "")))
+        .when(bare.startswith("/"), F.concat(origin, _without_dots(bare)))
+        .when(bare == "", F.concat(origin, path(base)))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, bare))))
     )
-    return F.when(~F.trim(link).rlike("(?i)^(#|javascript:|mailto:|tel:)"), full)
+    kept = (link != "") & ~link.rlike("^(#|javascript:|mailto:|tel:)")
+    return F.when(kept, F.regexp_replace(full, "/+$", ""))
+
+
+#: Ends of paths that are no pages.
+ASSETS = (".png", ".jpg", ".jpeg", ".gif", ".webp", ".svg", ".css", ".js", ".ico", ".pdf")
+
+
+def is_asset(c: Column) -> Column:
+    low = F.lower(path(c))
+    return reduce(lambda a, b: a | b, [low.endswith(end) for end in ASSETS])
+
+
+def in_section(c: Column, site: str, prefix: str) -> Column:
+    """Whether an address is on a site (a host with its port) and its path starts with prefix."""
+    return (F.regexp_extract(c, "^[^:/]+://([^/?#]*)", 1) == site) & path(c).startswith(prefix)
 
 
 def quoted(c: Column) -> Column:
@@ -120,3 +151,8 @@ def quoted(c: Column) -> Column:
 def sitemap_locations(c: Column) -> Column:
     """The addresses in a sitemap's loc elements, first seen first."""
     return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(c, F.lit(r"(?i)<loc>([^<]*)</loc>")), lambda u: F.trim(u)), lambda u: u != ""))
+
+
+def sitemap_products(c: Column, part: str = "/product/") -> Column:
+    """Those addresses of a sitemap that lead to products."""
+    return F.filter(sitemap_locations(c), lambda u: u.contains(part))

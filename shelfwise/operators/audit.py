@@ -57,3 +57,22 @@ def run_row(run: DataFrame, before: DataFrame | None, now: Column, key: str = "b
         return row
     old = before.select(F.col(key).alias("__key"), F.col("started_at").alias("__started"))
     return row.join(old, F.col(key) == F.col("__key"), "left").withColumn("started_at", F.coalesce("started_at", "__started")).drop("__key", "__started")
+
+
+def scrape_row(events: DataFrame, run_id: str, command: str, planned: int) -> DataFrame:
+    """The counters of a finished scrape as one row of RUN_AUDIT: COMPLETED if every store gave its pages, else FAILED."""
+    pages = events.agg(
+        F.count_if(F.col("event_type") == "page_success").alias("pages_saved"),
+        F.count_if((F.col("page") == 1) & F.col("event_type").isin("http_error", "request_exception")).alias("page1_failures"),
+        F.count_if(F.col("event_type").isin("http_error", "request_exception")).alias("error_count"),
+    )
+    failed = events.where(F.col("event_type").isin("http_error", "request_exception"))
+    row = (
+        pages.crossJoin(event_counts(events)).crossJoin(store_outcomes(events).select("stores_succeeded", "stores_failed"))  # one row each
+        .crossJoin(counts_json(failed, "status_code").withColumnRenamed("errors", "http_status_summary"))
+        .crossJoin(first_distinct(failed, F.col("error"), "url", 10).withColumnRenamed("listed", "error_summary"))
+        .crossJoin(first_distinct(failed, F.col("store_url"), "url", 10).withColumnRenamed("listed", "failed_store_summary"))
+        .crossJoin(first_distinct(failed, F.col("url"), "url", 10).withColumnRenamed("listed", "failed_request_summary"))
+    )
+    status = F.when(F.col("stores_failed") > 0, "FAILED").otherwise("COMPLETED")
+    return row.select(F.lit(run_id).alias("run_id"), F.lit(command).alias("command"), status.alias("status"), F.lit(planned).cast("bigint").alias("stores_planned"), "*")

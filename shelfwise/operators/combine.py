@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NullType
+from pyspark.sql.types import NullType, StructType
 from pyspark.sql.window import Window
 
 
@@ -64,7 +64,7 @@ class VersionedTable:
         done = [p.getName() for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
         return sorted(int(n[1:]) for n in done if n[:1] == "v" and n[1:].isdigit())
 
-    def read(self, schema: str) -> DataFrame:
+    def read(self, schema: str | StructType) -> DataFrame:
         versions = self._versions()
         if not versions:
             return self._spark.createDataFrame([], schema)

@@ -177,9 +177,18 @@ def option_shop(pages: DataFrame, at: Column) -> DataFrame:
     return _finished(out, schemas.OPTION_SHOP, escaped.split())
 
 
-def page_links(pages: DataFrame, pattern: str = r'(?i)href="([^"]*)"') -> DataFrame:
-    """url, link: what a crawler would follow from each page, each link of a page once."""
-    links = F.array_distinct(F.filter(F.transform(text.all_groups(F.col("html"), pattern), lambda x: urls.crawl_link(x, F.col("url"))), lambda x: x.isNotNull()))
+def page_links(pages: DataFrame, pattern: str = r'(?i)href="([^"]*)"', site: str | None = None, prefix: str = "/", assets: bool = True) -> DataFrame:
+    """url, link: what a crawler would follow from each page, each link of a page once.
+
+    With a site, only links on it whose path starts with prefix; without assets, no images, styles and the like.
+    """
+
+    def wanted(link: Column) -> Column:
+        keep = link.isNotNull()
+        keep = keep if site is None else keep & urls.in_section(link, site, prefix)
+        return keep if assets else keep & ~urls.is_asset(link)
+
+    links = F.array_distinct(F.filter(F.transform(text.all_groups(F.col("html"), pattern), lambda x: urls.crawl_link(x, F.col("url"))), wanted))
     return usable(pages).select("url", F.explode(links).alias("link"))
 
 

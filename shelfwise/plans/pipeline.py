@@ -10,18 +10,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import urls
-from shelfwise.operators import cdc, classify, html_shops, products, snapshot, stores
+from shelfwise.operators import audit, cdc, classify, combine, html_shops, products, snapshot, stores
 from shelfwise.operators.combine import union_promoted
 from shelfwise.settings import Settings
-from shelfwise.sources import readers, schemas, sinks
+from shelfwise.sources import http, readers, schemas, sinks
 from shelfwise.sources.schemas import LOG_TYPES, VARIANT_CHANGES
 from shelfwise.streaming.changes import RunTable, Sink, index_batch
 
 
+def run_id(now: datetime.datetime) -> str:
+    return now.strftime("%Y%m%dT%H%M%SZ")
+
+
+def scrape_shop(spark: SparkSession, s: Settings, now: datetime.datetime | None = None) -> str:
+    """Reads all stores' feeds, keeps pages and events in place of an earlier run's, and enters the run in RunAudit.
+
+    Stores are those of the settings, or the known ones; each is read by a task of its own. Returns the run's status.
+    """
+    now = now or datetime.datetime.now(datetime.UTC)
+    store_urls, at = s.stores() or list(urls.STORE_URLS.values()), F.lit(now).cast("timestamp")
+    table = combine.VersionedTable(spark, f"{s.table_dir}/RunAudit")
+    start = spark.createDataFrame([(run_id(now), "scrape-shop", "STARTED", len(store_urls))], "run_id string, command string, status string, stores_planned bigint")
+
+    def enter(row: DataFrame) -> None:
+        old = table.read(schemas.RUN_AUDIT)
+        table.publish(combine.upsert(old, schemas.conform(audit.run_row(row, old, at, "run_id"), schemas.RUN_AUDIT), ["run_id"]))
+
+    enter(start)
+    spark.dataSource.register(http.ShopFeed)
+    events = spark.read.format("shop_feed").options(stores=",".join(store_urls), fetcher=s.fetcher, waits=s.fetch_waits).load()
+    events.write.mode("overwrite").parquet(f"{s.raw_dir}/shop_feed")
+    events = spark.read.parquet(f"{s.raw_dir}/shop_feed")
+    row = audit.scrape_row(events, run_id(now), "scrape-shop", len(store_urls)).persist()
+    enter(row)
+    status = row.first()["status"]
+    row.unpersist()
+    return status
+
+
 def parse_shop(spark: SparkSession, s: Settings) -> None:
-    """Shops' feeds to ProductInfo and Products, one read of the raw files each, all stores in one job."""
-    feed = readers.read_json(spark, f"{s.raw_dir}/shop", schemas.SHOP_PAGE.replace("\n", " "))
-    store = urls.store_of_reference(urls.reference_of_file(F.col("source_file")))
+    """Shops' feeds to ProductInfo and Products, one read of the raw pages each, all stores in one job.
+
+    Pages are those of the last scrape, or raw files where nothing was scraped.
+    """
+    scraped = f"{s.raw_dir}/shop_feed"
+    if sinks.exists(spark, scraped):
+        pages = spark.read.parquet(scraped).where("event_type = 'page_success'")
+        page = F.from_json("products", f"array<struct<{schemas.SHOP_PAGE}>>".replace("\n", " "))
+        feed, store = pages.select("store_url", F.inline(page)), F.col("store_url")
+    else:
+        feed = readers.read_json(spark, f"{s.raw_dir}/shop", schemas.SHOP_PAGE.replace("\n", " "))
+        store = urls.store_of_reference(urls.reference_of_file(F.col("source_file")))
     sinks.write_parquet(products.product_info(feed, urls.host(store), store), f"{s.parsed_dir}/ProductInfo")
     sinks.write_parquet(products.variants(feed), f"{s.parsed_dir}/Products")
 
@@ -44,28 +83,23 @@ def aggregate(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def load(spark: SparkSession, s: Settings, name: str) -> None:
-    """A parsed table in place of the one of that name."""
-    sinks.write_parquet(spark.read.parquet(f"{s.parsed_dir}/{name}"), f"{s.table_dir}/{name}")
+    """A parsed table in place of the one of that name; its files then go to the archive, if there is one."""
+    parsed = spark.read.parquet(f"{s.parsed_dir}/{name}")
+    files = parsed.inputFiles() if s.archive_dir else []
+    sinks.write_parquet(parsed, f"{s.table_dir}/{name}")
+    if files:
+        sinks.archive(spark, files, s.archive_dir)
 
 
 def load_stores(spark: SparkSession, s: Settings, csv: str) -> dict[str, int]:
     """New stores of a list are added to the known ones; returns how many were new and why the others weren't."""
     rows = readers.read_stores(spark, csv).withColumn("__line", F.monotonically_increasing_id())
-    path = f"{s.table_dir}/Stores"
-    try:
-        known = spark.read.parquet(path)
-    except Exception as e:  # Spark has no test for a path of any kind
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        known = spark.createDataFrame([], rows.drop("__line").schema)
-    known = known.persist()
+    table = combine.VersionedTable(spark, f"{s.table_dir}/Stores")
+    known = table.read(rows.drop("__line").schema)
     skipped = {r["reason"]: r["count"] for r in stores.skipped_stores(rows, known, "__line").groupBy("reason").count().collect()}
-    fresh = stores.new_stores(rows, known, "__line").drop("__line").persist()
-    added = fresh.count()
-    fresh.write.mode("append").parquet(path)
-    known.unpersist()
-    fresh.unpersist()
-    return {"new": added, **skipped}
+    before = known.count()
+    table.publish(known.unionByName(stores.new_stores(rows, known, "__line").drop("__line")))
+    return {"new": table.read(known.schema).count() - before, **skipped}
 
 
 def views(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame]:
@@ -97,6 +131,7 @@ def index(spark: SparkSession, s: Settings, sink: Sink | None = None) -> str | N
 
 def steps(spark: SparkSession, s: Settings) -> dict[str, Callable[[], object]]:
     return {
+        "scrape-shop": lambda: scrape_shop(spark, s),
         "parse-shop": lambda: parse_shop(spark, s),
         "parse-records": lambda: parse_records(spark, s),
         "parse-table-shop": lambda: parse_pages(spark, s, "table"),

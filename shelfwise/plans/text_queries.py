@@ -40,7 +40,14 @@ def html_description(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_shops.page_links(table(spark, sf_dir, "pages"))
+    """Links of all pages, to which relative ones of all kinds are added."""
+    more = "".join(f'<a href="{x}">' for x in _RELATIVE)
+    pages = table(spark, sf_dir, "pages").select("url", F.concat("html", F.lit(more)).alias("html"))
+    return html_shops.page_links(pages)
+
+
+#: Relative links: beside, below and above the page, to another host, to itself, and one that no crawler follows.
+_RELATIVE = ("next", "./a/b/", "../up", "//cdn.example/x", "?page=2", "/top/./in/../out", "mailto:a@b")
 
 
 _TABLE_PAGE = """<html><head><meta property="og:url" content="https://t.example/product/{i}/" /><meta name="description" content="About {i}" />
@@ -155,11 +162,15 @@ SQL = {
         SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?is)<a href="([^"]+)"[^>]*>.*?</a>', 1) AS l FROM pages))""",
     "html_description": f"""SELECT page_id, nullif(array_to_string(list_filter(list_transform(regexp_extract_all(html, '(?is)<p>(.*?)</p>', 1), lambda x: {_UNTAG.format('x')}),
         lambda p: p <> '' AND NOT starts_with(p, 'Speed:') AND NOT starts_with(p, 'Flight Numbers') AND p <> '{html_shops.SOLD_OUT}')[1:2], chr(10)), '') AS description FROM pages""",
-    "crawl_links": """WITH l AS (SELECT url, trim(unnest(regexp_extract_all(html, '(?i)href="([^"]*)"', 1))) AS raw FROM pages WHERE html <> '' AND url <> ''),
-        b AS (SELECT url, raw, regexp_replace(regexp_replace(raw, '[?#].*$', ''), '/+$', '') AS bare, regexp_extract(url, '^([^:/]+://[^/?#]*)', 1) AS origin FROM l
-          WHERE NOT regexp_matches(raw, '(?i)^(#|javascript:|mailto:|tel:)'))
-        SELECT DISTINCT url, CASE WHEN regexp_matches(bare, '(?i)^https?://') THEN bare WHEN starts_with(bare, '//') THEN split_part(origin, '//', 1) || bare
-          ELSE origin || '/' || regexp_replace(bare, '^/+', '') END AS link FROM b""",
+    "crawl_links": """WITH p AS (SELECT url, html, regexp_extract(url, '^([^:/]+://[^/?#]*)', 1) AS origin, regexp_extract(url, '^[^:/]+://[^/?#]*([^?#]*)', 1) AS path FROM pages
+          WHERE html <> '' AND url <> ''),
+        d AS (SELECT *, CASE WHEN path = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END AS dir FROM p),
+        l AS (SELECT url, origin, unnest(regexp_extract_all(html, '(?i)href="([^"]*)"', 1)) AS raw FROM p),
+        own AS (SELECT url, origin, regexp_replace(regexp_replace(ltrim(raw), '[?#].*$', ''), '/+$', '') AS bare FROM l WHERE raw <> '' AND NOT regexp_matches(raw, '^(#|javascript:|mailto:|tel:)'))
+        SELECT DISTINCT url, CASE WHEN regexp_matches(bare, '(?i)^https?://') THEN bare WHEN starts_with(bare, '//') THEN split_part(origin, '//', 1) || bare ELSE origin || bare END AS link FROM own
+        UNION SELECT url, origin || dir || 'next' FROM d UNION SELECT url, origin || dir || 'a/b' FROM d
+        UNION SELECT url, origin || CASE WHEN dir = '/' THEN '/' ELSE regexp_replace(dir, '[^/]+/$', '') END || 'up' FROM d
+        UNION SELECT url, split_part(origin, '//', 1) || '//cdn.example/x' FROM d UNION SELECT url, origin || regexp_replace(path, '/+$', '') FROM d UNION SELECT url, origin || '/top/out' FROM d""",
     "table_shop_rows": """SELECT p_partkey AS ProductId, CAST(v || CAST(p_partkey AS VARCHAR) AS BIGINT) AS VariationId, p_name AS ProductName, 'S-' || CAST(p_partkey AS VARCHAR) AS Sku,
         'https://t.example/product/' || CAST(p_partkey AS VARCHAR) || '/' AS ProductLink, 'First ' || CAST(p_partkey AS VARCHAR) || '.' || chr(10) || 'Second.' AS Description,
         'Maker' AS ManufacturerName, 'Putters' AS DiscTypeName, CASE v WHEN '1' THEN 'Red' ELSE 'Blue' END AS ColorName, CASE v WHEN '1' THEN 'Base' END AS PlasticName,

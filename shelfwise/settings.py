@@ -23,8 +23,10 @@ class Settings:
     raw_dir: str = "output/raw"
     parsed_dir: str = "output/parsed"
     table_dir: str = "output/tables"
-    archive_dir: str = "output/archive"
+    archive_dir: str = ""
     store_urls: str = ""
+    fetcher: str = "shelfwise.sources.http:fetch"
+    fetch_waits: str = "5,10,10"
     record_base: str = "https://records.example"
     record_page_size: int = 2000
     record_least_page_size: int = 250

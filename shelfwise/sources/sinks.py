@@ -104,6 +104,11 @@ def http_sink(base: str, collection: str, key: str, batch_size: int = 200, attem
     return sink
 
 
+def exists(spark, path: str) -> bool:
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(top)
+
+
 def archive(spark, paths: list[str], folder: str) -> int:
     """Moves files (those that were loaded) into a folder under their flattened names; returns how many."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -90,6 +90,8 @@ def stream_changes(spark: SparkSession, log_path: str, runs: RunTable, sink: Sin
         runs.record(name, "STARTED")
         totals = index_changes(rows, sink, batch_size)
         runs.record(name, "FAILED" if totals["failed_batches"] else "COMPLETED", totals)
+        if totals["failed_batches"]:  # the offset isn't committed, so the next start sends these changes again
+            raise RuntimeError(f"{totals['failed_batches']} batches of {name} failed")
 
     log = spark.readStream.schema(VARIANT_CHANGES).parquet(log_path)
     return log.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

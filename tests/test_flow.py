@@ -1,5 +1,6 @@
 """Sources, sinks, streams and the whole run."""
 
+import dataclasses
 import datetime
 import json
 
@@ -105,7 +106,7 @@ def feed(url):
     if "bad" in url:
         return 503, "busy"
     page = int(url.rpartition("page=")[2])
-    return 200, json.dumps({"products": [{"id": page}] if page < 3 else []})
+    return 200, json.dumps({"products": [{"id": page, "variants": [{"id": page}]}] if page < 3 else []})
 
 
 def test_shop_feed_source(spark):
@@ -115,6 +116,36 @@ def test_shop_feed_source(spark):
     assert got == [("https://a/", "page_empty", 1), ("https://a/", "page_success", 2), ("https://bad/", "http_error", 3)]
 
 
+def test_scrape_shop_enters_its_run(spark, tmp_path):
+    s = Settings(raw_dir=f"file://{tmp_path}/raw", parsed_dir=f"file://{tmp_path}/p", table_dir=f"file://{tmp_path}/t", archive_dir=f"file://{tmp_path}/a", store_urls="https://a.example/,https://bad.example/", fetcher="test_flow:feed", fetch_waits="0,0")
+    assert pipeline.scrape_shop(spark, s, DAY) == "FAILED"
+    run = VersionedTable(spark, f"{s.table_dir}/RunAudit").read(schemas.RUN_AUDIT).collect()
+    assert len(run) == 1 and (run[0].status, run[0].stores_planned, run[0].stores_succeeded, run[0].stores_failed, run[0].pages_saved) == ("FAILED", 2, 1, 1, 2)
+    assert (run[0].http_error_events, run[0].page1_failures, run[0].http_status_summary, run[0].failed_store_summary) == (3, 3, '{"503":3}', '["https://bad.example/"]')
+    pipeline.run_all(spark, s, ("parse-shop", "load-shop"))
+    assert rows(spark.read.parquet(f"{s.table_dir}/ProductInfo"), "MainProductId", "Store") == [(1, "a.example"), (2, "a.example")]
+    assert list((tmp_path / "a").iterdir()) and not list((tmp_path / "p/ProductInfo").glob("*.parquet"))
+    ok = dataclasses.replace(s, store_urls="https://a.example/")
+    assert pipeline.scrape_shop(spark, ok, DAY + datetime.timedelta(days=1)) == "COMPLETED"
+    assert spark.read.parquet(f"{s.raw_dir}/shop_feed").where("store_url like '%bad%'").count() == 0
+
+
+def test_stream_fails_with_its_batches(spark, tmp_path):
+    log = [("b", DAY, "UPSERT", "1", DAY)]
+    df = schemas.conform(spark.createDataFrame(log, "batch_run_id string, batch_run_ts timestamp, operation string, id string, change_ts timestamp"), schemas.VARIANT_CHANGES)
+    df.write.parquet(f"file://{tmp_path}/log")
+    sent = []
+
+    def start(failed):
+        sink = lambda put, gone: sent.append(put.count()) or failed
+        return stream_changes(spark, f"file://{tmp_path}/log", RunTable(spark, f"file://{tmp_path}/runs"), sink, f"file://{tmp_path}/c")
+
+    with pytest.raises(Exception, match="failed"):
+        start(1).awaitTermination()
+    start(0).awaitTermination()
+    assert len(sent) == 2  # what failed is sent again
+
+
 def test_offset_pages_halve():
     asked = []
 
