@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import decontamination, language_id, mixing, near_dedup, token_files
 from shelfwise.llm.queries import tokenizer_path
-from shelfwise.llm.workspace import written
+from shelfwise.llm.workspace import deleted, written
 
 #: Texts nearer than this to no language's profile are in none: clean texts score 0.35 and more.
 LEAST_SCORE = 0.25
@@ -65,8 +65,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's result over documents in sf_dir."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = written(docs, f"stage-{name}")
-    return docs
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if i:
+            deleted(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
