@@ -61,7 +61,7 @@ class Words:
     does. Splitting gives empty words at white ends; they have the number 0 and are left out, as are all words of number 0.
     """
 
-    def __init__(self, number: Callable[[str], int], ascii_only: bool, most: int = 12 << 20) -> None:
+    def __init__(self, number: Callable[[str], int], ascii_only: bool, most: int = 32 << 20) -> None:
         self._number, self._ascii = number, ascii_only
         self._recent: Recent = Recent({"": 0}, most)
 
@@ -79,7 +79,7 @@ class Words:
         return got[got != 0], kept[lists.offsets.to_numpy()]
 
 
-def pieces(texts: list[str | None], most: int = 1 << 20) -> list[range]:
+def pieces(texts: list[str | None], most: int = 4 << 20) -> list[range]:
     """Ranges of texts of about so many characters each."""
     out, low, size = [], 0, 0
     for i, t in enumerate(texts):
