@@ -15,9 +15,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for m in MODULES for name, query in m.QUERIES.items()}
 
 
-def without_sql() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(text_queries.NO_SQL)
-
-
 def oracle_sql() -> dict[str, str]:
     return {name: sql for m in MODULES for name, sql in m.SQL.items()}

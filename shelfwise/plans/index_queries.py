@@ -26,7 +26,9 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.latest_changes(change_events(spark, sf_dir), "2024-01-15").select("id", "operation", "event_id")
+    """The last change of each id in the newest batch."""
+    log = change_events(spark, sf_dir)
+    return documents.latest_changes(log.join(documents.latest_batch(log), "batch_run_id", "left_semi")).select("id", "operation", "event_id")
 
 
 def op_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,17 +46,8 @@ def chunk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents of one shop and of the stock. See search_documents_all()."""
-    return _documents(variant_snapshot(spark, sf_dir).where("id like 'shopify:shop1:%' or not id like 'shopify:%'"))
-
-
-def search_documents_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of all variants."""
-    return _documents(variant_snapshot(spark, sf_dir))
-
-
-def _documents(variants: DataFrame) -> DataFrame:
-    docs = documents.search_documents(variants.withColumn("image", F.col("product_link")), F.lit(1706745600000))
+    docs = documents.search_documents(variant_snapshot(spark, sf_dir).withColumn("image", F.col("product_link")), F.lit(1706745600000))
     return docs.withColumn("tags", F.array_join("tags", "|"))
 
 
@@ -139,22 +132,22 @@ _DOC = {c: f"coalesce({c}, '') AS {c}" for c in _TEXT} | {f: f"coalesce({f}, 0)
 }
 
 QUERIES = {f.__name__: f for f in (
-    latest_batch, latest_per_key, latest_changes, op_dispatch, index_totals, chunk_batches, search_documents, search_documents_all, dim_load_new, dim_load_skipped,
+    latest_batch, latest_per_key, latest_changes, op_dispatch, index_totals, chunk_batches, search_documents, dim_load_new, dim_load_skipped,
     distinct_store, audit_counts, audit_status_json, first_n_distinct, store_outcomes, stream_latest, window_counts,
 )}
 SQL = {
     "latest_batch": "SELECT strftime(max(ts), '%Y-%m-%d') AS batch_run_id FROM events",
     "latest_per_key": f"WITH {_LOG} SELECT batch_run_id, id, operation, event_id FROM (SELECT *, row_number() OVER (PARTITION BY batch_run_id, id ORDER BY change_ts DESC, operation DESC, event_id DESC) AS rn FROM log) WHERE rn = 1",
-    "latest_changes": f"WITH {_LOG} SELECT id, operation, event_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY change_ts DESC, operation DESC) AS rn FROM log WHERE batch_run_id = '2024-01-15') WHERE rn = 1",
+    "latest_changes": f"WITH {_LOG} SELECT id, operation, event_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY change_ts DESC, operation DESC) AS rn FROM log WHERE batch_run_id = (SELECT max(batch_run_id) FROM log)) WHERE rn = 1",
     "op_dispatch": f"WITH {_LOG}, l AS (SELECT operation, CASE WHEN event_id % 7 <> 0 THEN id ELSE ' ' END AS id FROM log) SELECT {_WHAT} AS what, count(*) AS n FROM l GROUP BY 1",
     "index_totals": f"""WITH {_LOG}, l AS (SELECT {_WHAT} AS what FROM log), t AS (SELECT count(*) AS rows_seen, count(*) FILTER (what = 'upsert') AS upserts,
         count(*) FILTER (what = 'delete') AS deletes, count(*) FILTER (what = 'unknown') AS unknown_ops FROM l)
         SELECT *, CAST(ceil(upserts / 200.0) AS BIGINT) AS upsert_batches, CAST(ceil(deletes / 200.0) AS BIGINT) AS delete_batches FROM t""",
     "chunk_batches": f"""WITH {_LOG}, l AS (SELECT operation, event_id, (row_number() OVER (PARTITION BY operation ORDER BY event_id) - 1) // 200 AS batch FROM log)
         SELECT operation, batch, count(*) AS n, min(event_id) AS first FROM l GROUP BY 1, 2""",
-    "search_documents": f"""WITH {SOURCES_SQL}, s AS (SELECT * FROM keyed WHERE id LIKE 'shopify:shop1:%' OR NOT id LIKE 'shopify:%')
+    "search_documents": f"""WITH {SOURCES_SQL}
         SELECT {', '.join(_DOC[c] for c in VARIANT)}, lower(title || ' ' || variant_title || ' ' || vendor || CASE WHEN store IS NULL THEN '' ELSE ' ' || store END ||
-          CASE WHEN tags IS NULL THEN '' ELSE ' ' || replace(replace(replace(tags, '["', ''), '"]', ''), '","', ' ') END) AS search_text, 1706745600000 AS last_indexed_at FROM s""",
+          CASE WHEN tags IS NULL THEN '' ELSE ' ' || replace(replace(replace(tags, '["', ''), '"]', ''), '","', ' ') END) AS search_text, 1706745600000 AS last_indexed_at FROM keyed""",
     "dim_load_new": f"""WITH {_CANDIDATES} SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'HTTPS://Shop' || CAST(s_suppkey % 40 AS VARCHAR) || '.example/?x=1' ELSE 'shop' || CAST(s_suppkey % 40 AS VARCHAR) || '.example//' END AS "URL",
         s_suppkey FROM c JOIN f ON c.k = f.k AND s_suppkey = first WHERE c.k NOT IN (SELECT k FROM n)""",
     "dim_load_skipped": f"""WITH {_CANDIDATES} SELECT s_suppkey, CASE WHEN c.k IS NULL THEN 'blank' WHEN c.k IN (SELECT k FROM n) THEN 'known' ELSE 'repeated' END AS reason
@@ -174,4 +167,3 @@ SQL = {
     "stream_latest": "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1",
     "window_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }
-SQL["search_documents_all"] = SQL["search_documents"].replace(" WHERE id LIKE 'shopify:shop1:%' OR NOT id LIKE 'shopify:%'", "")

