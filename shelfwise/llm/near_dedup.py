@@ -6,7 +6,8 @@ bits of its bucket's least hash. A bucket without a shingle takes the register o
 order of buckets, so that registers of small sets agree as often as those of large ones. A band is the registers of one bucket
 number over all rounds; classes that share a band meet. Jaccard estimates from all registers, corrected for registers that
 agree by chance, pick what is compared first: a spanning forest of the most similar. Where one of its edges fails, all that
-may still link its parts is compared, nearest first. Links are confirmed on the full sets of the texts.
+may still link its parts is compared, each pair in the first band that it shares. Links are confirmed on the full sets of
+the texts.
 """
 
 from __future__ import annotations
@@ -29,10 +30,8 @@ ROUNDS, BUCKETS, MANTISSA = 4, 40, 10
 REGISTERS = ROUNDS * BUCKETS
 #: Pairs estimated below this are not compared: 5.8 standard deviations of the estimate under 0.75.
 ESTIMATE = 0.55
-#: Classes that meet are compared within and between blocks of so many.
-BLOCK = 512
-#: Where a forest's edge failed, each class is compared with its FIRST nearest, then with up to GROWTH times as many, and so on.
-FIRST, GROWTH = 32, 32
+#: Classes that meet are compared within and between blocks of so many, and of about so many shingles.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 #: A text that is compared with many others goes out once for so many of them.
 SPOKES = 256
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -107,45 +106,46 @@ def chance(n: float) -> float:
     return _chance(int(np.log2(max(n, 1))))
 
 
-def estimates(one: np.ndarray, regs: np.ndarray, lost: float) -> np.ndarray:
+def estimates(one: np.ndarray, regs: np.ndarray, lost: np.ndarray) -> np.ndarray:
     """Jaccard estimates of one against the rows of regs, corrected for agreement by chance."""
     return ((regs == one).mean(1) - lost) / (1 - lost)
 
 
-def _near(i: int, regs: np.ndarray, n: np.ndarray, lost: float, percent: int) -> tuple[slice, np.ndarray]:
-    """Estimates of i against those whose size allows a link; -1 where they are too low. n ascends."""
-    here = slice(int(np.searchsorted(n, -(-percent * n[i] // 100))), int(np.searchsorted(n, 100 * n[i] // percent, "right")))
-    got = estimates(regs[i], regs[here], lost)
-    got[got < ESTIMATE] = -1
-    got[i - here.start] = -1
-    return here, got
+def chances(n: np.ndarray) -> np.ndarray:
+    """chance() of each size; a pair's is that of its smaller set, so an estimate doesn't depend on what else is in a group."""
+    return np.array([chance(x) for x in n.tolist()])
 
 
 def forest(regs: np.ndarray, n: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of most similar pairs (Prim's algorithm)."""
-    lost, edges = chance(float(n.mean())), []
+    """Edges of a spanning forest of most similar pairs (Prim's algorithm) whose size allows a link. n ascends."""
+    lost, edges = chances(n), []
     best, by, left = np.full(len(n), -1.0), np.zeros(len(n), np.int64), np.ones(len(n), bool)
     for _ in range(len(n)):
         i = int(np.where(left, best, -2).argmax())
         if best[i] > 0:
             edges.append((int(by[i]), i))
         left[i] = False
-        here, got = _near(i, regs, n, lost, percent)
-        better = here.start + np.flatnonzero(left[here] & (got > best[here]))
-        best[better], by[better] = got[better - here.start], i
+        low, high = int(np.searchsorted(n, -(-percent * n[i] // 100))), int(np.searchsorted(n, 100 * n[i] // percent, "right"))
+        got = estimates(regs[i], regs[low:high], lost[np.minimum(np.arange(low, high), i)])
+        better = low + np.flatnonzero(left[low:high] & (got >= ESTIMATE) & (got > best[low:high]))
+        best[better], by[better] = got[better - low], i
     return edges
 
 
-def crossing(regs: np.ndarray, n: np.ndarray, part: np.ndarray, low: int, high: int, percent: int) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of different parts that may link, of which one is among the other's low-th to high-th nearest; whether any are left."""
-    lost, edges, more = chance(float(n.mean())), set(), False
-    for i in range(len(n)):
-        here, got = _near(i, regs, n, lost, percent)
-        order = here.start + np.argsort(-got, kind="stable")[: int((got > 0).sum())]
-        apart = part[order] != part[i]
-        edges.update((min(i, j), max(i, j)) for j in order[low:high][apart[low:high]].tolist())
-        more |= bool(apart[high:].any())
-    return sorted(edges), more
+def apart(group: Group, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member of a group with the later ones of other parts that it may link with and meets in no band before the group's.
+
+    Members come in order of n; between two blocks only members of different ones are paired.
+    """
+    (_, i, j), (_, part, n, block, band), regs, _ = group
+    lost, bands = chances(n), regs.reshape(len(n), BUCKETS, ROUNDS)
+    for a in range(len(n) - 1):
+        b = np.arange(a + 1, int(np.searchsorted(n, 100 * n[a] // percent, "right")))
+        b = b[(part[b] != part[a]) & ((i == j) | (block[b] != block[a]))]
+        b = b[estimates(regs[a], regs[b], lost[a]) >= ESTIMATE]
+        b = b[(bands[b] == bands[a]).all(2).argmax(1) == band[a]]
+        if len(b):
+            yield a, b
 
 
 def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -173,61 +173,95 @@ def signatures(rows: DataFrame) -> DataFrame:
 
 
 def _bands(own: DataFrame) -> DataFrame:
-    """node, key: a key for each band of a class."""
+    """node, n, band, key: a key for each band of a class."""
     width = 2 * ROUNDS
     keys = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.xxhash64(b, F.substr("regs", b * width + 1, F.lit(width))))
-    return own.select("node", F.explode(keys).alias("key"))
+    return own.select("node", "n", F.posexplode(keys).alias("band", "key"))
 
 
-Group = tuple[np.ndarray, np.ndarray, np.ndarray]
+INFO = ["node", "part", "n", "block", "band"]
+#: key, i, j; an array for each of INFO; registers; sets where there are texts.
+Group = tuple[tuple[int, int, int], np.ndarray, np.ndarray, list[np.ndarray]]
 
 
-def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, Group]]:
-    """key and (nodes and parts, sizes, registers) of each group of members, which come in order of key, i, j, n."""
-    held: list[Group] = []
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[Group]:
+    """The groups of members, which come in order of key, i, j, n."""
+    held: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
     last = None
 
     def whole() -> Group:
-        return tuple(np.concatenate(x) for x in zip(*held, strict=True)) if len(held) > 1 else held[0]
+        info, regs, sets = zip(*held, strict=True)
+        return last, np.concatenate(info).T, np.concatenate(regs), [x for part in sets for x in part]
 
     for batch in batches:
         if not len(batch):
             continue
-        ids = batch[["key", "i", "j"]].to_numpy(np.int64)
-        names, n = batch[["node", "part"]].to_numpy(np.int64), batch["n"].to_numpy(np.int64)
+        ids, info = batch[["key", "i", "j"]].to_numpy(np.int64), batch[INFO].to_numpy(np.int64)
         regs = np.frombuffer(b"".join(batch["regs"]), np.uint16).reshape(len(batch), REGISTERS)
+        sets = list(shingles(list(batch["text"]))) if "text" in batch else []
         cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1).tolist(), len(batch)]
         for low, high in zip(cuts, cuts[1:]):
             now = tuple(ids[low].tolist())
             if held and now != last:
-                yield last[0], whole()
+                yield whole()
                 held = []
-            held.append((names[low:high], n[low:high], regs[low:high]))
+            held.append((info[low:high], regs[low:high], sets[low:high]))
             last = now
     if held:
-        yield last[0], whole()
+        yield whole()
 
 
-def _by_group(members: DataFrame, edges: Callable[[Group], tuple[list[tuple[int, int]], bool]]) -> DataFrame:
-    """key, a, b: nodes of the edges that a function finds in each group (key, i, j) of members, in order of n.
-
-    A row with negative a and b says that the function left edges of this key for later.
-    """
+def _by_group(members: DataFrame, found: Callable[[Group], list[tuple]], schema: str) -> DataFrame:
+    """Rows that a function finds in each group (key, i, j) of members."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple[int, int, int]] = []
-        for key, group in _groups(batches):
-            node = group[0][:, 0].tolist()
-            found, more = edges(group)
-            rows += [(key, min(node[x], node[y]), max(node[x], node[y])) for x, y in found]
-            rows += [(key, -1, -1)] * more
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
+        for group in _groups(batches):
+            rows += found(group)
             if len(rows) > 50_000:
-                yield pd.DataFrame(rows, columns=["key", "a", "b"])
+                yield pd.DataFrame(rows, columns=names)
                 rows = []
-        yield pd.DataFrame(rows, columns=["key", "a", "b"])
+        yield pd.DataFrame(rows, columns=names)
+
+    columns = ["key", "i", "j", *INFO, "regs", *(["text"] if "text" in members.columns else [])]
+    grouped = members.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "node")
+    return grouped.mapInPandas(look, schema)
+
+
+def _tree(group: Group, percent: int) -> list[tuple]:
+    """key, a, b of the edges of a forest."""
+    node = group[1][0].tolist()
+    return [(group[0][0], min(node[x], node[y]), max(node[x], node[y])) for x, y in forest(group[2], group[1][2], percent)]
 
-    grouped = members.select("key", "i", "j", "node", "part", "n", "regs").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "node")
-    return grouped.mapInPandas(pairs, "key long, a long, b long")
+
+def _needed(group: Group, percent: int) -> list[tuple]:
+    """key, i, j, node, part, block, band of the members that may link with another part."""
+    found: set[int] = set()
+    for a, b in apart(group, percent):
+        found.update((a, *b.tolist()))
+    node, part, _, block, band = group[1][:, sorted(found)].tolist()
+    return [(*group[0], *x) for x in zip(node, part, block, band, strict=True)]
+
+
+def _joined(group: Group, percent: int) -> list[tuple]:
+    """a, b of links that join parts, on full sets; what earlier ones joined isn't compared again."""
+    node, part = group[1][0].tolist(), group[1][1].tolist()
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            x = above[x]
+        return x
+
+    links = []
+    for a, others in apart(group, percent):
+        for b in others.tolist():
+            one, other = top(part[a]), top(part[b])
+            if one != other and linked(group[3][a], group[3][b], percent):
+                above[max(one, other)] = min(one, other)
+                links.append((min(node[a], node[b]), max(node[a], node[b])))
+    return links
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -269,36 +303,34 @@ def _components_of(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     own = written(signed.select("place", "regs").join(classes.select("node", "n"), F.col("place") == F.col("node")).select("node", "n", "regs"), "dedup-own")
     met = written(_bands(own), "dedup-met")
     groups = met.groupBy("key").agg(
-        F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.min("node").alias("x"), F.max("node").alias("y")
-    ).where("c > 1")  # keys under which the same classes meet count once
-    groups = groups.groupBy("c", "s", "x", "y").agg(F.min("key").alias("key")).select("key", "c")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    members = met.join(groups, "key").withColumn("x", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int"))
+        F.min("band").alias("band"), F.count(F.lit(1)).alias("c"), F.sum("n").alias("size"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.min("node").alias("x"), F.max("node").alias("y"),
+    ).where("c > 1")  # bands in which the same classes meet count once: the first
+    groups = groups.groupBy("c", "size", "s", "x", "y").agg(F.min(F.struct("band", "key")).alias("g")).select("g.key", "g.band", "c", "size")
+    blocks = F.least("c", F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES))).cast("int")
+    members = met.select("node", "key").join(groups, "key").withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int"))
     members = members.withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    members = written(members.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), "node"), "dedup-members")
+    members = written(members.select("key", "c", "band", F.least("block", "y").alias("i"), F.greatest("block", "y").alias("j"), "block", "node"), "dedup-members")
     deleted(met)
     full = members.join(own, "node").withColumn("part", F.col("node"))
-    trees = written(_by_group(full, lambda g: (forest(g[2], g[1], percent), False)), "dedup-trees")
+    trees = written(_by_group(full, lambda g: _tree(g, percent), "key long, a long, b long"), "dedup-trees")
     # a class that may link with any has an edge in a forest, so these texts are all that is needed
     nodes = trees.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = written(rows.select(F.col("place").alias("node"), "text").join(nodes, "node"), "dedup-texts")
     links = verified(trees.select("a", "b").distinct(), texts, percent)
-    roots, low, high = connected_components(links), 0, FIRST
+    # where an edge failed and more than its two ends meet, other pairs may still link the parts
+    parts = connected_components(links).select(F.col("node").alias("w"), "root")
     keys = trees.join(links, ["a", "b"], "left_anti").select("key").distinct()
-    while True:
-        parts = roots.select(F.col("node").alias("w"), "root")
-        again = members.join(keys, "key", "left_semi").join(own, "node").join(parts, F.col("node") == F.col("w"), "left")
-        again = again.withColumn("part", F.coalesce("root", "node"))
-        rest = written(_by_group(again, lambda g, low=low, high=high: crossing(g[2], g[1], g[0][:, 1], low, high, percent)), "dedup-rest")
-        if rest.isEmpty():
-            break
-        more = verified(rest.where("a >= 0").select("a", "b").distinct(), texts, percent)
-        links = links.unionByName(more)
-        roots = connected_components(links)
-        keys, low, high = rest.where("a < 0").select("key").distinct(), high, high * GROWTH
+    again = members.where("c > 2").join(keys, "key", "left_semi").join(own, "node").join(parts, F.col("node") == F.col("w"), "left")
+    again = again.withColumn("part", F.coalesce("root", "node"))
+    schema = "key long, i int, j int, node long, part long, block int, band int"
+    needed = written(_by_group(again, lambda g: _needed(g, percent), schema), "dedup-needed")
+    again = needed.join(own, "node").join(texts, "node")
+    more = written(_by_group(again, lambda g: _joined(g, percent), "a long, b long"), "dedup-more")
+    roots = connected_components(links.unionByName(more.distinct()))
     named = classes.join(roots.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named.drop("w"), "dedup-roots")
-    deleted(own, members, trees, texts, classes)
+    deleted(own, members, trees, texts, classes, needed)
     return signed, named
 
 

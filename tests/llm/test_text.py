@@ -273,6 +273,19 @@ def test_blocks_of_large_groups(spark, monkeypatch):
     compare_groups(spark, [(i, " ".join(edited(rng, base, 0.02))) for i in range(30)])
 
 
+def test_parts_of_large_groups(spark, monkeypatch):
+    """Copies on both sides of the threshold: forests fail, and pairs between and within blocks join what links."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    given = [(i, " ".join(edited(rng, base, rng.choice([0.005, 0.02, 0.03, 0.05])))) for i in range(70)]
+    assert len({c for _, _, c in brute_groups(given)}) > 5
+    compare_groups(spark, given)
+    monkeypatch.setattr(near_dedup, "BLOCK", 6)
+    compare_groups(spark, given)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 400)
+    compare_groups(spark, given)
+
+
 def test_registers_estimate_jaccard():
     rng = np.random.default_rng(1)
     for share in (0.3, 0.75, 0.95):
