@@ -5,8 +5,8 @@ registers: in each round the shingles fall into buckets by a hash, and a registe
 bits of its bucket's least hash. A bucket without a shingle takes the register of another one, found along a fixed random
 order of buckets, so that registers of small sets agree as often as those of large ones. A band is the registers of one bucket
 number over all rounds; classes that share a band meet. Jaccard estimates from all registers, corrected for registers that
-agree by chance, pick what is compared first: a spanning forest of the most similar. Where one of its edges fails, all that
-may still link its parts is compared, each pair in the first band that it shares. Links are confirmed on the full sets of
+agree by chance, pick what is compared first: a spanning forest of the most similar in each block of a group. Where one of
+its edges fails, and between blocks, all that may still link parts is compared, each pair in the first band that it shares. Links are confirmed on the full sets of
 the texts.
 """
 
@@ -308,21 +308,21 @@ def _components_of(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     ).where("c > 1")  # bands in which the same classes meet count once: the first
     groups = groups.groupBy("c", "size", "s", "x", "y").agg(F.min(F.struct("band", "key")).alias("g")).select("g.key", "g.band", "c", "size")
     blocks = F.least("c", F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES))).cast("int")
-    members = met.select("node", "key").join(groups, "key").withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int"))
-    members = members.withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    members = written(members.select("key", "c", "band", F.least("block", "y").alias("i"), F.greatest("block", "y").alias("j"), "block", "node"), "dedup-members")
+    members = met.select("node", "key").join(groups.withColumn("blocks", blocks).drop("size"), "key")
+    members = written(members.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks").cast("int")), "dedup-members")
     deleted(met)
-    full = members.join(own, "node").withColumn("part", F.col("node"))
+    full = members.join(own, "node").withColumns({"part": F.col("node"), "i": F.col("block"), "j": F.col("block")})
     trees = written(_by_group(full, lambda g: _tree(g, percent), "key long, a long, b long"), "dedup-trees")
-    # a class that may link with any has an edge in a forest, so these texts are all that is needed
-    nodes = trees.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = written(rows.select(F.col("place").alias("node"), "text").join(nodes, "node"), "dedup-texts")
+    texts = written(rows.select(F.col("place").alias("node"), "text").join(members.select("node").distinct(), "node"), "dedup-texts")
     links = verified(trees.select("a", "b").distinct(), texts, percent)
-    # where an edge failed and more than its two ends meet, other pairs may still link the parts
+    # where an edge failed and more than its two ends meet, or in several blocks, other pairs may still link the parts
     parts = connected_components(links).select(F.col("node").alias("w"), "root")
-    keys = trees.join(links, ["a", "b"], "left_anti").select("key").distinct()
-    again = members.where("c > 2").join(keys, "key", "left_semi").join(own, "node").join(parts, F.col("node") == F.col("w"), "left")
-    again = again.withColumn("part", F.coalesce("root", "node"))
+    failed = trees.join(links, ["a", "b"], "left_anti").select("key", F.lit(True).alias("failed")).distinct()
+    again = members.where("c > 2 or blocks > 1").join(parts, F.col("node") == F.col("w"), "left").withColumn("part", F.coalesce("root", "node"))
+    keys = again.groupBy("key").agg(F.max("blocks").alias("most"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    keys = keys.join(failed, "key", "left").where("most > 1 or failed").select("key")
+    again = again.join(keys, "key", "left_semi").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    again = again.withColumns({"i": F.least("block", "y"), "j": F.greatest("block", "y")}).join(own, "node")
     schema = "key long, i int, j int, node long, part long, block int, band int"
     needed = written(_by_group(again, lambda g: _needed(g, percent), schema), "dedup-needed")
     again = needed.join(own, "node").join(texts, "node")
