@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat_format, decontamination, html_text, language_id, mixing, near_dedup, sharding, token_files, url_filter, vector_topk
+from shelfwise.llm import (
+    chat_format, decontamination, hard_negatives, html_text, language_id, mixing, near_dedup, quality_rules, sharding, token_files, url_filter,
+    vector_clusters, vector_topk,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +105,24 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document's text and the verdict of its language's and source's thresholds."""
+    return quality_rules.quality(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines"
+    )
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in eight clusters after ten rounds."""
+    return vector_clusters.clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of the five positives of each vector whose vec_id is divisible by 50; some labels are moved first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 OP2_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -204,6 +225,122 @@ FROM g JOIN f ON g.conv_id = f.conv_id
 """
 
 
+#: The base counts, the sketches (a bucket keeps a value's six leading bits), a group's weights with those of its language,
+#: quartiles, thresholds and verdicts.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS place, doc_id, lang, source, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS l, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+), g AS (
+  SELECT place, i, l[i] AS a, l[i + 1] AS b, l[i + 2] AS c FROM (SELECT place, l, unnest(range(1, len(l) - 1)) AS i FROM w)
+), r AS (
+  SELECT place, count(DISTINCT i + k) AS n_repeat_words
+  FROM (SELECT place, i, count(*) OVER (PARTITION BY place, a, b, c) AS n FROM g), (VALUES (0), (1), (2)) t(k) WHERE n > 1 GROUP BY 1
+), s AS (
+  SELECT place, doc_id, lang, source, len(l) AS n_words, coalesce(list_sum(list_transform(l, lambda x: length(x))), 0) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM w LEFT JOIN r USING (place)
+), b AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s
+), m AS (
+  SELECT place, lang, source, base_failed, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS rule, CAST(unnest([
+    CASE WHEN n_words > 0 THEN 1000 * word_chars // n_words ELSE 0 END, CASE WHEN n_words > 0 THEN 1000000 * n_symbols // n_words ELSE 0 END,
+    CASE WHEN n_lines > 0 THEN 1000000 * n_dup_lines // n_lines ELSE 0 END, CASE WHEN n_words > 0 THEN 1000000 * n_repeat_words // n_words ELSE 0 END]) AS BIGINT) AS v
+  FROM b
+), k AS (
+  SELECT lang, source, rule, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket, count(*) AS n
+  FROM m WHERE NOT base_failed GROUP BY ALL
+), kl AS (
+  SELECT lang, rule, bucket, sum(n) AS m FROM k GROUP BY ALL
+), nl AS (
+  SELECT lang, rule, sum(m) AS n_lang FROM kl GROUP BY ALL
+), gs AS (
+  SELECT k.lang, source, k.rule, n_lang, sum(n) AS n_group FROM k JOIN nl ON k.lang IS NOT DISTINCT FROM nl.lang AND k.rule = nl.rule GROUP BY ALL
+), u AS (
+  SELECT gs.*, k.bucket, k.n * n_lang AS weight
+  FROM k JOIN gs ON k.lang IS NOT DISTINCT FROM gs.lang AND k.source IS NOT DISTINCT FROM gs.source AND k.rule = gs.rule
+  UNION ALL
+  SELECT gs.*, kl.bucket, 100 * m FROM gs JOIN kl ON gs.lang IS NOT DISTINCT FROM kl.lang AND gs.rule = kl.rule
+), c AS (
+  SELECT lang, source, rule, bucket, n_lang * (n_group + 100) AS total, sum(sum(weight)) OVER (PARTITION BY lang, source, rule ORDER BY bucket) AS rank
+  FROM u GROUP BY lang, source, rule, bucket, n_lang, n_group
+), q AS (
+  SELECT lang, source, rule, min(bucket) FILTER (4 * rank >= total) AS q1, min(bucket) FILTER (4 * rank >= 2 * total) AS q2,
+    min(bucket) FILTER (4 * rank >= 3 * total) AS q3
+  FROM c GROUP BY ALL
+), t AS (
+  SELECT q.lang, source, q.rule, q2 + 8 * greatest(q3 - q2, least) AS high, CASE WHEN two THEN q2 - 8 * greatest(q2 - q1, least) ELSE -1 END AS low
+  FROM q JOIN (VALUES ('word_length', 250, true), ('symbols', 12500, false), ('dup_lines', 50000, false), ('repeats', 50000, false)) f(rule, least, two) ON q.rule = f.rule
+), bad AS (
+  SELECT DISTINCT place FROM m JOIN t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source AND m.rule = t.rule WHERE v > high OR v < low
+)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND bad.place IS NULL AS kept, n_lines
+FROM b LEFT JOIN bad USING (place)
+"""
+
+
+def _op12_sql(rounds: int = 10) -> str:
+    """Each round in CTEs of its own; a centroid's and a vector's components are rows."""
+    nearest = """
+d{i} AS MATERIALIZED (
+  SELECT p, cluster, distance FROM (
+    SELECT x.p, c.cluster, CAST(sum((x.x - c.x) * (x.x - c.x)) AS BIGINT) AS distance,
+      row_number() OVER (PARTITION BY x.p ORDER BY sum((x.x - c.x) * (x.x - c.x)), c.cluster) AS best
+    FROM x JOIN c{i} c ON x.i = c.i GROUP BY x.p, c.cluster
+  ) WHERE best = 1
+)"""
+    moved = """,
+c{j} AS MATERIALIZED (
+  SELECT c.cluster, c.i, coalesce(s.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT cluster, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x FROM d{i} JOIN x USING (p) GROUP BY cluster, i
+  ) s ON c.cluster = s.cluster AND c.i = s.i
+),"""
+    steps = "".join(nearest.format(i=i) + moved.format(i=i, j=i + 1) for i in range(rounds)) + nearest.format(i=rounds)
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS p, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), x AS MATERIALIZED (
+  SELECT p, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v
+), f AS (
+  SELECT p, e, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), 'null')), e) - 1 AS cluster FROM v QUALIFY cluster < 8
+), c0 AS MATERIALIZED (
+  SELECT cluster, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM f
+),{steps}, h AS (
+  SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY 1
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM v JOIN d{rounds} USING (p) JOIN h USING (cluster)
+"""
+
+
+OP13_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS p, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), c AS MATERIALIZED (
+  SELECT p, vec_id, label, len(e) AS dim, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v
+), s AS MATERIALIZED (
+  SELECT a.p AS a, a.vec_id AS anchor_id, b.p AS b, b.vec_id AS vec_id, a.label = b.label AS same, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM c a JOIN c b ON a.i = b.i AND a.dim = b.dim AND a.p <> b.p WHERE a.vec_id % 50 = 0 GROUP BY ALL
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) AS n FROM s WHERE same QUALIFY n <= 5
+), r AS (
+  SELECT o.a, o.n, o.anchor_id, o.vec_id AS positive_id, s.vec_id AS negative_id, o.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY o.a, o.n ORDER BY s.score DESC, s.vec_id, s.b) AS rank
+  FROM o JOIN s ON o.a = s.a AND NOT s.same AND 50 * o.score <= 100 * s.score AND 100 * s.score <= 95 * o.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 3
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -216,8 +353,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_html_extraction": op9_html_extraction,
         "op10_chat_format": op10_chat_format,
+        "op11_quality_rules": op11_quality_rules,
+        "op12_centroid_clusters": op12_centroid_clusters,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_topk": OP2_SQL, "op7_near_dedup": OP7_SQL, "op8_url_filter": OP8_SQL, "op10_chat_format": OP10_SQL}
+    return {
+        "op2_exact_topk": OP2_SQL, "op7_near_dedup": OP7_SQL, "op8_url_filter": OP8_SQL, "op10_chat_format": OP10_SQL, "op11_quality_rules": OP11_SQL,
+        "op12_centroid_clusters": _op12_sql(), "op13_hard_negatives": OP13_SQL,
+    }
