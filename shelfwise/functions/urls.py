@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import present, slug_words
+from shelfwise.functions.text import once, present, slug_words
 
 HTTP = r"(?i)^https?://"
 #: Shops that are known by a short name.
@@ -110,23 +110,36 @@ def _without_dots(path: Column) -> Column:
     return F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
 
 
+def resolved(link: Column, base: Column) -> Column:
+    """A link resolved against the address of its page, as browsers do: line ends and tabs are dropped wherever they are, control
+    characters and spaces before it, and empty parts within a relative path. Query and fragment stay."""
+    clean = F.regexp_replace(F.regexp_replace(link, "[\\t\\r\\n]", ""), "^[\\x00-\\x20]+", "")
+    origin = F.regexp_extract(base, "^([^:/]+://[^/?#]*)", 1)
+    folder = F.regexp_replace(path(base), "[^/]*$", "")
+
+    def whole(x: Column) -> Column:
+        tail = F.regexp_extract(x, "[?#].*$", 0)
+        bare = F.regexp_replace(x, "[?#].*$", "")
+        inner = F.regexp_replace(bare, "(?<=[^/])/{2,}", "/")
+        full = (
+            F.when(bare.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(F.lower(F.regexp_extract(bare, "^([^:]+):", 1)), F.regexp_replace(bare, "^[^:]+", "")))
+            .when(bare.startswith("//"), F.concat(F.substring_index(origin, "//", 1), bare))
+            .when(bare.startswith("/"), F.concat(origin, _without_dots(bare)))
+            .when(bare == "", F.concat(origin, path(base)))
+            .otherwise(F.concat(origin, _without_dots(F.concat(folder, inner))))
+        )
+        return F.concat(full, tail)
+
+    return once(clean, whole)
+
+
 def crawl_link(link: Column, base: Column) -> Column:
-    """A link of a page as a crawler keeps it: resolved against the page's address, no query or fragment, no slash at the end.
+    """A link of a page as a crawler keeps it: resolved() against the page's address, no query or fragment, no slash at the end.
 
     Null for empty links, fragments, scripts, mail and phone links.
     """
-    origin = F.regexp_extract(base, "^([^:/]+://[^/?#]*)", 1)
-    bare = F.regexp_replace(F.ltrim(link), "[?#].*$", "")
-    folder = F.regexp_replace(path(base), "[^/]*$", "")
-    full = (
-        F.when(bare.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), bare)
-        .when(bare.startswith("//"), F.concat(F.substring_index(origin, "//", 1), bare))
-        .when(bare.startswith("/"), F.concat(origin, _without_dots(bare)))
-        .when(bare == "", F.concat(origin, path(base)))
-        .otherwise(F.concat(origin, _without_dots(F.concat(folder, bare))))
-    )
     kept = (link != "") & ~link.rlike("^(#|javascript:|mailto:|tel:)")
-    return F.when(kept, F.regexp_replace(full, "/+$", ""))
+    return F.when(kept, F.regexp_replace(F.regexp_replace(resolved(link, base), "[?#].*$", ""), "/+$", ""))
 
 
 #: Ends of paths that are no pages.

@@ -59,20 +59,41 @@ def run_row(run: DataFrame, before: DataFrame | None, now: Column, key: str = "b
     return row.join(old, F.col(key) == F.col("__key"), "left").withColumn("started_at", F.coalesce("started_at", "__started")).drop("__key", "__started")
 
 
-def scrape_row(events: DataFrame, run_id: str, command: str, planned: int) -> DataFrame:
-    """The counters of a finished scrape as one row of RUN_AUDIT: COMPLETED if every store gave its pages, else FAILED."""
-    pages = events.agg(
-        F.count_if(F.col("event_type") == "page_success").alias("pages_saved"),
-        F.count_if((F.col("page") == 1) & F.col("event_type").isin("http_error", "request_exception")).alias("page1_failures"),
-        F.count_if(F.col("event_type").isin("http_error", "request_exception")).alias("error_count"),
-    )
+def event_counters() -> list[Column]:
+    """Counters of scrape events, for an aggregate or to be observed while events are written."""
+    kind, bad = F.col("event_type"), F.col("event_type").isin("http_error", "request_exception")
+    return [
+        F.count_if(kind == "page_success").alias("pages_saved"), F.count_if((F.col("page") == 1) & bad).alias("page1_failures"),
+        F.count_if(bad).alias("error_count"), *[F.count_if(kind == value).alias(name) for value, name in EVENT_COUNTERS.items()],
+    ]
+
+
+def scrape_row(events: DataFrame, counted: dict[str, int] | None, run_id: str, command: str, planned: int) -> DataFrame:
+    """A finished scrape as one row of RUN_AUDIT: COMPLETED if every store gave its pages, else FAILED.
+
+    counted: event_counters() as observed while the events were written; without them they are counted here.
+    """
+    if counted is None:
+        counted = events.agg(*event_counters()).first().asDict()
     failed = events.where(F.col("event_type").isin("http_error", "request_exception"))
+    said = F.coalesce(F.col("error"), F.concat(F.lit("status "), F.col("status_code").cast("string")))
+    request = F.concat(
+        F.lit("store="), F.col("store_url"), F.lit(" page="), F.col("page").cast("string"), F.lit(" attempt="), F.col("attempt").cast("string"),
+        F.coalesce(F.concat(F.lit(" exception="), F.col("error")), F.concat(F.lit(" status="), F.col("status_code").cast("string")), F.lit("")), F.lit(" url="), F.col("url"),
+    )
     row = (
-        pages.crossJoin(event_counts(events)).crossJoin(store_outcomes(events).select("stores_succeeded", "stores_failed"))  # one row each
+        store_outcomes(events).select("stores_succeeded", "stores_failed")  # one row each
         .crossJoin(counts_json(failed, "status_code").withColumnRenamed("errors", "http_status_summary"))
-        .crossJoin(first_distinct(failed, F.col("error"), "url", 10).withColumnRenamed("listed", "error_summary"))
-        .crossJoin(first_distinct(failed, F.col("store_url"), "url", 10).withColumnRenamed("listed", "failed_store_summary"))
-        .crossJoin(first_distinct(failed, F.col("url"), "url", 10).withColumnRenamed("listed", "failed_request_summary"))
+        .crossJoin(first_distinct(failed, said, "url", 10).withColumnRenamed("listed", "error_summary"))
+        .crossJoin(first_distinct(failed_stores(events), F.col("store_url"), "store_url", 10).withColumnRenamed("listed", "failed_store_summary"))
+        .crossJoin(first_distinct(failed, request, "url", 50).withColumnRenamed("listed", "failed_request_summary"))
     )
     status = F.when(F.col("stores_failed") > 0, "FAILED").otherwise("COMPLETED")
-    return row.select(F.lit(run_id).alias("run_id"), F.lit(command).alias("command"), status.alias("status"), F.lit(planned).cast("bigint").alias("stores_planned"), "*")
+    counts = [F.lit(n).cast("bigint").alias(c) for c, n in counted.items()]
+    return row.select(F.lit(run_id).alias("run_id"), F.lit(command).alias("command"), status.alias("status"), F.lit(planned).cast("bigint").alias("stores_planned"), *counts, "*")
+
+
+def failed_stores(events: DataFrame) -> DataFrame:
+    """Stores with a page that never had a good answer."""
+    good = F.bool_or(F.col("event_type").isin("page_success", "page_empty"))
+    return events.groupBy("store_url", "page").agg(good.alias("good")).where("not good").select("store_url").distinct()

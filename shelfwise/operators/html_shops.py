@@ -177,8 +177,10 @@ def option_shop(pages: DataFrame, at: Column) -> DataFrame:
     return _finished(out, schemas.OPTION_SHOP, escaped.split())
 
 
-def page_links(pages: DataFrame, pattern: str = r'(?i)href="([^"]*)"', site: str | None = None, prefix: str = "/", assets: bool = True) -> DataFrame:
-    """url, link: what a crawler would follow from each page, each link of a page once.
+def page_links(
+    pages: DataFrame, pattern: str = r'(?i)href="([^"]*)"', site: str | None = None, prefix: str = "/", assets: bool = True, positions: bool = False
+) -> DataFrame:
+    """url, link: what a crawler would follow from each page, each link of a page once; with positions, pos of each among them.
 
     With a site, only links on it whose path starts with prefix; without assets, no images, styles and the like.
     """
@@ -189,7 +191,7 @@ def page_links(pages: DataFrame, pattern: str = r'(?i)href="([^"]*)"', site: str
         return keep if assets else keep & ~urls.is_asset(link)
 
     links = F.array_distinct(F.filter(F.transform(text.all_groups(F.col("html"), pattern), lambda x: urls.crawl_link(x, F.col("url"))), wanted))
-    return usable(pages).select("url", F.explode(links).alias("link"))
+    return usable(pages).select("url", F.posexplode(links).alias("pos", "link") if positions else F.explode(links).alias("link"))
 
 
 def is_product_page(html: Column) -> Column:

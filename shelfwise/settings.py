@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from pathlib import Path
+from typing import TypeVar
+
+Site = TypeVar("Site")
 
 
 def load_env(path: str = ".env") -> None:
@@ -27,9 +30,18 @@ class Settings:
     store_urls: str = ""
     fetcher: str = "shelfwise.sources.http:fetch"
     fetch_waits: str = "5,10,10"
+    poster: str = "shelfwise.sources.http:post"
     record_base: str = "https://records.example"
+    record_url: str = "https://infinitediscs.com/Search/SearchedData"
     record_page_size: int = 2000
     record_least_page_size: int = 250
+    record_wait: float = 2.0
+    crawl_base: str = ""
+    table_wait: float = 0.0
+    table_max_products: int = 0
+    option_wait: float = 0.0
+    option_max_pages: int = 0
+    option_max_products: int = 0
     search_host: str = ""
     search_key: str = ""
     search_collection: str = "discs_v4"
@@ -39,7 +51,15 @@ class Settings:
     @classmethod
     def from_env(cls) -> Settings:
         found = {f.name: os.environ[f.name.upper()] for f in fields(cls) if os.environ.get(f.name.upper())}
-        return cls(**{n: int(v) if isinstance(getattr(cls, n), int) else v for n, v in found.items()})
+        return cls(**{n: type(getattr(cls, n))(v) for n, v in found.items()})
 
     def stores(self) -> list[str]:
         return [s.strip() for s in self.store_urls.split(",") if s.strip()]
+
+    def site(self, known: Site) -> Site:
+        """A crawled shop as it is known, or at another address (crawl_base, for tests and mirrors)."""
+        if not self.crawl_base:
+            return known
+        field = "start" if hasattr(known, "start") else "sitemap"
+        path = "/".join(getattr(known, field).split("/")[3:])
+        return replace(known, **{field: f"{self.crawl_base.rstrip('/')}/{path}"})

@@ -17,9 +17,7 @@ STOCK_FIELDS = (
 STOCK_PAGE = f"recordsTotal bigint, data array<struct<{', '.join(f'{f}: string' for f in STOCK_FIELDS)}>>"
 CRAWL = """source string, start_url string, sitemap_url string, fetched_at string, products array<struct<url:string,fetched_at:string,html:string>>,
 skipped_urls array<struct<url:string,error:string,kind:string,fetched_at:string>>"""
-STORES = "URL string, API_URL string, IsShopify string, UseUnpagedProductsJson string"
-SCRAPE_EVENT = """event_type string, page bigint, attempt bigint, url string, status_code bigint, error string, product_count bigint,
-mode string, headers map<string,string>, body string, store_url string, use_unpaged_products_json boolean"""
+STORES = "URL string, API_URL string, IsShopify bigint, UseUnpagedProductsJson bigint"
 
 #: Columns of a variant; its row hash is over all but the first three.
 VARIANT = (
@@ -70,6 +68,11 @@ RUN_AUDIT = (
 )
 
 
+def struct(schema: str) -> StructType:
+    """Columns as the type of one value."""
+    return StructType.fromDDL(schema)
+
+
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """The columns of schema in order, cast; missing ones null. A value that can't be cast fails the query."""
     wanted = StructType.fromDDL(schema)

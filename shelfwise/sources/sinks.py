@@ -123,5 +123,26 @@ def archive(spark, paths: list[str], folder: str) -> int:
     return moved
 
 
-def pretty(value: object) -> str:
-    return json.dumps(value, indent=2, ensure_ascii=False)
+def _folder(spark, path: str):
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return top, top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark, path: str) -> None:
+    """Deletes a file or folder."""
+    top, fs = _folder(spark, path)
+    fs.delete(top, True)
+
+
+def move(spark, path: str, target: str) -> None:
+    """A folder under another name, on one file system."""
+    source, fs = _folder(spark, path)
+    if not fs.rename(source, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{path} can't become {target}")
+
+
+def keep_only(spark, path: str, name: str) -> int:
+    """Deletes the folders of other runs below a path; returns how many went."""
+    top, fs = _folder(spark, path)
+    others = [x.getPath() for x in fs.listStatus(top) if x.getPath().getName().startswith("run=") and x.getPath().getName() != name]
+    return sum(bool(fs.delete(x, True)) for x in others)
