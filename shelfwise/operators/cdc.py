@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import present
-from shelfwise.operators.combine import VersionedTable
+from shelfwise.operators.combine import BucketedTable
 from shelfwise.sources.schemas import VARIANT, VARIANT_CHANGES, VARIANT_STATE, conform
 
 
@@ -54,18 +54,22 @@ def merged(old: DataFrame, new: DataFrame, key: str, seen: str) -> DataFrame:
     return old.join(new.select(key), key, "left_anti").unionByName(new.select(*old.columns))
 
 
-def run(spark: SparkSession, snapshot: DataFrame, state_path: str, log_path: str, now: datetime.datetime) -> str:
+def run(spark: SparkSession, snapshot: DataFrame, state_path: str, log_path: str, now: datetime.datetime, buckets: int = 64) -> str:
     """Compares a hashed snapshot with the current state, appends the changes, publishes the new state; returns the batch id.
 
-    A batch id has the resolution of a second; one that the log has is refused, so a run that failed between its two
+    The state is bucketed by id and the snapshot is dealt out alike once: neither the comparison nor the new state shuffles
+    again. A batch id has the resolution of a second; one that the log has is refused, so a run that failed between its two
     writes is repeated under a new id from the old state.
     """
     batch = now.strftime("%Y-%m-%dT%H:%M:%SZ")
-    state = VersionedTable(spark, state_path)
-    old = state.read(VARIANT_STATE)
-    ts = F.lit(now).cast("timestamp")
-    target = f"{log_path.rstrip('/')}/batch_run_id={batch.replace(':', '%3A')}"
-    log = change_log(snapshot, old, F.lit(batch), ts, F.current_timestamp()).drop("batch_run_id")
-    log.write.mode("error").parquet(target)
-    state.publish(conform(next_state(snapshot, ts), VARIANT_STATE))
+    state = BucketedTable(spark, state_path, "id", buckets)
+    old, ts = state.read(VARIANT_STATE), F.lit(now).cast("timestamp")
+    snapshot = state.dealt(snapshot).persist()
+    try:
+        target = f"{log_path.rstrip('/')}/batch_run_id={batch.replace(':', '%3A')}"
+        log = change_log(snapshot, old, F.lit(batch), ts, F.current_timestamp()).drop("batch_run_id")
+        log.write.mode("error").parquet(target)
+        state.publish(conform(next_state(snapshot, ts), VARIANT_STATE))
+    finally:
+        snapshot.unpersist()
     return batch

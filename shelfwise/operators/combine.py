@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,11 +39,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
 
 
-def with_columns_of(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """df with the columns (name -> type) that it lacks, null."""
-    return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
-
-
 def batches(df: DataFrame, order: list[Column], size: int, within: list[str] | None = None) -> DataFrame:
     """df with batch: rows in order, so many to a batch. within numbers each group on its own."""
     number = F.row_number().over(Window.partitionBy(*(within or [])).orderBy(*order))
@@ -73,3 +70,50 @@ class VersionedTable:
     def publish(self, df: DataFrame) -> None:
         """Writes the next version; it counts once its marker file is there."""
         df.write.parquet(f"{self._path}/v{(self._versions() or [0])[-1] + 1}")
+
+
+class BucketedTable:
+    """A keyed table whose versions (see VersionedTable) are bucketed and sorted by the key.
+
+    What is compared with it by the key needs no shuffle of this side. A version's folder names its number of buckets
+    (v3b64), so that the number may change between versions; the session's catalog gets a table a version, with that folder
+    as its location.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int) -> None:
+        self._spark, self._path, self._key, self.buckets = spark, path.rstrip("/"), key, buckets
+
+    def _versions(self) -> list[tuple[int, int]]:
+        jvm = self._spark.sparkContext._jvm
+        top = jvm.org.apache.hadoop.fs.Path(self._path)
+        fs = top.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(top):
+            return []
+        done = [x.getPath().getName() for x in fs.listStatus(top) if fs.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), "_SUCCESS"))]
+        return sorted((int(m[1]), int(m[2])) for m in (re.fullmatch(r"v(\d+)b(\d+)", n) for n in done) if m)
+
+    def _named(self, version: int, buckets: int) -> tuple[str, str]:
+        digest = hashlib.sha256(self._path.encode()).hexdigest()[:16]
+        return f"shelfwise_{digest}_v{version}b{buckets}", f"{self._path}/v{version}b{buckets}"
+
+    def read(self, schema: str) -> DataFrame:
+        versions = self._versions()
+        if not versions:
+            return self._spark.createDataFrame([], schema)
+        name, folder = self._named(*versions[-1])
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in StructType.fromDDL(schema))
+        self._spark.sql(
+            f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:t) ({ddl}) USING parquet CLUSTERED BY (`{self._key}`) SORTED BY (`{self._key}`) INTO {versions[-1][1]} BUCKETS LOCATION '{folder}'",
+            args={"t": name},
+        )
+        return self._spark.table(name)
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """df dealt out as the table is: it then meets the table, and becomes its next version, without another shuffle."""
+        return df.repartition(self.buckets, self._key)
+
+    def publish(self, df: DataFrame) -> None:
+        """Writes the next version, of rows as dealt() gives them; it counts once its marker file is there."""
+        name, folder = self._named((self._versions() or [(0, 0)])[-1][0] + 1, self.buckets)
+        self._spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
+        df.write.bucketBy(self.buckets, self._key).sortBy(self._key).option("path", folder).mode("overwrite").saveAsTable(name)

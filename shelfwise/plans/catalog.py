@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.plans import index_queries, snapshot_queries, text_queries
+from shelfwise.plans import index_queries, ingest_queries, snapshot_queries, text_queries
 
-MODULES = (snapshot_queries, text_queries, index_queries)
+MODULES = (snapshot_queries, text_queries, index_queries, ingest_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +10,7 @@ from shelfwise.plans.snapshot_queries import SOURCES_SQL, variant_snapshot
 from shelfwise.plans.standins import change_events, table
 from shelfwise.sources.readers import scrape_list
 from shelfwise.sources.schemas import VARIANT
+from shelfwise.sources.scratch import shared_path
 from shelfwise.streaming.changes import windowed_counts
 
 
@@ -99,8 +98,7 @@ def store_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events of a file stream, the last of each user kept by upserts of micro-batches; the state that this leaves."""
-    work = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='shelfwise-')}"
-    work = f"{work.rstrip('/')}/stream-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
+    work = shared_path(spark, "stream")
     schema = table(spark, sf_dir, "events").schema
     state = combine.VersionedTable(spark, f"{work}/state")
     order = [F.desc("ts"), F.desc("event_id")]

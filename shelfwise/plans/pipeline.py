@@ -231,12 +231,9 @@ def process(spark: SparkSession, s: Settings, now: datetime.datetime | None = No
     """Classification, snapshot, changes and state; returns the batch id."""
     stock, shops = views(spark, s)
     snapshot.variant_snapshot(stock, shops).createOrReplaceTempView("v_VariantSnapshot")
-    rows = snapshot.hashed(snapshot.variant_snapshot(stock, shops, LOG_TYPES)).persist()
-    try:
-        now = now or datetime.datetime.now(datetime.UTC)
-        return cdc.run(spark, rows, f"{s.table_dir}/VariantState", f"{s.table_dir}/VariantChanges", now)
-    finally:
-        rows.unpersist()
+    rows = snapshot.hashed(snapshot.variant_snapshot(stock, shops, LOG_TYPES))
+    now = now or datetime.datetime.now(datetime.UTC)
+    return cdc.run(spark, rows, f"{s.table_dir}/VariantState", f"{s.table_dir}/VariantChanges", now, s.state_buckets)
 
 
 def index(spark: SparkSession, s: Settings, sink: Sink | None = None) -> str | None:

@@ -10,6 +10,7 @@ from shelfwise.operators import cdc, classify, combine, products, snapshot
 from shelfwise.plans.standins import shop_view, stock_view, table
 from shelfwise.sources import schemas
 from shelfwise.sources.schemas import LOG_TYPES, VARIANT
+from shelfwise.sources.scratch import written
 
 SEEN = "2024-02-01 00:00:00"
 
@@ -38,18 +39,23 @@ def snapshot_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hashed(spark, sf_dir).select("id", "product_id", "variant_id", "price", "weight_g", "row_hash")
 
 
+def _kept(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The hashed snapshot as a table, as a run keeps it: both sides of a comparison read it, and it is made once."""
+    return written(_hashed(spark, sf_dir).select("id", "product_id", "row_hash", *columns), "snapshot")
+
+
 def cdc_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _hashed(spark, sf_dir)
+    rows = _kept(spark, sf_dir, "title")
     return cdc.upserts(_new(rows), _old(rows)).select("id", "title", "row_hash")
 
 
 def cdc_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _hashed(spark, sf_dir)
+    rows = _kept(spark, sf_dir, "title")
     return cdc.deletes(_new(rows), _old(rows))
 
 
 def cdc_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, ts = _hashed(spark, sf_dir), F.lit(SEEN).cast("timestamp")
+    rows, ts = _kept(spark, sf_dir, *[c for c in VARIANT if c not in ("id", "product_id")]), F.lit(SEEN).cast("timestamp")
     log = cdc.change_log(_new(rows), _old(rows), identity.batch_id(ts), ts, ts)
     return log.select("batch_run_id", "operation", "id", "title", "price", "row_hash")
 
@@ -60,7 +66,7 @@ def merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _hashed(spark, sf_dir)
+    rows = _kept(spark, sf_dir, "title")
     old = _old(rows).select("id", "title", F.lit("2024-01-01").alias("seen"))
     return cdc.merged(old, _new(rows).select("id", "title", F.lit("2024-02-01").alias("seen")), "id", "seen")
 

@@ -42,6 +42,8 @@ class Settings:
     option_wait: float = 0.0
     option_max_pages: int = 0
     option_max_products: int = 0
+    state_buckets: int = 64
+    landing_done: str = "archive"
     search_host: str = ""
     search_key: str = ""
     search_collection: str = "discs_v4"

@@ -101,7 +101,7 @@ def locations(pages: DataFrame, base: str, holding: str, escaped: bool) -> DataF
     return first.select("url", "first")
 
 
-def _placed(first: DataFrame, most: int | None) -> DataFrame:
+def placed(first: DataFrame, most: int | None = None) -> DataFrame:
     """url and place from 0 on, in order of `first`: the place of each page's first address is a running sum over pages."""
     if most is not None:
         first = first.orderBy("first").limit(most)
@@ -150,10 +150,10 @@ def crawl_sitemap(spark: SparkSession, site: SitemapSite, path: str, fetcher: st
     found = spark.createDataFrame([(site.sitemap, "sitemap", 0)], "url string, kind string, place bigint")
     if site.index:
         index = crawl.sitemaps("index", found, fetcher, wait)
-        listed = _placed(locations(index, site.sitemap, site.index, site.escaped), None)
+        listed = placed(locations(index, site.sitemap, site.index, site.escaped))
         found = crawl.step("sitemap_addresses", lambda: listed.withColumn("kind", F.lit("sitemap")), "url string, place bigint, kind string")
     sitemaps = crawl.sitemaps("sitemaps", found, fetcher, wait)
-    listed = _placed(locations(sitemaps, site.sitemap, site.product, site.escaped), most)
+    listed = placed(locations(sitemaps, site.sitemap, site.product, site.escaped), most)
     addresses = crawl.step("addresses", lambda: listed.withColumn("kind", F.lit("product")), "url string, place bigint, kind string")
     role = F.when(F.col("error").isNull(), "product").otherwise("skipped")
     crawl.step("pages", lambda: fetched(addresses, fetcher, wait).withColumn("role", role), f"{PAGE}, role string")

@@ -21,6 +21,24 @@ def read_json(spark: SparkSession, path: str | list[str], schema: str, recursive
     return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def _as_variants(files: DataFrame) -> DataFrame:
+    return files.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"), F.try_parse_json("value").alias("value"))
+
+
+def read_any_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """JSON files of any shape: source_file, body, and value as a variant; null where the body is no JSON.
+
+    So a bad page is a row that can be counted, and doesn't end the load of the others.
+    """
+    return _as_variants(spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path))
+
+
+def stream_any_json(spark: SparkSession, path: str, options: dict[str, str]) -> DataFrame:
+    """read_any_json() of the files that arrive in a folder."""
+    reader = spark.readStream.option("wholetext", True).option("pathGlobFilter", "*.json").options(**options)
+    return _as_variants(reader.text(path))
+
+
 def json_text(spark: SparkSession, text: str, schema: str) -> DataFrame:
     """One download that is already in memory."""
     kind = f"array<struct<{schema}>>" if text.lstrip().startswith("[") else f"struct<{schema}>"

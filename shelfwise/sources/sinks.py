@@ -141,6 +141,13 @@ def move(spark, path: str, target: str) -> None:
         raise OSError(f"{path} can't become {target}")
 
 
+def folders(spark, path: str, prefix: str) -> list[str]:
+    """Names of the folders below a path that begin so, in order."""
+    top, fs = _folder(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(top)] if fs.exists(top) else []
+    return sorted(n for n in names if n.startswith(prefix))
+
+
 def keep_only(spark, path: str, name: str) -> int:
     """Deletes the folders of other runs below a path; returns how many went."""
     top, fs = _folder(spark, path)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from shelfwise.operators import documents
 from shelfwise.operators.audit import run_row
@@ -77,24 +78,73 @@ def index_batch(log: DataFrame, runs: RunTable, sink: Sink, batch: str | None =
     return batch
 
 
-def stream_changes(spark: SparkSession, log_path: str, runs: RunTable, sink: Sink, checkpoint: str, batch_size: int = 200) -> StreamingQuery:
+def _order(ts: datetime.datetime | None, operation: str | None) -> tuple:
+    """What a later change of an id is greater in; nulls come before all."""
+    return ts is not None, ts.timestamp() if ts else 0.0, operation is not None, operation or ""
+
+
+class _Newest(StatefulProcessor):
+    """Lets the newest change of an id pass if none that passed before is as new; keeps its time and operation."""
+
+    def __init__(self, columns: list[str]) -> None:
+        self._columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._last = handle.getValueState("last", "change_ts timestamp, operation string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
+        best = max(rows, key=lambda r: _order(r["change_ts"], r["operation"]))
+        if not self._last.exists() or _order(best["change_ts"], best["operation"]) > _order(*self._last.get()):
+            self._last.update((best["change_ts"], best["operation"]))
+            yield Row(**{c: best[c] for c in self._columns})
+
+    def close(self) -> None:
+        pass
+
+
+#: Keyed state needs a store that keeps it outside the heap.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def newest_only(log: DataFrame) -> DataFrame:
+    """Of a stream of changes, those that are newer than all of their id that came before, whatever micro-batch these were in.
+
+    So a change that arrives late, after a newer one of its id, isn't sent over it. An id's state is one time and one
+    operation. A null id counts as an id of its own.
+    """
+    for key, value in STATE_STORE.items():
+        log.sparkSession.conf.set(key, value)
+    keyed = log.withColumn("__id", F.coalesce("id", F.lit(""))).groupBy("__id")
+    return keyed.transformWithState(_Newest(log.columns), log.schema, "append", "none")
+
+
+def stream_changes(
+    spark: SparkSession, log_path: str, runs: RunTable, sink: Sink, checkpoint: str, batch_size: int = 200, files_per_batch: int | None = None
+) -> StreamingQuery:
     """Follows the log's files and indexes all that are there, then stops; every batch is taken, not the newest only.
 
-    row_number is no streaming operator, so the latest change of an id is picked within each micro-batch.
+    The newest change of an id is picked within each micro-batch and against the state of those before. If sending fails, the
+    micro-batch isn't committed, and neither is its state: the next start sends the same changes again.
     """
 
     def step(rows: DataFrame, epoch: int) -> None:
-        if rows.isEmpty():
-            return
-        name = f"stream-{epoch}"
-        runs.record(name, "STARTED")
-        totals = index_changes(rows, sink, batch_size)
-        runs.record(name, "FAILED" if totals["failed_batches"] else "COMPLETED", totals)
-        if totals["failed_batches"]:  # the offset isn't committed, so the next start sends these changes again
-            raise RuntimeError(f"{totals['failed_batches']} batches of {name} failed")
-
-    log = spark.readStream.schema(VARIANT_CHANGES).parquet(log_path)
-    return log.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        rows = rows.persist()
+        try:
+            if rows.isEmpty():
+                return
+            name = f"stream-{epoch}"
+            runs.record(name, "STARTED")
+            totals = index_changes(rows, sink, batch_size)
+            runs.record(name, "FAILED" if totals["failed_batches"] else "COMPLETED", totals)
+            if totals["failed_batches"]:
+                raise RuntimeError(f"{totals['failed_batches']} batches of {name} failed")
+        finally:
+            rows.unpersist()
+
+    reader = spark.readStream.schema(VARIANT_CHANGES)
+    reader = reader if files_per_batch is None else reader.option("maxFilesPerTrigger", files_per_batch)
+    changes = newest_only(reader.parquet(log_path))
+    return changes.writeStream.foreachBatch(step).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_counts(events: DataFrame, ts: str, key: str, length: str, late: str) -> DataFrame:
