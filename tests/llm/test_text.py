@@ -94,7 +94,7 @@ def test_main_text(page, want):
         (f"<p>Tag line</p><main class='has-sidebar'><p>{LONG}</p></main>", LONG.strip()), (f"<main class=sidebar><p>{LONG}</p></main>", LONG.strip()),
         (f"<body class='logged-in login'><p>{LONG}</p>", LONG.strip()), (f"<div class='social-history'><p>{LONG}</p></div>", LONG.strip()),
         (f"<p>Tag line</p><div class='login'><p>{LONG}</p></div>", f"Tag line\n{LONG.strip()}"),
-        (f"<article><p>{LONG}</p><section id='related-work'>R</section><section id=notice>N</section><div class='widget'>W</div></article>", f"{LONG.strip()}\nR\nN\nW"),
+        (f"<article><p>{LONG}</p><section id='related-work'>R</section><section id=notice>N</section><div class='widget'>W</div></article>", f"{LONG.strip()}\nR\nW"),
         (f"<article class='post category-social'><p>{LONG}</p></article><p>{LONG * 3}</p>", LONG.strip()), ("<article>Short</article><div class=ad>" + LONG[:70] + "</div>", "Short"),
     ],
 )
@@ -102,6 +102,27 @@ def test_main_text_of_marked_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+COMMENTS = "".join(f"<div class='comment'><b>Reader {i}</b><p>{LONG}</p></div>" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article><p>{LONG}</p><div class='ad'><p>{LONG * 2}</p></div><p>End.</p><section class=\"comments\">{COMMENTS}</section></article>", f"{LONG.strip()}\nEnd."),
+        (f"<div><p>{LONG}</p><p>End.</p></div><div id='comments'>{COMMENTS}</div><div class=sidebar><p>{LONG * 2}</p></div>", f"{LONG.strip()}\nEnd."),
+        (f"<main>{LONG[:65]}</main><section id=comments>{COMMENTS}</section>", LONG[:65].strip()), (f"<main>{LONG[:65]}</main><div>{LONG * 60}</div>", LONG[:65].strip()),
+        (f"<article><p>{LONG}</p><div class='cookie-notice'>We use cookies</div><p class=ad>Buy</p><li class='comment'>No</li><p>End.</p></article>", f"{LONG.strip()}\nEnd."),
+        (f"<article><p>{LONG}</p></article><section class=comments><article><p>{LONG * 9}</p></article></section>", LONG.strip()),
+        (f"<article><p>{LONG}</p></article><article class='comment'><p>{LONG * 9}</p></article>", LONG.strip()),
+        (f"<div class='left-sidebar'>{LONG}</div><div class='main sidebar-right comments-open'><p>{LONG}</p></div><div class='site-footer'>{LONG}</div>", LONG.strip()),
+        (f"<div class=header>{LONG}</div><div><h1>T</h1><p>{LONG}</p></div><div>&copy; 2020 us. {LONG}</div>", f"T\n{LONG.strip()}"),
+        (f"<div class=comments><p>{LONG}</p></div>", LONG.strip()), (f"<article><div class='entry-header'><h1>T</h1></div><p>{LONG}</p></article>", f"T\n{LONG.strip()}"),
+    ],
+)
+def test_main_text_without_adverts_notices_and_comments(page, want):
+    assert html_text.main_text(page) == want
+
+
 @pytest.mark.parametrize(
     ("page", "want"),
     [
