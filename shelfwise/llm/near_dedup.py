@@ -31,7 +31,7 @@ REGISTERS = ROUNDS * BUCKETS
 #: Pairs estimated below this are not compared: 5.8 standard deviations of the estimate under 0.75.
 ESTIMATE = 0.55
 #: Classes that meet are compared within and between blocks of so many, and of about so many shingles.
-BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 #: A text that is compared with many others goes out once for so many of them.
 SPOKES = 256
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -116,23 +116,23 @@ def chances(n: np.ndarray) -> np.ndarray:
     return np.array([chance(x) for x in n.tolist()])
 
 
-def forest(regs: np.ndarray, n: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def forest(regs: np.ndarray, n: np.ndarray, percent: int, least: float = ESTIMATE) -> list[tuple[int, int]]:
     """Edges of a spanning forest of most similar pairs (Prim's algorithm) whose size allows a link. n ascends."""
     lost, edges = chances(n), []
     best, by, left = np.full(len(n), -1.0), np.zeros(len(n), np.int64), np.ones(len(n), bool)
     for _ in range(len(n)):
         i = int(np.where(left, best, -2).argmax())
-        if best[i] > 0:
+        if best[i] > -1:
             edges.append((int(by[i]), i))
         left[i] = False
         low, high = int(np.searchsorted(n, -(-percent * n[i] // 100))), int(np.searchsorted(n, 100 * n[i] // percent, "right"))
         got = estimates(regs[i], regs[low:high], lost[np.minimum(np.arange(low, high), i)])
-        better = low + np.flatnonzero(left[low:high] & (got >= ESTIMATE) & (got > best[low:high]))
+        better = low + np.flatnonzero(left[low:high] & (got >= least) & (got > best[low:high]))
         best[better], by[better] = got[better - low], i
     return edges
 
 
-def apart(group: Group, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+def apart(group: Group, percent: int, least: float = ESTIMATE) -> Iterator[tuple[int, np.ndarray]]:
     """Each member of a group with the later ones of other parts that it may link with and meets in no band before the group's.
 
     Members come in order of n; between two blocks only members of different ones are paired.
@@ -142,7 +142,7 @@ def apart(group: Group, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     for a in range(len(n) - 1):
         b = np.arange(a + 1, int(np.searchsorted(n, 100 * n[a] // percent, "right")))
         b = b[(part[b] != part[a]) & ((i == j) | (block[b] != block[a]))]
-        b = b[estimates(regs[a], regs[b], lost[a]) >= ESTIMATE]
+        b = b[estimates(regs[a], regs[b], lost[a]) >= least]
         b = b[(bands[b] == bands[a]).all(2).argmax(1) == band[a]]
         if len(b):
             yield a, b
@@ -155,6 +155,35 @@ def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(one) + len(other) - common)
 
 
+class Common:
+    """Sizes of intersections among the sets of a group, one set with many at a time. No set is empty."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(x) for x in sets])
+        self._starts = np.cumsum(self.sizes) - self.sizes
+        self._ids = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+        self._mark = np.zeros(int(self._ids.max()) + 1, np.int8)
+
+    def counts(self, one: int, others: np.ndarray) -> np.ndarray:
+        """How many elements set `one` has in common with each of the others."""
+        own = self._ids[self._starts[one] : self._starts[one] + self.sizes[one]]
+        self._mark[own] = 1
+        sizes = self.sizes[others]
+        if 4 * int(sizes.sum()) > len(self._ids):
+            found = np.add.reduceat(self._mark[self._ids], self._starts, dtype=np.int64)[others]
+        else:
+            starts = np.cumsum(sizes) - sizes
+            at = np.arange(int(sizes.sum())) + np.repeat(self._starts[others] - starts, sizes)
+            found = np.add.reduceat(self._mark[self._ids[at]], starts, dtype=np.int64)
+        self._mark[own] = 0
+        return found
+
+    def linked(self, one: int, others: np.ndarray, percent: int) -> np.ndarray:
+        """Those of the others that link with set `one`."""
+        common = self.counts(one, others)
+        return others[100 * common >= percent * (self.sizes[one] + self.sizes[others] - common)]
+
+
 def signatures(rows: DataFrame) -> DataFrame:
     """place, doc_id, n, f1, f2 (of the set), regs of every row of place, doc_id, text; empty regs for an empty set."""
 
@@ -229,38 +258,36 @@ def _by_group(members: DataFrame, found: Callable[[Group], list[tuple]], schema:
     return grouped.mapInPandas(look, schema)
 
 
-def _tree(group: Group, percent: int) -> list[tuple]:
+def _tree(group: Group, percent: int, least: float = ESTIMATE) -> list[tuple]:
     """key, a, b of the edges of a forest."""
     node = group[1][0].tolist()
-    return [(group[0][0], min(node[x], node[y]), max(node[x], node[y])) for x, y in forest(group[2], group[1][2], percent)]
+    return [(group[0][0], min(node[x], node[y]), max(node[x], node[y])) for x, y in forest(group[2], group[1][2], percent, least)]
 
 
-def _needed(group: Group, percent: int) -> list[tuple]:
+def _needed(group: Group, percent: int, least: float = ESTIMATE) -> list[tuple]:
     """key, i, j, node, part, block, band of the members that may link with another part."""
     found: set[int] = set()
-    for a, b in apart(group, percent):
+    for a, b in apart(group, percent, least):
         found.update((a, *b.tolist()))
     node, part, _, block, band = group[1][:, sorted(found)].tolist()
     return [(*group[0], *x) for x in zip(node, part, block, band, strict=True)]
 
 
-def _joined(group: Group, percent: int) -> list[tuple]:
-    """a, b of links that join parts, on full sets; what earlier ones joined isn't compared again."""
-    node, part = group[1][0].tolist(), group[1][1].tolist()
-    above: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while x in above:
-            x = above[x]
-        return x
+def _joined(group: Group, percent: int, least: float = ESTIMATE) -> list[tuple]:
+    """a, b of links that join parts, on full sets; what earlier ones joined isn't compared again.
 
-    links = []
-    for a, others in apart(group, percent):
-        for b in others.tolist():
-            one, other = top(part[a]), top(part[b])
-            if one != other and linked(group[3][a], group[3][b], percent):
-                above[max(one, other)] = min(one, other)
-                links.append((min(node[a], node[b]), max(node[a], node[b])))
+    A member is compared with all that it may link with in one count over the group's elements.
+    """
+    node, part, common, links = group[1][0], group[1][1].copy(), Common(group[3]), []
+    for a, others in apart(group, percent, least):
+        others = others[part[others] != part[a]]
+        others = common.linked(a, others, percent) if len(others) else others
+        while len(others):
+            one, other = int(node[a]), int(node[others[0]])
+            links.append((min(one, other), max(one, other)))
+            low, high = sorted((part[a], part[others[0]]))
+            part[part == high] = low
+            others = others[part[others] != part[a]]
     return links
 
 
@@ -295,7 +322,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return links
 
 
-def _components_of(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _components_of(rows: DataFrame, percent: int, least: float) -> tuple[DataFrame, DataFrame]:
     """Signatures of rows (place, doc_id, text), and f1, f2, n, node, doc_id, root of their classes, as written tables."""
     signed = written(signatures(rows), "dedup-signatures")
     classes = signed.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("place").alias("node"), F.min("doc_id").alias("doc_id"))
@@ -312,7 +339,7 @@ def _components_of(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     members = written(members.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks").cast("int")), "dedup-members")
     deleted(met)
     full = members.join(own, "node").withColumns({"part": F.col("node"), "i": F.col("block"), "j": F.col("block")})
-    trees = written(_by_group(full, lambda g: _tree(g, percent), "key long, a long, b long"), "dedup-trees")
+    trees = written(_by_group(full, lambda g: _tree(g, percent, least), "key long, a long, b long"), "dedup-trees")
     texts = written(rows.select(F.col("place").alias("node"), "text").join(members.select("node").distinct(), "node"), "dedup-texts")
     links = verified(trees.select("a", "b").distinct(), texts, percent)
     # where an edge failed and more than its two ends meet, or in several blocks, other pairs may still link the parts
@@ -324,9 +351,9 @@ def _components_of(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     again = again.join(keys, "key", "left_semi").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     again = again.withColumns({"i": F.least("block", "y"), "j": F.greatest("block", "y")}).join(own, "node")
     schema = "key long, i int, j int, node long, part long, block int, band int"
-    needed = written(_by_group(again, lambda g: _needed(g, percent), schema), "dedup-needed")
+    needed = written(_by_group(again, lambda g: _needed(g, percent, least), schema), "dedup-needed")
     again = needed.join(own, "node").join(texts, "node")
-    more = written(_by_group(again, lambda g: _joined(g, percent), "a long, b long"), "dedup-more")
+    more = written(_by_group(again, lambda g: _joined(g, percent, least), "a long, b long"), "dedup-more")
     roots = connected_components(links.unionByName(more.distinct()))
     named = classes.join(roots.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named.drop("w"), "dedup-roots")
@@ -334,9 +361,9 @@ def _components_of(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     return signed, named
 
 
-def _near_duplicates(rows: DataFrame, percent: int) -> DataFrame:
+def _near_duplicates(rows: DataFrame, percent: int, least: float) -> DataFrame:
     small_batches(rows.sparkSession)
-    signed, named = _components_of(rows, percent)
+    signed, named = _components_of(rows, percent, least)
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "root").select("f1", "f2", "n", F.lit(True).alias("in_class"), "component_id")
     out = signed.select("place", "doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
@@ -345,7 +372,7 @@ def _near_duplicates(rows: DataFrame, percent: int) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, least: float = ESTIMATE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
 
     component_id is the smallest doc_id that is reached over links; kept says that it is the row's own. Rows without words
@@ -354,16 +381,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     component_id is null and the rows are kept. An empty table gives an empty result. Texts may be of any length.
 
     A pair at a similarity of exactly 0.75 shares no band with a chance of (1 - 0.75^4)^40 = 3 in 10 million; of higher
-    similarity, less.
+    similarity, less. Pairs that meet and are estimated under `least` are not compared; with least = -1 all that meet are.
     """
     rows = numbered(docs.select("doc_id", "text"), "dedup-docs")
-    return _near_duplicates(rows.select("place", "row.doc_id", "row.text"), percent).drop("place")
+    return _near_duplicates(rows.select("place", "row.doc_id", "row.text"), percent, least).drop("place")
 
 
-def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, percent: int = 75, least: float = ESTIMATE) -> DataFrame:
     """One row of docs for each component: of its smallest doc_id (of rows that repeat it, the first); columns of docs."""
     rows = numbered(docs, "dedup-docs")
-    kept = _near_duplicates(rows.select("place", "row.doc_id", "row.text"), percent).where("kept")
+    kept = _near_duplicates(rows.select("place", "row.doc_id", "row.text"), percent, least).where("kept")
     alike = kept.where("n_shingles > 0").groupBy("component_id").agg(F.min("place").alias("place")).select("place")
     kept = alike.unionByName(kept.where("n_shingles = 0").select("place"))
     return rows.join(kept, "place", "left_semi").select("row.*")

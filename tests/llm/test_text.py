@@ -333,3 +333,52 @@ def test_components(spark):
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent if find(x) != x}
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def template_group(n, seed=3):
+    """Members of one band: n documents of one template, most of whose pairs are just under a similarity of 0.75."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(300)]
+    sets = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.choice(300, 6 + i % 3, replace=False):
+            words[at] = f"x{rng.integers(10**9)}"
+        sets.append(next(near_dedup.shingles([" ".join(words)])))
+    sets.sort(key=len)
+    sizes = np.array([len(x) for x in sets])
+    regs = np.array([near_dedup.registers(x).ravel() for x in sets])
+    regs[:, : near_dedup.ROUNDS] = regs[0, : near_dedup.ROUNDS]  # they share the first band
+    info = np.array([np.arange(n), np.arange(n), sizes, np.zeros(n, np.int64), np.zeros(n, np.int64)])
+    return (1, 0, 0), info, regs, sets
+
+
+def test_hot_bands_are_counted_not_compared_one_by_one():
+    group = template_group(150)
+    links = near_dedup._joined(group, 75)
+    assert links == near_dedup._joined(group, 75, -1)
+    linked = [(i, j) for i in range(150) for j in range(i) if near_dedup.linked(group[3][i], group[3][j], 75)]
+    above = list(range(150))
+
+    def top(x):
+        while above[x] != x:
+            x = above[x]
+        return x
+
+    for i, j in linked:
+        above[max(top(i), top(j))] = min(top(i), top(j))
+    assert linked and len(links) == 150 - len({top(i) for i in range(150)})
+    assert all(near_dedup.linked(group[3][a], group[3][b], 75) for a, b in links)
+    common = near_dedup.Common(group[3])
+    for others in (np.array([3]), np.arange(1, 150), np.array([149, 2, 77])):
+        assert common.counts(0, others).tolist() == [len(np.intersect1d(group[3][0], group[3][i])) for i in others]
+    began = time.process_time()
+    near_dedup._joined(template_group(1500), 75)
+    assert time.process_time() - began < 60  # 1.1 million pairs
+
+
+def test_cut_can_be_turned_off(spark):
+    """With least = -1 every pair that meets is compared: the result is the same."""
+    docs = table(spark, SF, "documents").select("doc_id", "text")
+    cut = {tuple(r) for r in near_dedup.near_duplicates(docs).collect()}
+    assert cut == {tuple(r) for r in near_dedup.near_duplicates(docs, least=-1.0).collect()}
