@@ -175,12 +175,14 @@ def _candidates(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFr
                 yield pd.DataFrame(rows, columns=["b", "pos", "least"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group: tuple[np.ndarray, ...] = ()
         for batch in batches:
             for r in batch.itertuples():
+                if r.b < 0:  # a group comes before its batches of queries
+                    group = np.frombuffer(r.ids, np.int64), _unpacked(r.data, dim), _unpacked(r.low, dim), _unpacked(r.high, dim)
+                    continue
                 ids, q, least = np.frombuffer(r.q_ids, np.int64), _unpacked(r.q, dim), np.asarray(r.least, np.int64)
-                kept, _ = search_group(
-                    ids, q, least, np.frombuffer(r.ids, np.int64), _unpacked(r.data, dim), _unpacked(r.low, dim), _unpacked(r.high, dim), k
-                )
+                kept, _ = search_group(ids, q, least, *group, k)
                 yield pd.DataFrame({
                     "query_id": np.repeat(ids, [len(x[0]) for x in kept]),
                     "vec_id": np.concatenate([x[0] for x in kept]), "score": np.concatenate([x[1] for x in kept]),
@@ -203,11 +205,16 @@ def _candidates(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFr
                     rows.append((r.b, r.g))
             yield pd.DataFrame(rows, columns=["b", "g"])
 
-    # bounds alone say which groups a batch needs; only those are joined with their vectors
+    # bounds alone say which groups a batch needs; a group then goes to one task, once, and its batches of queries pass by
     needed = everywhere(asked.select("b", "q", "least")).join(groups.select("slot", "g", "low", "high"), "slot").select("b", "q", "least", "g", "low", "high")
     needed = written(needed.mapInPandas(reached, "b long, g long"), "vector-needed")
-    pairs = needed.join(asked, "b").join(groups.drop("slot"), "g")
-    return pairs.mapInPandas(search, "query_id long, vec_id long, score long")
+    none = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
+    own = groups.join(needed.select("g").distinct(), "g", "left_semi").select(
+        "g", F.lit(-1).cast("long").alias("b"), "ids", "data", "low", "high", *none("binary", "q_ids", "q"), *none("array<long>", "least")
+    )
+    passing = needed.join(asked, "b").select("g", "b", *none("binary", "ids", "data", "low", "high"), "q_ids", "q", "least")
+    every = own.unionByName(passing).repartition("g").sortWithinPartitions("g", "b")
+    return every.mapInPandas(search, "query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
