@@ -302,8 +302,9 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     hub = F.col("da") >= F.col("db")
     both = both.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("node"), F.greatest("da", "db").alias("d"))
     both = written(both.withColumn("salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("d") / SPOKES).cast("long"))).drop("d"), "dedup-hubs")
-    spokes = both.join(texts, "node").select("hub", "salt", "node", "text")
-    hubs = both.select("hub", "salt").distinct().join(texts.withColumnRenamed("node", "hub"), "hub").select("hub", "salt", F.lit(-1).cast("long").alias("node"), "text")
+    # joins with texts merge, whatever the size of the other side, so that what is shuffled grows with the input alone
+    spokes = both.hint("merge").join(texts, "node").select("hub", "salt", "node", "text")
+    hubs = both.select("hub", "salt").distinct().hint("merge").join(texts.withColumnRenamed("node", "hub"), "hub").select("hub", "salt", F.lit(-1).cast("long").alias("node"), "text")
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = np.empty(0, np.uint64)
@@ -340,7 +341,7 @@ def _components_of(rows: DataFrame, percent: int, least: float) -> tuple[DataFra
     deleted(met)
     full = members.join(own, "node").withColumns({"part": F.col("node"), "i": F.col("block"), "j": F.col("block")})
     trees = written(_by_group(full, lambda g: _tree(g, percent, least), "key long, a long, b long"), "dedup-trees")
-    texts = written(rows.select(F.col("place").alias("node"), "text").join(members.select("node").distinct(), "node"), "dedup-texts")
+    texts = written(rows.select(F.col("place").alias("node"), "text").join(members.select("node").distinct().hint("merge"), "node"), "dedup-texts")
     links = verified(trees.select("a", "b").distinct(), texts, percent)
     # where an edge failed and more than its two ends meet, or in several blocks, other pairs may still link the parts
     parts = connected_components(links).select(F.col("node").alias("w"), "root")
@@ -352,7 +353,7 @@ def _components_of(rows: DataFrame, percent: int, least: float) -> tuple[DataFra
     again = again.withColumns({"i": F.least("block", "y"), "j": F.greatest("block", "y")}).join(own, "node")
     schema = "key long, i int, j int, node long, part long, block int, band int"
     needed = written(_by_group(again, lambda g: _needed(g, percent, least), schema), "dedup-needed")
-    again = needed.join(own, "node").join(texts, "node")
+    again = needed.hint("merge").join(own, "node").hint("merge").join(texts, "node")
     more = written(_by_group(again, lambda g: _joined(g, percent, least), "a long, b long"), "dedup-more")
     roots = connected_components(links.unionByName(more.distinct()))
     named = classes.join(roots.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left").withColumn("root", F.coalesce("root", "node"))
