@@ -10,6 +10,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from shelfwise.sources.schemas import INDEX_RUNS, VARIANT, VARIANT_CHANGES, VARIANT_STATE
 
@@ -49,6 +50,17 @@ class NamedTables:
         spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:state) ({VARIANT_STATE}) USING parquet CLUSTERED BY (id) SORTED BY (id) INTO {int(self.buckets)} BUCKETS", args=args)
         spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:log) ({VARIANT_CHANGES}) USING parquet PARTITIONED BY (batch_run_id)", args=args)
         spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:runs) ({INDEX_RUNS}) USING parquet", args=args)
+        for name, schema in ((self.state, VARIANT_STATE), (self.runs, INDEX_RUNS)):
+            add_missing(spark, name, schema)
+
+
+def add_missing(spark: SparkSession, name: str, schema: str) -> list[str]:
+    """Adds the columns of schema that a table of an earlier release lacks; its rows have null there."""
+    known = {c.lower() for c in spark.table(table_name(name)).columns}
+    missing = [f for f in StructType.fromDDL(schema) if f.name.lower() not in known]
+    if missing:
+        spark.sql(f"ALTER TABLE IDENTIFIER(:t) ADD COLUMNS ({', '.join(f'{f.name} {f.dataType.simpleString()}' for f in missing)})", args={"t": table_name(name)})
+    return [f.name for f in missing]
 
 
 _COLUMNS = ", ".join(VARIANT[1:])

@@ -39,7 +39,7 @@ def run(spark, function, values):
         (urls.is_web_address, ["ftp://x", "HTTPS://x", "https://", " http://x ", None], [False, True, False, True, False]),
         (urls.quoted, ["a b/c?"], ["a%20b%2Fc%3F"]),
         (lambda c: urls.crawl_link(c, F.lit("https://h.example/p/q")), ["#a", "mailto:x", "/a/?q", "b", "//o.example/x/", "HTTPS://z/", "../c", "../../../d", "./e/../f", "", "?x", " g"],
-         [None, None, "https://h.example/a", "https://h.example/p/b", "https://o.example/x", "HTTPS://z", "https://h.example/c", "https://h.example/d", "https://h.example/p/f", None, "https://h.example/p/q", "https://h.example/p/g"]),
+         [None, None, "https://h.example/a", "https://h.example/p/b", "https://o.example/x", "https://z", "https://h.example/c", "https://h.example/d", "https://h.example/p/f", None, "https://h.example/p/q", "https://h.example/p/g"]),
         (urls.is_asset, ["http://a/b.PNG?x", "http://a/b", "http://a.css/"], [True, False, False]),
         (lambda c: urls.in_section(c, "a", "/all/"), ["http://a/all/x", "http://a/x", "http://b/all/x"], [True, False, False]),
         (urls.sitemap_products, ["<loc>h/product/a</loc><loc>h/about</loc>"], [["h/product/a"]]),

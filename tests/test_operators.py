@@ -50,7 +50,7 @@ def test_run_publishes_log_then_state(spark, tmp_path):
         ("2024-01-01T00:00:00Z", "UPSERT", "a"), ("2024-01-01T00:00:00Z", "UPSERT", "b"),
         ("2024-01-01T00:00:01Z", "DELETE", "a"), ("2024-01-01T00:00:01Z", "UPSERT", "b"),
     ]
-    assert rows(combine.VersionedTable(spark, state).read(VARIANT_STATE), "id", "title") == [("b", "3")]
+    assert rows(combine.BucketedTable(spark, state, "id", 64).read(VARIANT_STATE), "id", "title") == [("b", "3")]
     with pytest.raises(Exception, match="already exists"):
         cdc.run(spark, variants(spark, []), state, log, day)
 
