@@ -54,6 +54,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document, and its source's size and target."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -65,6 +66,7 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near-duplicates of each document, and whether it is the one that stays."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
@@ -73,10 +75,12 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of all pages, with their hosts' trust and distrust."""
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages and its length."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract_main_text(pages).select("page_id", "url", "text", html_text.n_chars(F.col("text")).alias("n_chars"))
 

@@ -7,11 +7,13 @@ trust by the threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.workspace import deleted, written
 
+#: Rules up to this many are one expression; more are joined by host suffix and start of path.
+MOST_LITERAL = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -26,13 +28,11 @@ def path_of(url: Column) -> Column:
 
 
 def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
-    """Struct of the longest rule that fits and its verdict, or null. rules: (verdict, host/path), at most 1000.
+    """Struct of the longest rule that fits and its verdict, or null, as an expression of rules: (verdict, host/path).
 
     A rule fits its host and all subdomains where the path starts with the rule's. Of rules as long as each other the
     first given wins.
     """
-    if len(rules) > 1000:
-        raise ValueError("at most 1000 rules; join larger lists by host suffix")
     out = None
     for verdict, rule in sorted(rules, key=lambda r: -len(r[1])):
         name, _, rest = rule.partition("/")
@@ -42,6 +42,37 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> C
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
+def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
+    """verdict, rule and place (in the list) of each rule, for ruled()."""
+    return spark.createDataFrame([(v, r, i) for i, (v, r) in enumerate(rules)], "verdict string, rule string, place long")
+
+
+def ruled(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """rows (with host and path) with r, as matching_rule() gives it, for any number of rules (verdict, rule, place).
+
+    A host learns which of its suffixes have rules and how long their paths are; each different url then looks up the starts
+    of its path of these lengths by a hash join. Rules aren't broadcast by hint, and a url makes a row for each suffix and
+    length, not for each rule. Null verdicts or rules are none; a rule that is given twice counts as first given.
+    """
+    slash = F.expr("locate('/', rule)")
+    name = F.when(slash > 0, F.expr("substring(rule, 1, locate('/', rule) - 1)")).otherwise(F.col("rule"))
+    start = F.when(slash > 0, F.expr("substring(rule, locate('/', rule))")).otherwise(F.lit("/"))
+    first = F.min(F.struct("place", "verdict")).alias("first")
+    known = rules.where("rule is not null and verdict is not null").groupBy("rule").agg(first)
+    known = known.select(name.alias("name"), start.alias("start"), "rule", F.col("first.verdict").alias("verdict"), F.col("first.place").alias("place"))
+    lengths = known.groupBy("name").agg(F.collect_set(F.length("start")).alias("lengths"))
+    labels = F.split("host", "[.]", -1)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hosts = rows.select("host").distinct().select("host", F.explode(suffixes).alias("name"))
+    hosts = hosts.join(lengths, "name").select("host", "name", F.explode("lengths").alias("length"))
+    urls = rows.select("host", "path").distinct().join(hosts, "host").where(F.col("length") <= F.length("path"))
+    urls = urls.select("host", "path", "name", F.expr("substring(path, 1, length)").alias("start"))
+    found = urls.join(known, ["name", "start"])
+    longest = F.max(F.struct(F.length("rule").alias("n"), (-F.col("place")).alias("p"), "rule", "verdict")).alias("m")
+    best = found.groupBy("host", "path").agg(longest).select("host", "path", F.struct("m.rule", "m.verdict").alias("r"))
+    return rows.join(best, ["host", "path"], "left")
+
+
 def host_links(pages: DataFrame) -> DataFrame:
     """Edges src, dst, n from the absolute links of each page's html to other hosts; n counts links."""
     href = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]+)"""
@@ -83,7 +114,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float, tolerance: flo
 
 def filter_urls(
     pages: DataFrame,
-    rules: list[tuple[str, str]],
+    rules: list[tuple[str, str]] | DataFrame,
     damping: float = 0.85,
     tolerance: float = 1e-6,
     threshold: float = 0.5,
@@ -91,7 +122,7 @@ def filter_urls(
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, trust and distrust of every page (columns page_id, url, html).
 
-    Seeds: the share of a host's pages that rules allow (trust) or block (distrust). trust is personalised PageRank over
+    rules: a list of (verdict, host/path), or a table of any size with verdict, rule and place. Seeds: the share of a host's pages that rules allow (trust) or block (distrust). trust is personalised PageRank over
     links, an edge weighing its share of its source's links; distrust is personalised PageRank over the reversed links, an
     edge weighing its share of the links to its target. Both are times the sum of seeds, so that a threshold doesn't
     depend on how many there are. A host is blocked where (distrust - trust) / (1 - damping) reaches the threshold: a host
@@ -100,9 +131,12 @@ def filter_urls(
     allowed with trust and distrust 0. Null html has no links. Repeated rows are judged one by one and count in the
     shares. Other columns of pages are ignored.
     """
-    judged = pages.select("page_id", "html", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    judged = judged.withColumn("r", matching_rule(F.col("host"), F.col("path"), rules))
-    links = written(host_links(judged), "host-links")
+    judged = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    if isinstance(rules, list) and len(rules) <= MOST_LITERAL:
+        judged = judged.withColumn("r", matching_rule(F.col("host"), F.col("path"), rules))
+    else:
+        judged = written(ruled(judged, rules if isinstance(rules, DataFrame) else rule_table(pages.sparkSession, rules)), "ruled-urls")
+    links = written(host_links(pages.select("html", host_of(F.col("url")).alias("host"))), "host-links")
     share = lambda v: F.avg((F.coalesce(F.col("r.verdict"), F.lit("")) == v).cast("double"))
     hosts = judged.where("host <> ''").groupBy("host").agg(share("allow").alias("t"), share("block").alias("d"))
     seeds = hosts.select("host", F.explode(F.create_map(F.lit("trust"), F.col("t"), F.lit("distrust"), F.col("d"))).alias("kind", "seed"))
@@ -119,7 +153,7 @@ def filter_urls(
         F.coalesce(F.max(F.when(F.col("kind") == "trust", F.col("score"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.max(F.when(F.col("kind") == "distrust", F.col("score"))), F.lit(0.0)).alias("distrust"),
     )
-    out = judged.drop("html").join(scores, "host", "left")
+    out = judged.join(scores, "host", "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     by_host = F.when((distrust - trust) / F.lit(1 - damping) >= F.lit(threshold), F.lit("block")).otherwise(F.lit("allow"))
     return out.select(

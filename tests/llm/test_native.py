@@ -80,6 +80,38 @@ def test_rules(spark, url, host, path, rule, verdict):
     assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict)
 
 
+def brute_rule(host, path, rules):
+    best = None
+    for verdict, rule in rules:
+        name, _, rest = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + rest) and (best is None or len(rule) > len(best[0])):
+            best = (rule, verdict)
+    return best
+
+
+@pytest.mark.parametrize("n", [40, 3000])
+def test_rules_join_for_any_number(spark, n):
+    """The join by suffix and start of path, which lists over MOST_LITERAL take, against plain Python; alike for short lists."""
+    rng = random.Random(n)
+    label = lambda: rng.choice(["a", "b", "www", "é", "x.", ""])
+    host = lambda: ".".join([*(label() for _ in range(rng.randrange(3))), rng.choice(["com", "net", "org"])])
+    path = lambda: "/".join(rng.choice(["e", "en", "é", "", "x y"]) for _ in range(rng.randrange(4)))
+    rules = [(rng.choice(["allow", "block"]), rng.choice([f"{host()}/{path()}", host()])) for _ in range(n)]
+    rules += [(v, f"h{i}.org/p/{i}") for i, (v, _) in enumerate(rules)]
+    urls = [(i, rng.choice([f"http://{host()}/{path()}", f"http://{host()}", f"x://s.h{i}.org/p/{i}{path()}", None])) for i in range(300)] * 2
+    pages = spark.createDataFrame([(*u, None) for u in urls], "page_id long, url string, html string")
+    rows = pages.select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
+    joined = url_filter.ruled(rows, url_filter.rule_table(spark, rules))
+    found = joined.collect()
+    assert len(found) == len(urls) and sum(r.r is not None for r in found) > 100
+    assert all((tuple(r.r) if r.r else None) == brute_rule(r.host, r.path, rules) for r in found)
+    whole = url_filter.filter_urls(pages, rules).collect()
+    assert sorted((r.page_id, r.rule or "") for r in whole) == sorted((r.page_id, r.r.rule if r.r else "") for r in found)
+    assert not plan_has_python(joined)
+    assert url_filter.ruled(rows, url_filter.rule_table(spark, [])).where("r is not null").count() == 0
+    assert url_filter.ruled(rows.limit(0), url_filter.rule_table(spark, rules)).count() == 0
+
+
 def brute_ranks(seeds, edges, a):
     score = {h: (1 - a) * s for h, s in seeds.items()}
     for _ in range(300):
