@@ -6,27 +6,34 @@ docs. All but the last return the columns that they were given.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import decontamination, language_id, mixing, near_dedup, token_files
 from shelfwise.llm.queries import tokenizer_path
 from shelfwise.llm.workspace import deleted, written
 
-#: Texts nearer than this to no language's profile are in none: clean texts score 0.35 and more.
-LEAST_SCORE = 0.25
+log = logging.getLogger(__name__)
 
+#: The languages to keep; None: all that the labelled documents teach.
+LANGUAGES: frozenset[str] | None = None
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without letters or like none of the profiles go."""
-    model = language_id.learn(docs)
-    if not model:
-        return docs.limit(0)
-    got = language_id.predictor(model)(F.col("text"))
-    names = docs.columns
-    return docs.withColumn("__lang", got).where((F.col("__lang.lang_pred") != "und") & (F.col("__lang.score") >= LEAST_SCORE)).select(*names)
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str, rejected: Observation | None = None) -> DataFrame:
+    """Documents whose predicted language is one of LANGUAGES; those of others and those without a letter go.
+
+    No score decides: a text is of the language that it is nearest to, however far that is. Where nothing is labelled no
+    language is known, and all go. `rejected` counts what goes, as no_letter and other_language, while the result is made.
+    """
+    got = language_id.identify_as(docs, language_id.learn(docs), "__lang")
+    lang = F.col("__lang.lang_pred")
+    wanted = lang != "und" if LANGUAGES is None else lang.isin(sorted(LANGUAGES))
+    if rejected is not None:
+        got = got.observe(rejected, F.count_if(lang == "und").alias("no_letter"), F.count_if((lang != "und") & ~wanted).alias("other_language"))
+    return got.where(wanted).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,10 +70,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's result over documents in sf_dir."""
+    """The last stage's result over documents in sf_dir. What the first stage rejects is logged by reason."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    rejected = Observation("rejected")
     for i, (name, stage) in enumerate(STAGES[:-1]):
-        before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{name}")
+        options = {} if i else {"rejected": rejected}
+        before, docs = docs, written(stage(spark, docs, sf_dir, **options), f"stage-{name}")
         if i:
             deleted(before)
+        else:
+            log.info("%s rejects %s", name, rejected.get)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -120,6 +120,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
 
 
+def identify_as(docs: DataFrame, model: list[tuple[str, list[int]]], name: str, text_col: str = "text") -> DataFrame:
+    """docs with a column of that name: the struct of lang_pred and score. See identify()."""
+    small_batches(docs.sparkSession)
+    return docs.withColumn(name, predictor(model)(F.col(text_col)))
+
+
 def identify(docs: DataFrame, model: list[tuple[str, list[int]]], text_col: str = "text") -> DataFrame:
     """docs with lang_pred and score (which replace columns of those names).
 
@@ -127,6 +133,5 @@ def identify(docs: DataFrame, model: list[tuple[str, list[int]]], text_col: str
     `und` and 0, as do all texts under an empty model. Of equally near languages the first in code point order wins. The
     whole text counts, however long. Rows are independent of each other.
     """
-    small_batches(docs.sparkSession)
-    got = predictor(model)(F.col(text_col))
-    return docs.withColumn("__lang", got).withColumns({"lang_pred": F.col("__lang.lang_pred"), "score": F.col("__lang.score")}).drop("__lang")
+    got = identify_as(docs, model, "__lang", text_col)
+    return got.withColumns({"lang_pred": F.col("__lang.lang_pred"), "score": F.col("__lang.score")}).drop("__lang")

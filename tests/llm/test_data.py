@@ -3,12 +3,15 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from conftest_helpers import table
 from oracle import assert_same, connect
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from test_text import brute_groups
 
 import corpus_pipeline
 from shelfwise.llm import decontamination, mixing, queries, rans, token_files, vector_topk
@@ -202,29 +205,58 @@ def test_token_files_match_the_tokenizer(spark, tmp_path):
 
 
 def test_pipeline(spark):
+    """Each stage on what the one before kept, against plain Python over the same rows."""
     docs = table(spark, SF2, "documents")
-    extra = spark.createDataFrame([(10**6, "12 34 !!", "en", "src0", 8), (10**6 + 1, None, None, None, None)], docs.schema)
-    start = docs.unionByName(extra)
-    names, now, kept = [], written(start, "t"), {}
+    extra = [(10**6, "12 34 !!", "en", "src0", 8), (10**6 + 1, None, None, None, None), (10**6 + 2, "ქართული ენა", None, "src0", 11)]
+    now, kept = written(docs.unionByName(spark.createDataFrame(extra, docs.schema)), "t"), {}
     for name, stage in corpus_pipeline.STAGES:
         now = written(stage(spark, now, SF2), "t")
-        names.append(name)
-        kept[name] = now
+        kept[name] = now.collect()
         if name != "token_output":
             assert now.columns == docs.columns
-    lang, near, clean, mix, out = (kept[n] for n in names)
-    assert lang.count() == docs.count()  # the two without letters go, clean ones stay
-    groups = {r.doc_id for r in queries.op7_near_dedup(spark, SF2).collect() if r.kept}
-    assert {r.doc_id for r in near.collect()} == groups
-    bad = {r.doc_id for r in queries.op3_decontamination(spark, SF2).collect()}
-    assert {r.doc_id for r in clean.collect()} == groups - bad and bad & groups
-    mixed = mixing.mix_sources(clean)
-    assert mix.count() == mixed.agg(F.sum("repeats")).first()[0]
-    texts = {r.doc_id: r.text for r in mix.collect()}
-    ids = dict(zip(texts, brute_ids(list(texts.values())), strict=True))
-    got = out.orderBy("start").collect()
-    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in mix.collect())
-    assert all((r.n_tokens, r.ids_crc32) == (len(ids[r.doc_id]), zlib.crc32(np.array(ids[r.doc_id], "<u4").tobytes())) for r in got)
+    rows = sorted((r.doc_id, r.text) for r in [*docs.collect(), *(r for r in docs.sparkSession.createDataFrame(extra, docs.schema).collect() if r.text)])
+    rows = [(d, t) for d, t in rows if any(map(str.isalpha, t or ""))]
+    assert sorted(r.doc_id for r in kept["language_id"]) == [d for d, _ in rows] and rows[-1][0] == 10**6 + 2
+    rows = [(d, t) for (d, t), (_, _, least) in zip(rows, brute_groups(rows), strict=True) if d == least]
+    assert sorted(r.doc_id for r in kept["near_dedup"]) == [d for d, _ in rows] and len(rows) < len(kept["language_id"])
+    words = lambda t: " ".join("".join(c if c.isalnum() else " " for c in (t or "").lower()).split())
+    items = [words(r.text) for r in table(spark, SF2, "benchmark").collect()]
+    rows = {d: t for d, t in rows if not any(f" {x} " in f" {words(t)} " for x in items)}
+    assert {r.doc_id for r in kept["decontamination"]} == set(rows) and len(rows) < len(kept["near_dedup"])
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    repeats = Counter(r.doc_id for r in kept["source_mixing"])
+    wholes, taken = {}, Counter()
+    for r in kept["decontamination"]:
+        wholes.setdefault(r.source, []).append(size(r.text))
+    want = brute_targets({s: sum(z) for s, z in wholes.items()})
+    for r in kept["source_mixing"]:
+        assert r.text == rows[r.doc_id]
+        taken[r.source] += size(r.text)
+    for s, z in wholes.items():  # whole passes, and the best sum of some documents once more
+        passes = int((want[s] + 1e-6) // sum(z))
+        assert taken[s] == passes * sum(z) + best_sum(np.array(z), np.ones(len(z), int), round(want[s]) - passes * sum(z))
+    assert max(repeats.values()) <= 3
+    mixed = sorted((r.doc_id, r.text) for r in kept["source_mixing"])
+    start = 0
+    for (d, t), ids, r in zip(mixed, brute_ids([t for _, t in mixed]), sorted(kept["token_output"], key=lambda r: r.start), strict=True):
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
+def test_pipeline_languages(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(1, "the cat sat on the mat", "en", 1), (2, "der Hund und die Katze", "de", 2), (3, "the dog", None, 3), (4, "7", "en", 4), (5, None, "de", 5), (None, "und der", None, 6)],
+        "doc_id long, text string, lang string, `a.b` int",
+    )
+    for wanted, want, gone in ((None, [1, 2, 3, 6], (2, 0)), (frozenset(["en"]), [1, 3], (2, 2)), (frozenset(), [], (2, 4))):
+        monkeypatch.setattr(corpus_pipeline, "LANGUAGES", wanted)
+        counts = Observation("t")
+        got = corpus_pipeline.identify_language(spark, docs, SF, counts)
+        assert got.columns == docs.columns
+        assert sorted(r["a.b"] for r in got.collect()) == want
+        assert (counts.get["no_letter"], counts.get["other_language"]) == gone
+    assert corpus_pipeline.identify_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), SF).count() == 0
+    assert corpus_pipeline.identify_language(spark, docs.limit(0), SF).count() == 0
 
 
 def test_results_do_not_depend_on_how_files_are_cut(spark, tmp_path):
