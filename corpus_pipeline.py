@@ -18,7 +18,7 @@ from shelfwise.llm.workspace import deleted, written
 
 log = logging.getLogger(__name__)
 
-#: The languages to keep; None: all that the labelled documents teach.
+#: The languages to keep, at least one; None: all that the labelled documents teach.
 LANGUAGES: frozenset[str] | None = None
 
 

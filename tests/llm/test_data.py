@@ -248,7 +248,7 @@ def test_pipeline_languages(spark, monkeypatch):
         [(1, "the cat sat on the mat", "en", 1), (2, "der Hund und die Katze", "de", 2), (3, "the dog", None, 3), (4, "7", "en", 4), (5, None, "de", 5), (None, "und der", None, 6)],
         "doc_id long, text string, lang string, `a.b` int",
     )
-    for wanted, want, gone in ((None, [1, 2, 3, 6], (2, 0)), (frozenset(["en"]), [1, 3], (2, 2)), (frozenset(), [], (2, 4))):
+    for wanted, want, gone in ((None, [1, 2, 3, 6], (2, 0)), (frozenset(["en"]), [1, 3], (2, 2)), (frozenset(["xx"]), [], (2, 4))):
         monkeypatch.setattr(corpus_pipeline, "LANGUAGES", wanted)
         counts = Observation("t")
         got = corpus_pipeline.identify_language(spark, docs, SF, counts)
@@ -256,7 +256,9 @@ def test_pipeline_languages(spark, monkeypatch):
         assert sorted(r["a.b"] for r in got.collect()) == want
         assert (counts.get["no_letter"], counts.get["other_language"]) == gone
     assert corpus_pipeline.identify_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), SF).count() == 0
-    assert corpus_pipeline.identify_language(spark, docs.limit(0), SF).count() == 0
+    counts = Observation("empty")
+    assert corpus_pipeline.identify_language(spark, written(docs.limit(0), "t"), SF, counts).collect() == []
+    assert counts.get == {"no_letter": 0, "other_language": 0}
 
 
 def test_results_do_not_depend_on_how_files_are_cut(spark, tmp_path):
