@@ -41,6 +41,9 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _KIND = np.uint64(7)
 #: Bits of the sieve of the items' windows, which every task gets: 8 MB, however many items there are.
 SIEVE_BITS = 26
+#: Windows of more items than this are not joined one by one with documents but in pairs that span a run.
+COMMON = 16
+
 
 def token(word: str) -> tuple[int, str]:
     """(code, slot value or the word) of a white-space token: 0 for none, else a hash.
@@ -291,6 +294,43 @@ def _hits(width: int, short: list[int], reach: int, sieve: np.ndarray) -> Callab
     return find
 
 
+def _matches(found: DataFrame, windows: DataFrame, width: int, run: int) -> DataFrame:
+    """Windows of documents beside those of items with their hash: all that a run of enough tokens can be made of.
+
+    A hash of up to COMMON items joins each of its windows. One of more items would give a row for each document and item
+    that hold it, whether or not they share a run. A run that no rarer window is in spans two such windows, whose distance is
+    what a run needs beyond one window, or up to width - 1 more; or it holds one with placeholders beside it. So pairs of
+    common windows at such a distance are joined, by both hashes and the distance, and name the diagonals (document, item, shift)
+    that may hold a run; these, and those of rarer windows, then take in the common windows along them. What is joined grows
+    with the diagonals that share a span of a run's length.
+    """
+    windows = windows.withColumnsRenamed({c: f"item_{c}" for c in ("slots", "before", "after")})
+    common = windows.groupBy("h").agg(F.count_distinct("item").alias("items")).where(F.col("items") > COMMON).select("h")
+    shift = (F.col("p") - F.col("q")).alias("shift")
+    needed = F.least(F.lit(run), F.col("n")) - F.least(F.lit(width), F.col("n"))  # places between the ends of a run's windows
+    spread = windows.where(needed > 0).join(common, "h", "left_semi")
+    if spread.isEmpty():
+        return found.join(windows, "h").withColumn("shift", shift)
+    found, spread = written(found, "item-hits"), written(spread, "item-common")
+    rare = windows.join(spread.select("h", "item").distinct(), ["h", "item"], "left_anti")
+    one_by_one = found.join(rare, "h").withColumn("shift", shift)
+
+    places = spread.select("item", "n", "q", "h").distinct()
+    ends = places.select("item", F.col("q").alias("end"), F.col("h").alias("end_h"))
+    starts = places.withColumn("d", F.explode(F.sequence(needed, needed + width - 1))).withColumn("end", F.col("q") + F.col("d"))
+    spans = starts.join(ends, ["item", "end"]).select("item", "n", "q", "h", "d", "end_h")
+    hits = found.select("place", "p", "h").join(spread.select("h").distinct(), "h", "left_semi")
+    after = hits.select("place", F.col("p").alias("end"), F.col("h").alias("end_h"))
+    reached = hits.withColumn("d", F.explode(F.sequence(F.lit(1), F.lit(run - 1)))).withColumn("end", F.col("p") + F.col("d"))
+    diagonal = ("place", "item", "n", shift)
+    by_pair = reached.join(after, ["place", "end"]).join(spans, ["h", "d", "end_h"]).select(*diagonal)
+    beside_ = lambda a, b: F.size(a) + F.size(b) > 0
+    by_slots = found.where(beside_("before", "after")).join(spread.where(beside_("item_before", "item_after")), "h").select(*diagonal)
+    diagonals = one_by_one.select("place", "item", "n", "shift").unionByName(by_pair).unionByName(by_slots).distinct()
+    along = diagonals.join(spread, ["item", "n"]).withColumn("p", F.col("q") + F.col("shift")).join(found, ["place", "p", "h"])
+    return one_by_one.unionByName(along)
+
+
 def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12) -> DataFrame:
     """place, doc, item, tokens, changed: rows of docs (place, doc, text) that hold an item (item_id, text), one row a pair.
 
@@ -301,7 +341,8 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12)
     item_ids are no items, repeated rows are judged one by one, an item's repeated rows count once. Empty tables give an
     empty result. place tells rows apart, doc is text that is handed on.
 
-    A sieve of fixed size of the items' windows goes to every task; what passes is joined with the windows themselves.
+    A sieve of fixed size of the items' windows goes to every task; what passes is joined with the windows themselves. Windows
+    that many items hold name no pair of a document and an item alone: see _matches().
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -312,8 +353,7 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 8, run: int = 12)
     texts = docs.select("place", "doc", "text").where("text is not null")
     find = lambda batches: _hits(width, short, reach, sieve.value)(batches)
     found = texts.mapInPandas(find, f"place long, doc string, p long, h long, {_SLOTS}")
-    pairs = found.join(windows.withColumnsRenamed({c: f"item_{c}" for c in ("slots", "before", "after")}), "h")
-    runs = pairs.groupBy("place", "doc", "item", "n", (F.col("p") - F.col("q")).alias("shift")).agg(
+    runs = _matches(found, windows, width, run).groupBy("place", "doc", "item", "n", "shift").agg(
         F.collect_set(F.struct("q", "free", "item_slots", "slots", "item_before", "before", "item_after", "after")).alias("w")
     )
 

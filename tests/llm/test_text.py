@@ -221,6 +221,83 @@ def test_op3_finds_what_plain_search_does(spark):
     assert {(r.doc_id, r.item_id) for r in queries.op3_decontamination(spark, SF2).collect()} == want and want
 
 
+def holds(doc, item, width=8, run=12):
+    """Whether a document holds an item, by trying each shift and each run of places."""
+    (d, dv), (i, iv) = [(decontamination.codes([t])[0], decontamination.values(t)) for t in (doc, item)]
+    w, low = min(width, len(i)), decontamination.MEASURE
+    read = list(zip(decontamination.readings(d), decontamination.readings(i), strict=True)) if w else []
+    for shift in range(w - len(i), len(d) - w + 1):
+        at = {}
+        for q in range(max(0, -shift), min(len(i) - w, len(d) - w - shift) + 1):
+            p = q + shift
+            for k, (a, b) in enumerate(read):
+                x, y = a[p : p + w].tolist(), b[q : q + w].tolist()
+                if x != y or k < 2 and (w < 4 or max(y) <= low):
+                    continue
+                free = [j for j in range(w) if y[j] <= low]
+                for j in range(w):
+                    at.setdefault(q + j, None)
+                held = [q + j for j in free]
+                step = 1 if free == list(range(1, w)) else -1 if free == list(range(w - 1)) else 0
+                j = q + w if step == 1 else q - 1
+                while step and 0 <= j < len(i) and 0 <= j + shift < len(d) and b[j] <= low and a[j + shift] == b[j]:
+                    held.append(j)
+                    j += step
+                at |= {j: (iv[j], dv[j + shift]) for j in held}
+        for s in at:
+            slots, same, e = {}, 0, s
+            while e in at and (at[e] is None or slots.setdefault(*at[e]) == at[e][1]):
+                same += at[e] is None or at[e][0] == at[e][1]
+                e += 1
+                if e - s >= min(run, len(i)) and same >= min(width // 2, len(i)):
+                    return True
+    return False
+
+
+def templates(rng, count):
+    """Texts of a few passages that they share, with numbers, units, names and words drawn anew."""
+    passages = ["please answer the question that now follows with care", "one of A B C or D is right so choose", "NUM NUM NUM NUM NUM NUM NUM total NUM NUM NUM NUM NUM",
+                "NAME has NUM km of rope and NAME has NUM km more", "how many are left when NAME gives NUM of them to NAME", "NUM UNIT and NUM UNIT"]
+    draw = {"NUM": lambda: str(rng.randrange(2, 6)), "NAME": lambda: rng.choice(["Ann", "Bob", "Cy"]), "UNIT": lambda: rng.choice(["kg", "cm"])}
+    word = lambda: rng.choice("red blue green old new big small".split())
+    out = []
+    for _ in range(count):
+        parts = [" ".join(draw.get(x, lambda x=x: x)() for x in rng.choice(passages).split()) for _ in range(rng.randrange(1, 4))]
+        out.append(" ".join(f"{p} {' '.join(word() for _ in range(rng.randrange(4)))}" for p in parts).strip())
+    return out
+
+
+def test_op3_matches_brute_force(spark, monkeypatch):
+    rng = random.Random(3)
+    docs, items = list(enumerate(templates(rng, 150))), list(enumerate(templates(rng, 60)))
+    want = {(d, i) for d, t in docs for i, x in items if holds(t, x)}
+    assert 100 < len(want) < 6000
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = []
+    for common in (0, decontamination.COMMON, 10**9):  # all windows common, some, none
+        monkeypatch.setattr(decontamination, "COMMON", common)
+        rows.append(sorted(tuple(r) for r in decontamination.contaminated(docs, items).collect()))
+        assert {r[:2] for r in rows[-1]} == want
+    assert rows[0] == rows[1] == rows[2]
+
+
+def test_common_windows_name_no_pairs(spark):
+    """A window in all documents and 200 items, but one item in one document."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    own = lambda side, k: " ".join(f"{side}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}{x}" for x in words)
+    shared = " choose the one best answer to what is asked "  # nine tokens: two windows, and no run
+    items = [(k, own("q", k) + shared + own("r", k)) for k in range(200)]
+    docs = [(k, own("d", k) + shared + own("e", k)) for k in range(600)] + [(1000, "so " + items[7][1])]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert [tuple(r)[:2] for r in decontamination.contaminated(docs, items).collect()] == [(1000, 7)]
+    windows = decontamination._windows(items, 8).distinct()
+    sieve = decontamination._sieve(windows)
+    find = lambda batches: decontamination._hits(8, [], 0, sieve)(batches)
+    found = docs.selectExpr("doc_id as place", "cast(doc_id as string) as doc", "text").mapInPandas(find, f"place long, doc string, p long, h long, {decontamination._SLOTS}")
+    assert found.join(windows.select("h"), "h").count() > 200 * 600
+    assert decontamination._matches(found, windows, 8, 12).count() < 100
+
+
 def brute_groups(rows):
     sets = []
     for _, t in rows:
