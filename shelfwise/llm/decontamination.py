@@ -53,12 +53,16 @@ def token(word: str) -> tuple[int, str]:
     Punctuation around a word goes. Words with a first capital are names (at the start of sentences too, where the two
     can't be told apart; the slots then hold the words), words in capitals are lower-cased.
     """
-    word = STRIP.sub("", word)
-    low = word.lower()
-    if not low or not any(map(str.isalnum, low)):
-        return 0, ""
-    m = GLUED.fullmatch(low)
-    if low in NUMBER_WORDS or NUMBER.fullmatch(low):
+    word = word.rstrip(".,;:!?")
+    if word.isalpha():  # most words: the patterns leave them as they are
+        low, m = word.lower(), None
+    else:
+        word = STRIP.sub("", word)
+        low = word.lower()
+        if not low or not any(map(str.isalnum, low)):
+            return 0, ""
+        m = GLUED.fullmatch(low)
+    if low in NUMBER_WORDS or not low.isalpha() and NUMBER.fullmatch(low):
         kind = NUM
     elif m and m[1] in UNITS:
         kind = MEASURE
