@@ -80,7 +80,7 @@ def codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
     Words are remembered from one task of a Python worker to the next.
     """
-    got, starts = kept("templates", lambda: Words(_code, ascii_only=False)).numbers(texts)
+    got, starts = kept("templates", lambda: Words(_code, ascii_only=False, most=12 << 20)).numbers(texts)
     after = np.flatnonzero(got[:-1] & _KIND == NUM) + 1
     after = after[np.isin(got[after], _UNIT_CODES) & ~np.isin(after, starts)]
     got[after] |= np.uint64(UNIT)
@@ -105,7 +105,7 @@ def window_hashes(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray
     n = len(codes) - width + 1
     if n < 1:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    literal = np.concatenate(([0], np.cumsum(codes > MEASURE)))
+    literal = np.concatenate((np.zeros(1, np.int32), np.cumsum(codes > MEASURE, dtype=np.int32)))
     return _hashes(codes, np.s_[:n], width), literal[width:] - literal[:-width]
 
 
@@ -113,7 +113,8 @@ def _hashes(codes: np.ndarray, at: slice | np.ndarray, width: int) -> np.ndarray
     """Hashes of the windows at some places, or from the first to a last one."""
     out = np.zeros(len(codes[at]), np.uint64)
     for k in range(width):
-        out = (out ^ (codes[k : k + at.stop] if isinstance(at, slice) else codes[at + k])) * _P
+        out ^= codes[k : k + at.stop] if isinstance(at, slice) else codes[at + k]
+        out *= _P
         out ^= out >> np.uint64(29)
     return out
 
@@ -124,14 +125,17 @@ def keys(codes: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray
     Templates need a word in a window; below width 4 they are not read, as then only verbatim windows count.
     """
     template, named, words = readings(codes)
-    first, literal = window_hashes(template, width)
     second, also = window_hashes(named, width)
     if width >= 4:
+        first, literal = window_hashes(template, width)
         places = np.flatnonzero(literal > 0)
         yield template, places, first[places]
         places = np.flatnonzero((also > 0) & (second != first))
         yield named, places, second[places]
+        del first, literal
+    del template, named, second
     places = np.flatnonzero(also < (width if width >= 4 else width + 1))
+    del also
     yield words, places, _hashes(words, places, width)
 
 
@@ -274,7 +278,7 @@ def _hits(width: int, short: list[int], reach: int, sieve: np.ndarray) -> Callab
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, places, names, rows = list(batch["text"]), list(batch["place"]), list(batch["doc"]), []
-            for piece in pieces(texts):
+            for piece in pieces(texts, 2 << 20):
                 both, starts = codes([texts[i] for i in piece])
                 last, words = -1, []
                 at = []
