@@ -180,9 +180,9 @@ def option_shop(pages: DataFrame, at: Column) -> DataFrame:
 def page_links(
     pages: DataFrame, pattern: str = r'(?i)href="([^"]*)"', site: str | None = None, prefix: str = "/", assets: bool = True, positions: bool = False
 ) -> DataFrame:
-    """url, link: what a crawler would follow from each page, each link of a page once; with positions, pos of each among them.
+    """url, link: what a crawler would follow from each page; with positions, pos of each among those of its row.
 
-    With a site, only links on it whose path starts with prefix; without assets, no images, styles and the like.
+    Each link of a page once, also where several rows are of one page; with positions, once a row. With a site, only links on it whose path starts with prefix; without assets, no images, styles and the like.
     """
 
     def wanted(link: Column) -> Column:
@@ -191,7 +191,9 @@ def page_links(
         return keep if assets else keep & ~urls.is_asset(link)
 
     links = F.array_distinct(F.filter(F.transform(text.all_groups(F.col("html"), pattern), lambda x: urls.crawl_link(x, F.col("url"))), wanted))
-    return usable(pages).select("url", F.posexplode(links).alias("pos", "link") if positions else F.explode(links).alias("link"))
+    if positions:
+        return usable(pages).select("url", F.posexplode(links).alias("pos", "link"))
+    return usable(pages).select("url", F.explode(links).alias("link")).distinct()
 
 
 def is_product_page(html: Column) -> Column:

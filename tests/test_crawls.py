@@ -237,6 +237,13 @@ def test_links_resolve_as_browsers_do(spark):
     assert rows(page_links(pages, site="h.example", prefix="/a/", assets=False), "link") == [("https://h.example/a/q",)]
 
 
+def test_a_page_that_two_rows_hold_gives_each_link_once(spark):
+    pages = spark.createDataFrame([("https://h.example/a", '<a href="/x"><a href="/y"><a href="/x">'), ("https://h.example/a", '<a href="/y#f"><a href="/z">')], "url string, html string")
+    found = rows(page_links(pages), "link")
+    assert found == [("https://h.example/x",), ("https://h.example/y",), ("https://h.example/z",)]
+    assert rows(page_links(pages, positions=True), "pos", "link") == [(0, found[0][0]), (0, found[1][0]), (1, found[1][0]), (1, found[2][0])]
+
+
 def test_answer():
     answer = http.Answer(429, " a \n b ", {"Retry-After": "5", "Cookie": "x"})
     assert answer.known() == {"retry-after": "5"} and answer.snippet() == "a b"
