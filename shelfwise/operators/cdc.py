@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +31,19 @@ def deletes(new: DataFrame, old: DataFrame) -> DataFrame:
     return _identified(old).select("id").join(_identified(new).select("id"), "id", "left_anti")
 
 
-def change_log(new: DataFrame, old: DataFrame, batch_id: Column, batch_ts: Column, change_ts: Column) -> DataFrame:
-    """UPSERT rows with all columns and DELETE rows with the id alone: upserts() and deletes() by one join of both sides."""
-    after = _identified(new).select(*VARIANT, "row_hash").withColumn("__new", F.lit(True))
+def change_log(
+    new: DataFrame, old: DataFrame, batch_id: Column, batch_ts: Column, change_ts: Column, columns: Sequence[str] = VARIANT[1:]
+) -> DataFrame:
+    """UPSERT rows with all columns and DELETE rows with the id alone: upserts() and deletes() by one join of both sides.
+
+    `columns` are those of a variant, beside its id, that new must have; others are null in the log.
+    """
+    after = _identified(new).select("id", *columns, "row_hash").withColumn("__new", F.lit(True))
     before = _identified(old).select(F.col("id").alias("__id"), F.col("row_hash").alias("__hash"))
     both = after.join(before, F.col("id") == F.col("__id"), "full_outer")
     operation = F.when(F.col("__new").isNull(), "DELETE").when(F.col("__id").isNull() | (F.col("row_hash") != F.col("__hash")), "UPSERT")
     both = both.withColumn("operation", operation).where("operation is not null")
-    rest = [F.col(c) for c in (*VARIANT[1:], "row_hash")]
+    rest = [F.col(c) for c in (*columns, "row_hash")]
     log = both.select(
         batch_id.alias("batch_run_id"), batch_ts.alias("batch_run_ts"), "operation", F.coalesce("id", "__id").alias("id"), *rest, change_ts.alias("change_ts")
     )

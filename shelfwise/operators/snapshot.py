@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +56,17 @@ def variant_snapshot(content: DataFrame, shops: DataFrame, types: dict[str, str]
     return rows.select(*[cast(c).alias(c) for c in VARIANT])
 
 
-def hashed(snapshot: DataFrame) -> DataFrame:
-    """A snapshot in LOG_TYPES with row_hash over all but the ids, one row an id (of several the greatest hash)."""
+def hashed(snapshot: DataFrame, columns: Sequence[str] = VARIANT) -> DataFrame:
+    """A snapshot in LOG_TYPES with row_hash over all but the ids, one row an id (of several the greatest hash).
+
+    Only `columns` are kept beside id and row_hash, and only they move; the hash is over all in any case. Hashes move as bytes,
+    whose order is that of their text.
+    """
     rows = snapshot.select(*[F.col(c).cast(t).alias(c) for c, t in LOG_TYPES.items()])
-    rows = rows.withColumn("row_hash", identity.json_hash({c: F.col(c) for c in VARIANT[3:]}))
-    best = F.max_by(F.struct(*[F.col(c) for c in VARIANT[1:]]), F.col("row_hash")).alias("v")
-    return rows.groupBy("id").agg(best, F.max("row_hash").alias("row_hash")).select("id", "v.*", "row_hash")
+    digest = F.unhex(identity.json_hash({c: F.col(c) for c in VARIANT[3:]}))
+    kept = [c for c in VARIANT[1:] if c in columns]
+    rows = rows.select("id", F.struct(digest.alias("digest"), *[F.col(c) for c in kept]).alias("v")).groupBy("id").agg(F.max("v").alias("v"))
+    return rows.select("id", *[F.col(f"v.{c}") for c in kept], F.lower(F.hex("v.digest")).alias("row_hash"))
 
 
 def shop_variants(products: DataFrame, info: DataFrame, kinds: DataFrame) -> DataFrame:
