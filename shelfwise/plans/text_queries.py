@@ -58,6 +58,12 @@ _TABLE_PAGE = """<html><head><meta property="og:url" content="https://t.example/
 <input name="product_id" value="{i}"><input name="variation_id" value="2{i}"></tr></tbody></table></body></html>"""
 
 
+def _dealt_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts, dealt out to all tasks before pages are made of them: a small file is one task, and parsing its pages is long work."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return parts.repartition(4 * spark.sparkContext.defaultParallelism, "p_partkey", "p_name")
+
+
 def _filled(template: str):
     filled = F.replace(F.lit(template), F.lit("{i}"), F.col("p_partkey").cast("string"))
     return F.replace(filled, F.lit("{t}"), F.col("p_name"))
@@ -65,7 +71,7 @@ def _filled(template: str):
 
 def table_shop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages made from parts, parsed to rows of variants."""
-    pages = table(spark, sf_dir, "part").select(F.lit("https://t.example/product/x/").alias("url"), _filled(_TABLE_PAGE).alias("html"))
+    pages = _dealt_parts(spark, sf_dir).select(F.lit("https://t.example/product/x/").alias("url"), _filled(_TABLE_PAGE).alias("html"))
     rows = html_shops.table_shop(pages, F.lit("2024-01-01").cast("timestamp"))
     return rows.select("ProductId", "VariationId", "ProductName", "Sku", "ProductLink", "Description", "ManufacturerName", "DiscTypeName", "ColorName",
                        "PlasticName", "StockPrice", "Currency", "StockText", "AvailableStock", "IsOutOfStock", "Speed", "Glide", "Turn", "Fade")

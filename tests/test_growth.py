@@ -29,7 +29,7 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-COMPARED = ["cdc_full"]
+COMPARED = ["cdc_full", "cdc_upserts"]
 
 
 @pytest.mark.parametrize("name", COMPARED)
@@ -58,3 +58,8 @@ def test_hash_is_over_all_columns_whatever_is_kept(spark):
     assert rows(some) == rows(whole, "id", "title", "row_hash") and len({r[2] for r in rows(some)}) == 2
     one = [rows(snapshot.hashed(df.where(f"BodyHtml = '{b}'")), "row_hash")[0][0] for b in ("b1", "b2")]
     assert rows(some.where("id = 'a'"), "row_hash") == [(max(one),)]
+
+
+@pytest.mark.parametrize("name", ["table_shop_rows"])
+def test_pages_made_of_a_small_file_are_parsed_by_all_tasks(spark, name):
+    assert catalog.queries()[name](spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
