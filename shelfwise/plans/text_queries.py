@@ -85,7 +85,7 @@ _OPTION_PAGE = """<html><head><title>{t}</title><meta property="og:url" content=
 
 def option_shop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.concat(F.lit("https://o.example/all-flying-discs/big-maker/soft-plastic/disc-"), F.col("p_partkey").cast("string"))
-    pages = table(spark, sf_dir, "part").select(url.alias("url"), _filled(_OPTION_PAGE).alias("html"))
+    pages = _dealt_parts(spark, sf_dir).select(url.alias("url"), _filled(_OPTION_PAGE).alias("html"))
     rows = html_shops.option_shop(pages, F.lit("2024-01-01").cast("timestamp"))
     return rows.select("ProductId", "ProductName", "Sku", "ProductLink", "IsOutOfStock", "ListPrice", "ManufacturerName", "PlasticSlug", "PlasticName", "ProductSlug",
                        "CategoryPath", "CatalogWeightSummary", "VariantLabel", "VariantOptionId", "VariantOptionLabel", "VariantWeightGrams")

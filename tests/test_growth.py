@@ -60,6 +60,6 @@ def test_hash_is_over_all_columns_whatever_is_kept(spark):
     assert rows(some.where("id = 'a'"), "row_hash") == [(max(one),)]
 
 
-@pytest.mark.parametrize("name", ["table_shop_rows"])
+@pytest.mark.parametrize("name", ["table_shop_rows", "option_shop_rows"])
 def test_pages_made_of_a_small_file_are_parsed_by_all_tasks(spark, name):
     assert catalog.queries()[name](spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
