@@ -29,7 +29,7 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-COMPARED = ["cdc_full", "cdc_upserts", "merge_keep"]
+COMPARED = ["cdc_full", "cdc_upserts", "cdc_deletes", "merge_keep"]
 
 
 @pytest.mark.parametrize("name", COMPARED)
