@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import decontamination, language_id, mixing, near_dedup, token_files
 from shelfwise.llm.queries import tokenizer_path
-from shelfwise.llm.workspace import deleted, written
+from shelfwise.llm.workspace import deleted, recorded, written
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +75,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = Observation("rejected")
     for i, (name, stage) in enumerate(STAGES[:-1]):
         options = {} if i else {"rejected": rejected}
-        before, docs = docs, written(stage(spark, docs, sf_dir, **options), f"stage-{name}")
+        with recorded() as made:
+            before, docs = docs, written(stage(spark, docs, sf_dir, **options), f"stage-{name}")
+        deleted(*[table for table in made if table is not docs])  # the stage's own tables: copies of its texts among them
         if i:
             deleted(before)
         else:

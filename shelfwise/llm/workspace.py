@@ -5,12 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of a batch that goes to a Python worker: with its copies on both sides it stays far below an executor's memory.
 BATCH_BYTES = 4 << 20
+#: Lists of the tables that written() makes; see recorded().
+_recording: list[list[DataFrame]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,9 +39,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
+    for tables in _recording:
+        tables.append(out)
     return out
 
 
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The tables that written() makes within the block, so that they can be deleted once a result that was made of them is written."""
+    tables: list[DataFrame] = []
+    _recording.append(tables)
+    try:
+        yield tables
+    finally:
+        _recording.pop()
+
+
 def deleted(*tables: DataFrame) -> None:
     """Deletes tables of written() that nothing reads any more."""
     for table in tables:

@@ -276,3 +276,17 @@ def test_results_do_not_depend_on_how_files_are_cut(spark, tmp_path):
         found.append([sorted((r.doc_id, zlib.crc32((r.text or "").encode())) for r in df.collect()) for df in (near, clean, mixed)])
     spark.conf.unset("spark.sql.files.minPartitionNum")
     assert found[0] == found[1] and all(found[0])
+
+
+def test_tables_of_a_stage_go_once_its_result_is_written(spark, monkeypatch):
+    made = []
+
+    def doubled(spark, docs, sf_dir, **options):
+        made.append(written(docs.limit(5), "own"))
+        return made[-1].union(made[-1])
+
+    last = lambda spark, docs, sf_dir: docs
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", lambda spark, docs, sf_dir, rejected: doubled(spark, docs, sf_dir).observe(rejected, F.count(F.lit(1)).alias("n"))), ("b", doubled), ("c", last)])
+    assert corpus_pipeline.run(spark, SF).count() == 10
+    fs = spark._jvm.org.apache.hadoop.fs.Path(made[0].written_to).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert len(made) == 2 and not any(fs.exists(spark._jvm.org.apache.hadoop.fs.Path(t.written_to)) for t in made)
