@@ -43,6 +43,8 @@ _KIND = np.uint64(7)
 SIEVE_BITS = 26
 #: Windows of more items than this are not joined one by one with documents but in pairs that span a run.
 COMMON = 16
+#: Numbers of rows that are sent to every task at most (8 bytes each, with their table 16 to 32 MB).
+SENT = 1 << 20
 
 
 def token(word: str) -> tuple[int, str]:
@@ -390,7 +392,12 @@ def contaminated(docs: DataFrame, items: DataFrame, **options: int) -> DataFrame
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **options: int) -> DataFrame:
-    """docs without the rows that hold an item; the columns of docs, whatever their names."""
+    """docs without the rows that hold an item; the columns of docs, whatever their names.
+
+    Up to SENT numbers of rows that go are sent to every task, and no text moves; more of them are joined by a shuffle.
+    """
     rows = numbered(docs, "item-docs")
     found = find_items(rows.select("place", F.lit(None).cast("string").alias("doc"), "row.text"), items, **options)
-    return rows.join(found.select("place").distinct(), "place", "left_anti").select("row.*")
+    gone = written(found.select("place").distinct(), "item-places")
+    gone = F.broadcast(gone) if gone.count() <= SENT else gone.hint("merge")
+    return rows.join(gone, "place", "left_anti").select("row.*")

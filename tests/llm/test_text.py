@@ -459,3 +459,17 @@ def test_cut_can_be_turned_off(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text")
     cut = {tuple(r) for r in near_dedup.near_duplicates(docs).collect()}
     assert cut == {tuple(r) for r in near_dedup.near_duplicates(docs, least=-1.0).collect()}
+
+
+def test_no_text_moves_where_few_rows_hold_an_item(spark, monkeypatch):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    docs = spark.createDataFrame([(1, f"so {item} it goes"), (2, "nothing of the kind"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where a table's size isn't known
+    for most, joined in ((1 << 20, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(decontamination, "SENT", most)
+        left = decontamination.without_contaminated(docs, items)
+        assert joined in left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in left.collect()) == [2, 3]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
