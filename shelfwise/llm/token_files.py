@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfwise.llm.rans import Table
-from shelfwise.llm.words import Recent, kept
+from shelfwise.llm.words import kept
 from shelfwise.llm.workspace import new_path, small_batches
 
 MAGIC, HEADER = b"SWTK0001", struct.Struct("<8sIQQIIII")
@@ -39,13 +39,20 @@ PUNCTUATION = ".,;:!?%$*#&|()\""
 SEGMENTS = "file_no int, seg_no int, n_docs long, n_tokens long, first_token long, data binary"
 
 
+def gathered(pool: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of an array one after another."""
+    ends = np.cumsum(sizes)
+    return pool[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Tokens:
     """Texts to ids by the tokenizers library, each distinct word once while it is remembered.
 
     The tokenizer's pattern starts a new piece at every space before a character that isn't white, and pieces are encoded
     apart, so a text's ids are those of its parts at such spaces. Special tokens hold no space. New words are joined again
-    and encoded together; the ids are parted by the lengths in bytes of their tokens. Words are remembered within `most`
-    bytes a generation.
+    and encoded together; the ids are parted by the lengths in bytes of their tokens. Words are held in Arrow and their ids in
+    one array, so that no step but the tokenizer's goes word by word; beyond about `most` bytes of them only those of the
+    latest texts stay.
     """
 
     def __init__(self, path: str, most: int = 40 << 20) -> None:
@@ -59,36 +66,71 @@ class Tokens:
         self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # in a byte-level vocabulary a character stands for a byte
             self._bytes[i] = special.get(i, len(token))
-        self._recent: Recent = Recent({"": b""}, most)
-        self._tails: Recent = Recent({}, most // 8)
+        self._most = most
+        # words as they stand after a space, and their ids: those of word i end at ends[i]
+        self._known, self._pool, self._ends = pa.array([""], pa.large_string()), np.empty(0, self.dtype), np.zeros(1, np.int64)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        """Remembers words as they stand after a space. Punctuation after a letter or digit is a piece of its own."""
-        cut = [(w, c) for w in words if w and (c := w.rstrip(PUNCTUATION)) and (len(c) == len(w) or c[-1].isalnum())]
-        cores = dict.fromkeys(c for _, c in cut)
-        cores.update(dict.fromkeys(w for w in words if w and not (c := w.rstrip(PUNCTUATION)) or w and not c[-1].isalnum()))
-        known = self._recent.known
-        cores = [c for c in cores if c not in known]
-        for low in range(0, len(cores), 20_000):
-            part = cores[low : low + 20_000]
-            (ids,) = self._ids([" " + " ".join(part)])
-            ends = np.cumsum([len(w.encode("utf-8", "replace")) + 1 for w in part])
-            at = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1
-            if at[-1] != len(ids):
+    def _after_space(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each word as it stands after a space, one after another, and how many each has."""
+        ids, sizes = [], []
+        for low in range(0, len(words), 5_000):
+            part = words[low : low + 5_000]
+            (got,) = self._ids([" " + " ".join(part.to_pylist())])
+            ends, reached = np.cumsum(pc.binary_length(part).to_numpy() + 1), np.cumsum(self._bytes[got])
+            at = np.searchsorted(reached, ends) + 1
+            if at[-1] != len(got) or (reached[at - 1] != ends).any():
                 raise ValueError("the tokenizer isn't byte-level, or doesn't part words at spaces")
-            data, size = ids.tobytes(), self.dtype.itemsize
-            begin = 0
-            for word, end in zip(part, at.tolist(), strict=True):
-                self._recent.learn(word, data[begin * size : end * size])
-                begin = end
-        for tail in self._tails.missing(list(dict.fromkeys(w[len(c) :] for w, c in cut if len(c) < len(w)))):
-            self._tails.learn(tail, self._ids([tail])[0].tobytes())
-        for w, c in cut:
-            if len(c) < len(w):
-                self._recent.learn(w, known[c] + self._tails.known[w[len(c) :]])
+            ids.append(got)
+            sizes.append(np.diff(at, prepend=0))
+        return np.concatenate(ids or [self._pool[:0]]), np.concatenate(sizes or [self._ends[:0]])
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """The place of each of some distinct words among those that are known; new ones are known from here on."""
+        if self._known.nbytes + self._pool.nbytes + self._ends.nbytes > self._most:
+            kept = pc.unique(pc.index_in(words, self._known).drop_null()).to_numpy()
+            kept = np.concatenate(([0], kept[kept > 0]))  # the empty word stays first
+            sizes = np.diff(self._ends, prepend=0)
+            self._pool, self._known = gathered(self._pool, self._ends[kept] - sizes[kept], sizes[kept]), self._known.take(pa.array(kept))
+            self._ends = np.cumsum(sizes[kept])
+        found = pc.index_in(words, self._known)
+        new = words.filter(found.is_null())
+        if len(new):
+            ids, sizes = self._after_space(new)
+            self._ends = np.concatenate((self._ends, len(self._pool) + np.cumsum(sizes)))
+            self._pool, places = np.concatenate((self._pool, ids)), found.fill_null(-1).to_numpy().astype(np.int64)
+            places[places < 0] = len(self._known) + np.arange(len(new))
+            self._known = pa.concat_arrays([self._known, new])
+            return places
+        return found.to_numpy().astype(np.int64)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words as they stand after a space, one after another, and how many each has.
+
+        Punctuation after a letter or digit is a piece of its own: a word's ids are those of its core and of its tail.
+        """
+        cores = pc.utf8_rtrim(words, PUNCTUATION)
+        last = pc.utf8_slice_codeunits(cores, -1).dictionary_encode()
+        plain = np.array([c.isalnum() for c in last.dictionary.to_pylist()], bool)[last.indices.to_numpy()]
+        cores = pc.if_else(pa.array(plain), cores, words).dictionary_encode()
+        places = self._learn(cores.dictionary)[cores.indices.to_numpy()]
+        cut = pc.binary_length(words).to_numpy() - pc.binary_length(cores.dictionary).to_numpy()[cores.indices.to_numpy()]
+        tailed = np.flatnonzero(cut)
+        texts = [w[-n:] for w, n in zip(words.take(pa.array(tailed)).to_pylist(), cut[tailed].tolist(), strict=True)]
+        tails = {t: i for i, t in enumerate(dict.fromkeys(texts))}
+        encoded = self._ids(list(tails))
+        tail_sizes = np.array([len(x) for x in encoded], np.int64)
+        tail_begins = len(self._pool) + np.cumsum(tail_sizes) - tail_sizes
+        # two stretches of the pool a word: its core's and its tail's
+        begins, sizes = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
+        known = np.diff(self._ends, prepend=0)
+        sizes[:, 0] = known[places]
+        begins[:, 0] = self._ends[places] - sizes[:, 0]
+        kind = np.array([tails[t] for t in texts], np.int64)
+        begins[tailed, 1], sizes[tailed, 1] = tail_begins[kind], tail_sizes[kind]
+        return gathered(np.concatenate((self._pool, *encoded)), begins.ravel(), sizes.ravel()), sizes.sum(axis=1)
 
     def _whole(self, text: str) -> np.ndarray:
         """The ids of a text with white space that a split at spaces gets wrong; long ones in parts, cut before single spaces."""
@@ -107,17 +149,14 @@ class Tokens:
         odd = {i: t for i, t in enumerate(texts) if ODD.search(t)}
         lists = pc.split_pattern(pa.array([t if i not in odd else "" for i, t in enumerate(texts)], pa.large_string()), " ")
         starts, flat = lists.offsets.to_numpy(), lists.values.dictionary_encode()
-        words, at = flat.dictionary.to_pylist(), flat.indices.to_numpy()
-        self._learn(self._recent.missing(words))
+        words, at = flat.dictionary, flat.indices.to_numpy()
         # the ids of all words one after another, then of each place its word's, none for the first of a text
-        data = [self._recent.known[w] for w in words]
-        size = np.fromiter(map(len, data), np.int64, len(data)) // self.dtype.itemsize
-        ids, begin = np.frombuffer(b"".join(data), self.dtype), np.cumsum(size) - size
+        ids, size = self._words(words)
         n = size[at]
         n[starts[:-1]] = 0
-        ends = np.cumsum(n)
-        ids = ids[np.repeat(begin[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        heads = self._ids(["" if i in odd else words[at[s]] for i, s in enumerate(starts[:-1].tolist())])
+        ids, ends = gathered(ids, (np.cumsum(size) - size)[at], n), np.cumsum(n)
+        first = words.take(pa.array(at[starts[:-1]])).to_pylist()
+        heads = self._ids(["" if i in odd else w for i, w in enumerate(first)])
         for i, t in odd.items():
             heads[i] = self._whole(t)
         cuts = ends[starts[1:] - 1]
@@ -209,7 +248,7 @@ def write_token_files(
 
         end = np.array([end_id], tokens.dtype)
         for batch in batches:
-            most = max(1, min(4096, (1 << 20) * len(batch) // max(1, int(batch["text"].str.len().sum()))))
+            most = max(1, (1 << 22) * len(batch) // max(1, int(batch["text"].str.len().sum())))
             for low in range(0, len(batch), most):
                 part = batch.iloc[low : low + most]
                 texts = list(part["text"])

@@ -186,6 +186,26 @@ def brute_ids(texts):
     return [[*e.ids, 0] for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_are_encoded_once_while_they_fit(monkeypatch):
+    import tokenizers
+
+    plain = tokenizers.Tokenizer.from_file(queries.tokenizer_path())
+    rng = random.Random(7)
+    words = ["".join(rng.choices("aeioustrné", k=7)) + rng.choice(["", ".", "),", "\nNo", "'s"]) for _ in range(20_000)]
+    texts = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for most, again in ((2 << 20, False), (1 << 14, True)):
+        tokens = token_files.Tokens(queries.tokenizer_path(), most=most)
+        asked: list[str] = []
+        for r in range(2):
+            got = [x.tolist() for t in range(0, len(texts), 10) for x in tokens.encode(texts[t : t + 10])]
+            assert got == want
+            if not r:
+                plainly = tokens._ids
+                monkeypatch.setattr(tokens, "_ids", lambda x: asked.extend(x) or plainly(x))
+        assert (sum(map(len, asked)) > 10_000) == again
+
+
 def test_token_files_match_the_tokenizer(spark, tmp_path):
     rng = random.Random(6)
     odd = ["", " ", "  a  ", "a\n b", "it's, 'x' won't.", "x<|endoftext|> y <|endoftext|>", "é\x1c z", "\x85 q", "a\u0301., b", "3., 4%", "\u3000 \u2003x", "😀 😀", "a\tb  \n c", "q. "]
