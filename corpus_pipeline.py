@@ -1,13 +1,15 @@
 """From documents to token files in five stages.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's
-docs. All but the last return the columns that they were given.
+docs. All but the last return the columns that they were given. As a stage begins, the tables go that the one before wrote
+for itself (copies of its texts among them), unless docs still reads them.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -57,12 +59,34 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return token_files.token_index(spark, token_files.write_token_files(docs, tokenizer_path()))
 
 
+#: Tables of written() that stages wrote for themselves.
+_left: list[DataFrame] = []
+
+
+def tidied(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """stage, which first deletes what earlier stages of its session wrote for themselves; what docs still reads stays."""
+
+    @wraps(stage)
+    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str, **options: Observation) -> DataFrame:
+        mine = [t for t in _left if t.sparkSession is docs.sparkSession]
+        files = docs.inputFiles() if mine else []
+        _left[:] = [t for t in mine if any(f"/{t.written_to.rpartition('/')[2]}/" in f for f in files)]
+        deleted(*[t for t in mine if not any(t is x for x in _left)])
+        with recorded() as made:
+            try:
+                return stage(spark, docs, sf_dir, **options)
+            finally:
+                _left.extend(made)
+
+    return begun
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", identify_language),
-    ("near_dedup", remove_near_duplicates),
-    ("decontamination", remove_benchmark_items),
-    ("source_mixing", mix),
-    ("token_output", write_tokens),
+    ("language_id", tidied(identify_language)),
+    ("near_dedup", tidied(remove_near_duplicates)),
+    ("decontamination", tidied(remove_benchmark_items)),
+    ("source_mixing", tidied(mix)),
+    ("token_output", tidied(write_tokens)),
 ]
 
 #: Language profiles, tokenization and the knapsack are beyond SQL; tests hold run() against a brute-force version.
@@ -75,9 +99,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = Observation("rejected")
     for i, (name, stage) in enumerate(STAGES[:-1]):
         options = {} if i else {"rejected": rejected}
-        with recorded() as made:
-            before, docs = docs, written(stage(spark, docs, sf_dir, **options), f"stage-{name}")
-        deleted(*[table for table in made if table is not docs])  # the stage's own tables: copies of its texts among them
+        before, docs = docs, written(stage(spark, docs, sf_dir, **options), f"stage-{name}")
         if i:
             deleted(before)
         else:

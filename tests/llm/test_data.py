@@ -1,5 +1,6 @@
 """Top-k, mixing, token files and the pipeline."""
 
+import os
 import random
 import re
 import zlib
@@ -15,7 +16,7 @@ from test_text import brute_groups
 
 import corpus_pipeline
 from shelfwise.llm import decontamination, mixing, queries, rans, token_files, vector_topk
-from shelfwise.llm.workspace import written
+from shelfwise.llm.workspace import recorded, written
 
 SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -224,6 +225,19 @@ def test_token_files_match_the_tokenizer(spark, tmp_path):
     assert token_files.token_index(spark, empty).count() == 0
 
 
+def test_a_stage_deletes_what_the_one_before_wrote_for_itself(spark):
+    stages, docs = dict(corpus_pipeline.STAGES), table(spark, SF, "documents")
+    with recorded() as made:
+        mixed = stages["source_mixing"](spark, docs, SF)
+    there = lambda: [os.path.exists(t.written_to.removeprefix("file://")) for t in made]
+    assert made and all(there())
+    now = written(mixed, "t")
+    lazily = stages["decontamination"](spark, mixed, SF).count()  # its docs read what the mix wrote
+    assert any(there())
+    assert stages["decontamination"](spark, now, SF).count() == lazily > 0
+    assert not any(there())
+
+
 def test_pipeline(spark):
     """Each stage on what the one before kept, against plain Python over the same rows."""
     docs = table(spark, SF2, "documents")
