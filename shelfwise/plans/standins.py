@@ -42,7 +42,7 @@ def shop_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", F.lower("p_brand").alias("tag"), _kind(F.col("p_type")).alias("BodyHtml"))
     p = p.withColumn("kind", disc_type(F.col("BodyHtml"))).withColumns(flags(F.col("kind"))).drop("kind")
     bounds = li.groupBy("l_partkey").agg(F.min("l_extendedprice").alias("low_price"), F.max("l_extendedprice").alias("high_price")).withColumnRenamed("l_partkey", "k")
-    v = li.join(p, li["l_partkey"] == p["p_partkey"]).join(bounds, F.col("l_partkey") == F.col("k"))
+    v = li.join(bounds, F.col("l_partkey") == F.col("k")).join(p, F.col("l_partkey") == F.col("p_partkey"))  # bounds first: no part's columns move
     shop = F.concat(F.lit("https://shop"), (F.col("l_suppkey") % 10).cast("string"), F.lit(".example/"))
     none = F.lit(None).cast("string")
     return v.select(

@@ -29,6 +29,18 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def moved_by(df, column):
+    """The columns that each shuffle by a column moves, as DDL."""
+
+    def nodes(plan):
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    found = [n for n in nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName() == "Exchange"]
+    return [n.schema().toDDL() for n in found if f"hashpartitioning({column}#" in n.outputPartitioning().toString()]
+
+
 COMPARED = ["cdc_full", "cdc_upserts", "cdc_deletes", "merge_keep"]
 
 
@@ -49,6 +61,15 @@ def test_only_columns_of_the_result_move_with_the_hash(plain, name):
     assert moved and not any("BodyHtml" in x or "max_by" in x for x in moved)
 
 
+@pytest.mark.parametrize("name", ["cdc_upserts", "merge_keep", "snapshot_hashed", "variant_snapshot"])
+def test_no_columns_of_parts_move_with_lineitems(plain, name):
+    plain.conf.set("spark.sql.autoBroadcastJoinThreshold", "30000")  # parts are broadcast, price bounds are not
+    df = catalog.queries()[name](plain, SF)
+    moved = moved_by(df, "l_partkey")
+    assert "BroadcastHashJoin" in executed(df) and any("l_orderkey" in x for x in moved)
+    assert not any("p_name" in x for x in moved)
+
+
 def test_hash_is_over_all_columns_whatever_is_kept(spark):
     cells = [("a", "t1", "b1"), ("a", "t1", "b2"), ("b", "t2", None)]
     df = spark.createDataFrame(cells, "id string, title string, BodyHtml string")
