@@ -76,6 +76,47 @@ def test_top_k_stops_at_the_kth_score():
         assert names.tolist() == best and found.tolist() == s[best].tolist()
 
 
+def test_top_k_sends_nothing_through_the_driver(spark, monkeypatch):
+    """Batches of queries go to all slots: were that a join, the planner would take them for small and broadcast them all."""
+    plans = []
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(vector_topk, "written", lambda df, name: plan(df) or written(df, name))
+    plan(queries.op2_exact_topk(spark, SF))
+    assert not any("Broadcast" in p for p in plans)
+    assert len(plans) == 5
+
+
+def test_top_k_meets_each_dimension_in_one_pass(spark, monkeypatch):
+    """Slots hold groups of several dimensions, and more slots than cores; the number of jobs doesn't grow with dimensions."""
+    monkeypatch.setattr(vector_topk, "SLOT_BYTES", 200)
+    tables = []
+    monkeypatch.setattr(vector_topk, "written", lambda df, name: tables.append(name) or written(df, name))
+    given = {i: [(i * j * 7) % 11 - 5 for j in range(1, 2 + i % 6)] for i in range(240)}
+    df = spark.createDataFrame([(i, [x / 64 for x in v]) for i, v in given.items()], "vec_id long, embedding array<double>")
+    want = []
+    for q in range(0, 240, 20):
+        dots = sorted((-sum(a * b for a, b in zip(given[q], v)), i) for i, v in given.items() if i != q and len(v) == len(given[q]))
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(dots[:5])]
+    assert [tuple(r) for r in vector_topk.top_k(df, F.col("vec_id") % 20 == 0, k=5).orderBy("query_id", "rank").collect()] == want
+    assert len(tables) == 4
+
+
+@pytest.mark.parametrize("pool", [3, 1 << 20])
+def test_search_of_copies_keeps_the_smallest_ids(monkeypatch, pool):
+    monkeypatch.setattr(vector_topk, "POOL", pool)
+    rng = np.random.default_rng(4)
+    m = np.repeat(rng.integers(-9, 9, (6, 3)), 40, 0).astype(float)
+    ids, cuts = rng.permutation(len(m)), np.append(np.arange(0, len(m), 7), len(m))
+    low, high = (f.reduceat(m, cuts[:-1], 0) for f in (np.minimum, np.maximum))
+    blocks, asked = vector_topk.Blocks(ids, m.astype(np.int16), low, high, cuts), np.arange(0, len(m), 11)
+    for least in (np.full(len(asked), -vector_topk.MOST), vector_topk.first_scores(ids[asked], m[asked], blocks, 5)):
+        who, name, score, _ = vector_topk.search(ids[asked], m[asked], least, blocks, 5)
+        for n, i in enumerate(asked):
+            s = (m @ m[i]).astype(int)
+            best = sorted((j for j in range(len(m)) if j != i), key=lambda j: (-s[j], ids[j]))[:5]
+            assert name[who == n].tolist() == ids[best].tolist() and score[who == n].tolist() == s[best].tolist()
+
+
 def best_sum(sizes, counts, budget):
     sums = {0}
     for z, n in zip(sizes.tolist(), counts.tolist(), strict=True):
