@@ -94,12 +94,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's result over documents in sf_dir. What the first stage rejects is logged by reason."""
+    """The last stage's result over documents in sf_dir. What the first stage rejects is logged by reason.
+
+    What a stage writes for itself goes once its result is written, whether or not it is tidied.
+    """
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     rejected = Observation("rejected")
     for i, (name, stage) in enumerate(STAGES[:-1]):
         options = {} if i else {"rejected": rejected}
-        before, docs = docs, written(stage(spark, docs, sf_dir, **options), f"stage-{name}")
+        with recorded() as made:
+            before, docs = docs, written(stage(spark, docs, sf_dir, **options), f"stage-{name}")
+        deleted(*made[:-1])  # the last is the result
         if i:
             deleted(before)
         else:
